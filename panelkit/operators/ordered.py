@@ -121,15 +121,40 @@ def bounded_frames(
     """``select(*, columns(window))`` for frames that reach ``back`` rows back and ``ahead`` rows ahead at most."""
     if not layout.hot:
         return df.select("*", *columns(layout.window()))
+    spread = _spread_blocks(df, layout, back, ahead)
+    w = Window.partitionBy(*layout.keys, "_block").orderBy(POS)
+    return _own_rows(spread.select("*", *columns(w)), df)
+
+
+def bounded_exprs(
+    df: DataFrame, layout: Layout, columns: Callable[[str], list[str]], back: int = 0, ahead: int = 0
+) -> DataFrame:
+    """``bounded_frames`` for many columns at once: SQL texts, built from the text of the window."""
+    if not layout.hot:
+        return df.selectExpr("*", *columns(_window_text(layout.keys, layout.order)))
+    spread = _spread_blocks(df, layout, back, ahead)
+    text = _window_text([*layout.keys, "_block"], [POS])
+    return _own_rows(spread.selectExpr("*", *columns(text)), df)
+
+
+def _window_text(keys: Sequence[str], order: Sequence[str]) -> str:
+    return f"PARTITION BY {', '.join(f'`{k}`' for k in keys)} ORDER BY {', '.join(f'`{o}`' for o in order)}"
+
+
+def _spread_blocks(df: DataFrame, layout: Layout, back: int, ahead: int) -> DataFrame:
+    """Give each row to its own block of positions and to the blocks whose frames reach it."""
     numbered = df if POS in df.columns else number_rows(df, layout)
     block = max(layout.block, back, ahead, 1)
     last = F.floor((F.col(SIZE) - 1) / block)
-    home = F.floor(F.col(POS) / block)
     first_user = F.greatest(F.floor((F.col(POS) - ahead) / block), F.lit(0))
     last_user = F.least(F.floor((F.col(POS) + back) / block), last)
-    spread = numbered.select("*", F.explode(F.sequence(first_user, last_user)).alias("_block"))
-    w = Window.partitionBy(*layout.keys, "_block").orderBy(POS)
-    out = spread.select("*", *columns(w)).where(F.col("_block") == home).drop("_block")
+    return numbered.select(
+        "*", F.floor(F.col(POS) / block).alias("_home"), F.explode(F.sequence(first_user, last_user)).alias("_block")
+    )
+
+
+def _own_rows(framed: DataFrame, df: DataFrame) -> DataFrame:
+    out = framed.where(F.col("_block") == F.col("_home")).drop("_block", "_home")
     return out if POS in df.columns else out.drop(POS, SIZE)
 
 

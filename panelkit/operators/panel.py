@@ -6,14 +6,13 @@ the next period). Lags count rows, not weeks: a gap in the weeks is not filled.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.window import WindowSpec
 
-from panelkit.operators.ordered import Layout, bounded_frames, measure
+from panelkit.operators.ordered import Layout, bounded_exprs, measure
 
 ENTITY, WEEK, TARGET = "inn_id", "week", "target"
 CLASS_SUMS = "trn_ce_"
@@ -32,17 +31,20 @@ def value_columns(df: DataFrame, entity: str = ENTITY, week: str = WEEK) -> list
     return [c for c in df.columns if not c.startswith(CLASS_SUMS) and c not in (entity, week)]
 
 
+# A panel has hundreds of derived columns, so the families below are SQL texts: one call per select, not per column.
+
+
 def _lag_name(c: str, n: int) -> str:
     return f"_lag{n}_{c}"
 
 
-def lag_columns(c: str, offsets: Sequence[int], w: WindowSpec) -> list[Column]:
-    return [F.lag(c, n).over(w).alias(_lag_name(c, n)) for n in offsets if n]
+def _lags(c: str, offsets: Iterable[int], window: str) -> list[str]:
+    return [f"lag(`{c}`, {n}) OVER ({window}) AS `{_lag_name(c, n)}`" for n in sorted(set(offsets)) if n]
 
 
-def lag_of(c: str, n: int) -> Column:
-    """A lag made by ``lag_columns``; offset 0 is the value itself."""
-    return F.col(_lag_name(c, n)) if n else F.col(c)
+def _lag(c: str, n: int) -> str:
+    """A lag made by ``_lags``; offset 0 is the value itself."""
+    return f"`{_lag_name(c, n)}`" if n else f"`{c}`"
 
 
 def shift_offsets(start: int, total: int, delta: int) -> dict[int, int]:
@@ -50,83 +52,97 @@ def shift_offsets(start: int, total: int, delta: int) -> dict[int, int]:
     return {i: i - (start - delta) for i in range(start, start + total)}
 
 
-def trailing(w: WindowSpec, rows: int, delta: int) -> WindowSpec:
+def _trailing(window: str, rows: int, delta: int) -> str:
     """The ``rows`` rows that end ``delta`` rows before the current one."""
-    return w.rowsBetween(1 - rows - delta, -delta)
+    end = f"{delta} PRECEDING" if delta else "CURRENT ROW"
+    start = rows - 1 + delta
+    return f"({window} ROWS BETWEEN {start} PRECEDING AND {end})"
 
 
-def rolling_mean(c: str, rows: int, delta: int, w: WindowSpec) -> Column:
-    return F.avg(c).over(trailing(w, rows, delta))
+def _mean(c: str, rows: int, delta: int, window: str) -> str:
+    return f"avg(`{c}`) OVER {_trailing(window, rows, delta)}"
 
 
-def median_of(values: Sequence[Column]) -> Column:
+def _median_of(values: Sequence[str]) -> str:
     """Median of a few columns of one row, NULLs left out."""
-    ordered = F.sort_array(F.array_compact(F.array(*values)))
-    n = F.size(ordered)
-    low = F.get(ordered, F.floor((n - 1) / 2).cast("int"))
-    high = F.get(ordered, F.floor(n / 2).cast("int"))
-    return (low + high) / 2
+    ordered = f"sort_array(array_compact(array({', '.join(values)})))"
+    middle = f"get({ordered}, cast(floor((size({ordered}) - 1) / 2) as int)) + get({ordered}, cast(floor(size({ordered}) / 2) as int))"
+    return f"({middle}) / 2"
+
+
+def _widths(w_size: int) -> list[int]:
+    return list(dict.fromkeys([*MEAN_WIDTHS, w_size]))
+
+
+def _shift_columns(c: str, offsets: dict[int, int]) -> list[str]:
+    return [f"{_lag(c, n)} AS `{c}_shift{i:02d}`" for i, n in offsets.items()]
+
+
+def _rolling_columns(c: str, w_size: int) -> list[str]:
+    return [x for n in _widths(w_size) for x in (f"`{c}_rmen{n:02d}`", f"`_med_{c}` AS `{c}_rmed{n:02d}`")]
+
+
+def _diff_columns(c: str, offsets: dict[int, int], delta: int, leak_safe: bool) -> list[str]:
+    if leak_safe:
+        return [f"{_lag(c, delta)} - {_lag(c, delta + i)} AS `{c}_diff{i:02d}`" for i in offsets]
+    return [f"`{c}` - {_lag(c, n)} AS `{c}_diff{i:02d}`" for i, n in offsets.items()]
 
 
-def rolling_quantiles(c: str, probs: Sequence[float], rows: int, delta: int, w: WindowSpec) -> Column:
-    """Array of exact quantiles of the trailing frame (re-aggregates the frame for each row)."""
-    return F.percentile(c, F.array(*[F.lit(p) for p in probs])).over(trailing(w, rows, delta))
+def _class_columns(columns: Sequence[str], offsets: dict[int, int]) -> list[str]:
+    return [f"{_lag(c, n)} AS `shft{i:02d}_{c}`" for i, n in offsets.items() for c in columns]
+
+
+def _names(columns: Iterable[str]) -> list[str]:
+    return [f"`{c}`" for c in columns]
+
+
+def _reach(offsets: Iterable[int]) -> tuple[int, int]:
+    offsets = list(offsets)
+    return max([0, *offsets]), max([0, *[-n for n in offsets]])
 
 
 def shift_features(df, columns, layout, delta=1, start=1, total=24) -> DataFrame:
     """``{c}_shift{i}`` for i = start ... start + total - 1."""
     offsets = shift_offsets(start, total, delta)
-    out = bounded_frames(
-        df, layout, lambda w: [x for c in columns for x in lag_columns(c, offsets.values(), w)], *_reach(offsets.values())
-    )
-    return out.select(*df.columns, *[lag_of(c, n).alias(f"{c}_shift{i:02d}") for c in columns for i, n in offsets.items()])
+    out = bounded_exprs(df, layout, lambda w: [x for c in columns for x in _lags(c, offsets.values(), w)], *_reach(offsets.values()))
+    return out.selectExpr(*_names(df.columns), *[x for c in columns for x in _shift_columns(c, offsets)])
 
 
 def rolling_features(df, columns, layout, delta=1, w_size=48) -> DataFrame:
     """``{c}_rmen{w}`` over w rows, and ``{c}_rmed{w}``, whose window is four rows whatever w says."""
-    widths = list(dict.fromkeys([*MEAN_WIDTHS, w_size]))
     back = range(delta, delta + MEDIAN_ROWS)
 
     def make(w):
-        means = [rolling_mean(c, n, delta, w).alias(f"{c}_rmen{n:02d}") for c in columns for n in widths]
-        return means + [x for c in columns for x in lag_columns(c, back, w)]
+        means = [f"{_mean(c, n, delta, w)} AS `{c}_rmen{n:02d}`" for c in columns for n in _widths(w_size)]
+        return means + [x for c in columns for x in _lags(c, back, w)]
 
-    out = bounded_frames(df, layout, make, back=max(widths) + delta)
-    out = out.select("*", *[median_of([lag_of(c, n) for n in back]).alias(f"_med_{c}") for c in columns])
-    names = [x for c in columns for n in widths for x in (f"{c}_rmen{n:02d}", (f"_med_{c}", f"{c}_rmed{n:02d}"))]
-    return out.select(*df.columns, *[F.col(n[0]).alias(n[1]) if isinstance(n, tuple) else F.col(n) for n in names])
+    out = bounded_exprs(df, layout, make, max(_widths(w_size)) + delta)
+    out = out.selectExpr("*", *[f"{_median_of([_lag(c, n) for n in back])} AS `_med_{c}`" for c in columns])
+    return out.selectExpr(*_names(df.columns), *[x for c in columns for x in _rolling_columns(c, w_size)])
 
 
 def diff_features(df, columns, layout, delta=1, start=1, leak_safe=False) -> DataFrame:
     """``{c}_diff{i}``: value minus its lag. ``leak_safe`` keeps the current value out of training rows."""
     offsets = {i: i - (start - delta) for i in DIFFS}
-    extra = [delta, *[delta + i for i in DIFFS]] if leak_safe else []
-    lags = sorted({*offsets.values(), *extra})
-    out = bounded_frames(df, layout, lambda w: [x for c in columns for x in lag_columns(c, lags, w)], *_reach(lags))
-    return out.select(*df.columns, *[_diff(c, i, n, delta, leak_safe) for c in columns for i, n in offsets.items()])
+    lags = {*offsets.values(), *(_safe_lags(delta) if leak_safe else [])}
+    out = bounded_exprs(df, layout, lambda w: [x for c in columns for x in _lags(c, lags, w)], *_reach(lags))
+    return out.selectExpr(*_names(df.columns), *[x for c in columns for x in _diff_columns(c, offsets, delta, leak_safe)])
 
 
-def _diff(c: str, i: int, n: int, delta: int, leak_safe: bool) -> Column:
-    if leak_safe:
-        return (lag_of(c, delta) - lag_of(c, delta + i)).alias(f"{c}_diff{i:02d}")
-    return (F.col(c) - lag_of(c, n)).alias(f"{c}_diff{i:02d}")
+def _safe_lags(delta: int) -> list[int]:
+    return [delta, *[delta + i for i in DIFFS]]
 
 
-def _reach(offsets) -> tuple[int, int]:
-    offsets = list(offsets)
-    return max(0, *offsets), max(0, *[-n for n in offsets])
+def quantile_features(df, columns, layout, delta=1, w_size=48) -> DataFrame:
+    """``{c}_iq{q}``: 19 exact rolling quantiles from 0.05 to 0.95 (re-aggregates the frame for each row)."""
+    probs = ", ".join(f"{q}D" for q in QUANTILES)
 
+    def make(w):
+        return [f"percentile(`{c}`, array({probs})) OVER {_trailing(w, w_size, delta)} AS `_iq_{c}`" for c in columns]
 
-def quantile_features(df, columns, layout, delta=1, w_size=48) -> DataFrame:
-    """``{c}_iq{q}``: 19 rolling quantiles from 0.05 to 0.95."""
-    out = bounded_frames(
-        df,
-        layout,
-        lambda w: [rolling_quantiles(c, QUANTILES, w_size, delta, w).alias(f"_iq_{c}") for c in columns],
-        back=w_size + delta,
-    )
-    names = [f"iq{round(q * 100):02d}" for q in QUANTILES]
-    return out.select(*df.columns, *[F.col(f"_iq_{c}")[k].alias(f"{c}_{n}") for c in columns for k, n in enumerate(names)])
+    out = bounded_exprs(df, layout, make, w_size + delta)
+    names = [(k, f"iq{round(q * 100):02d}") for k, q in enumerate(QUANTILES)]
+    return out.selectExpr(*_names(df.columns), *[f"`_iq_{c}`[{k}] AS `{c}_{n}`" for c in columns for k, n in names])
 
 
 def lagged_mean_features(df, columns, layout, delta=1, start=1, total=24) -> DataFrame:
@@ -134,26 +150,24 @@ def lagged_mean_features(df, columns, layout, delta=1, start=1, total=24) -> Dat
     offsets = {i: n for i, n in shift_offsets(start, total, delta).items() if i in MEAN_WIDTHS}
 
     def make(w):
-        return [rolling_mean(c, i, delta + n, w).alias(f"{c}__srmen{i:02d}") for c in columns for i, n in offsets.items()]
+        return [f"{_mean(c, i, delta + n, w)} AS `{c}__srmen{i:02d}`" for c in columns for i, n in offsets.items()]
 
-    return bounded_frames(df, layout, make, back=max([0, *[i + delta + n for i, n in offsets.items()]]))
+    return bounded_exprs(df, layout, make, max([0, *[i + delta + n for i, n in offsets.items()]]))
 
 
 def class_shift_features(df, layout, delta=1, start=1, columns=None) -> DataFrame:
     """``shft{i}_{c}`` of the class-sum columns, always for i = 1 ... 24."""
     columns = [c for c in df.columns if c.startswith(CLASS_SUMS)] if columns is None else columns
     offsets = {i: i - (start - delta) for i in CLASS_SHIFTS}
-    out = bounded_frames(
-        df, layout, lambda w: [x for c in columns for x in lag_columns(c, offsets.values(), w)], *_reach(offsets.values())
-    )
-    return out.select(*df.columns, *[lag_of(c, n).alias(f"shft{i:02d}_{c}") for i, n in offsets.items() for c in columns])
+    out = bounded_exprs(df, layout, lambda w: [x for c in columns for x in _lags(c, offsets.values(), w)], *_reach(offsets.values()))
+    return out.selectExpr(*_names(df.columns), *_class_columns(columns, offsets))
 
 
 def previous_row(df, layout, keep=(ENTITY, WEEK, TARGET)) -> DataFrame:
     """Every numeric column, except ``keep``, replaced by its value one row earlier; missing numbers become 0."""
     numeric = [f.name for f in df.schema if isinstance(f.dataType, T.NumericType) and f.name not in keep]
-    out = bounded_frames(df, layout, lambda w: [x for c in numeric for x in lag_columns(c, [1], w)], back=1)
-    return out.select(*[lag_of(c, 1).alias(c) if c in numeric else F.col(c) for c in df.columns]).na.fill(0)
+    out = bounded_exprs(df, layout, lambda w: [x for c in numeric for x in _lags(c, [1], w)], 1)
+    return out.selectExpr(*[f"{_lag(c, 1)} AS `{c}`" if c in numeric else f"`{c}`" for c in df.columns]).na.fill(0)
 
 
 def panel_features(
@@ -177,32 +191,28 @@ def panel_features(
     rich = [c for c in values if "count" not in c]
     shifts = shift_offsets(shift_start, shift_total, delta)
     diffs = {i: i - (shift_start - delta) for i in DIFFS}
-    widths = list(dict.fromkeys([*MEAN_WIDTHS, w_size]))
     median_lags = range(delta, delta + MEDIAN_ROWS)
-    safe_lags = [delta, *[delta + i for i in DIFFS]] if leak_safe else []
     class_shifts = {i: i - (shift_start - delta) for i in CLASS_SHIFTS}
 
     lags = {c: set(shifts.values()) for c in values}
     for c in rich:
-        lags[c] |= {*diffs.values(), *median_lags, *safe_lags}
+        lags[c] |= {*diffs.values(), *median_lags, *(_safe_lags(delta) if leak_safe else [])}
     for c in classes:
         lags[c] = set(class_shifts.values())
     back, ahead = _reach({n for s in lags.values() for n in s})
 
     def make(w):
-        made = [x for c, s in lags.items() for x in lag_columns(c, sorted(s), w)]
-        return made + [rolling_mean(c, n, delta, w).alias(f"{c}_rmen{n:02d}") for c in rich for n in widths]
+        made = [x for c, s in lags.items() for x in _lags(c, s, w)]
+        return made + [f"{_mean(c, n, delta, w)} AS `{c}_rmen{n:02d}`" for c in rich for n in _widths(w_size)]
 
-    framed = bounded_frames(df, layout, make, max(back, max(widths) + delta), ahead)
-    framed = framed.select("*", *[median_of([lag_of(c, n) for n in median_lags]).alias(f"_med_{c}") for c in rich])
+    framed = bounded_exprs(df, layout, make, max(back, max(_widths(w_size)) + delta), ahead)
+    framed = framed.selectExpr("*", *[f"{_median_of([_lag(c, n) for n in median_lags])} AS `_med_{c}`" for c in rich])
     out = []
     for c in values:
-        out += [lag_of(c, n).alias(f"{c}_shift{i:02d}") for i, n in shifts.items()]
+        out += _shift_columns(c, shifts)
         if c in rich:
-            out += [x for n in widths for x in (F.col(f"{c}_rmen{n:02d}"), F.col(f"_med_{c}").alias(f"{c}_rmed{n:02d}"))]
-            out += [_diff(c, i, n, delta, leak_safe) for i, n in diffs.items()]
-    out += [lag_of(c, n).alias(f"shft{i:02d}_{c}") for i, n in class_shifts.items() for c in classes]
-    return framed.select(*df.columns, *out)
+            out += _rolling_columns(c, w_size) + _diff_columns(c, diffs, delta, leak_safe)
+    return framed.selectExpr(*_names(df.columns), *out, *_class_columns(classes, class_shifts))
 
 
 def full_history(df: DataFrame, column: str = TARGET, start: int = 1, total: int = 24) -> DataFrame:

@@ -39,7 +39,7 @@ def panel(spark: SparkSession, sf: str) -> DataFrame:
         .groupBy(F.col("l_suppkey").alias("inn_id"), week.alias("week"))
         .agg(
             F.sum(price).alias("target"),
-            F.sum(price * (100 - discount)).alias("trns_amount_inp"),
+            F.sum(F.round(price * (100 - discount) / 100)).alias("trns_amount_inp"),
             F.count(F.lit(1)).alias("trns_count_inp"),
             F.count_distinct("l_partkey").alias("cnt_inn_inp"),
             *classes,
@@ -182,7 +182,7 @@ def multi_predictions(spark: SparkSession, sf: str) -> DataFrame:
     """Three numeric targets per panel row, some marked missing by -99."""
     p = panel(spark, sf)
     shift = ((F.col("inn_id") * 7 + F.col("week")) % 21) / 10.0 - 1.0
-    parts = [("target", 1e6), ("trns_amount_inp", 1e8), ("trns_count_inp", 1.0)]
+    parts = [("target", 1e6), ("trns_amount_inp", 1e6), ("trns_count_inp", 1.0)]
     rows = [
         F.struct(
             F.lit(n).alias("target"),
@@ -239,7 +239,7 @@ CTE: dict[str, tuple[tuple[str, ...], str]] = {
         """SELECT l_suppkey AS inn_id,
   CAST(floor(datediff('day', DATE '1995-01-02', CAST(l_shipdate AS DATE)) / 7.0) AS INTEGER) AS week,
   CAST(sum(round(l_extendedprice * 100)) AS DOUBLE) AS target,
-  CAST(sum(round(l_extendedprice * 100) * (100 - round(l_discount * 100))) AS DOUBLE) AS trns_amount_inp,
+  CAST(sum(round(round(l_extendedprice * 100) * (100 - round(l_discount * 100)) / 100)) AS DOUBLE) AS trns_amount_inp,
   count(*) AS trns_count_inp, count(DISTINCT l_partkey) AS cnt_inn_inp,
   CAST(sum(CASE WHEN l_returnflag = 'A' THEN round(l_extendedprice * 100) ELSE 0 END) AS DOUBLE) AS trn_ce_A,
   CAST(sum(CASE WHEN l_returnflag = 'N' THEN round(l_extendedprice * 100) ELSE 0 END) AS DOUBLE) AS trn_ce_N,
@@ -364,7 +364,7 @@ FROM panel""",
             f"SELECT inn_id, week, '{n}' AS target, CASE WHEN week < 10 THEN -99.0::DOUBLE ELSE {n} / {s}::DOUBLE END AS y, "
             f"CASE WHEN week < 5 THEN -99.0::DOUBLE ELSE {n} / {s}::DOUBLE + (((inn_id * 7 + week) % 21) / 10.0::DOUBLE - 1.0) "
             "END AS pred FROM panel"
-            for n, s in (("target", "1e6"), ("trns_amount_inp", "1e8"), ("trns_count_inp", "1.0"))
+            for n, s in (("target", "1e6"), ("trns_amount_inp", "1e6"), ("trns_count_inp", "1.0"))
         ),
     ),
     "runs": (
@@ -406,12 +406,10 @@ def tidy(df: DataFrame, places: int = 6) -> DataFrame:
     """Round doubles so that engines agree; -0.0 becomes 0.0."""
     kinds = (T.DoubleType, T.FloatType)
     cols = [
-        (F.round(F.col(f"`{f.name}`").cast("double"), places) + F.lit(0.0)).alias(f.name)
-        if isinstance(f.dataType, kinds)
-        else F.col(f"`{f.name}`")
+        f"round(cast(`{f.name}` as double), {places}) + 0D AS `{f.name}`" if isinstance(f.dataType, kinds) else f"`{f.name}`"
         for f in df.schema
     ]
-    return df.select(*cols)
+    return df.selectExpr(*cols)
 
 
 def r(expr: str, name: str, places: int = 6) -> str:

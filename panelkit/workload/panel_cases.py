@@ -19,6 +19,7 @@ VALUES = ["target", "trns_amount_inp", "trns_count_inp", "cnt_inn_inp", "tvect_F
 MONEY = ["target", "trns_amount_inp"]
 WIDTHS = (4, 8, 12, 16, 48)
 BASE = "inn_id, week"
+WHOLE = ("trns_count_inp", "cnt_inn_inp", "tvect_")
 
 
 def keyed(df, *cols):
@@ -62,7 +63,13 @@ def class_sql(delta=1, start=1):
 
 
 def rounded(cols):
-    return [r(c.rsplit(" AS ", 1)[0], c.rsplit(" AS ", 1)[1].strip('"')) if not c.startswith("round(") else c for c in cols]
+    """Round what is a fraction; lags and differences of whole-number columns keep their type."""
+    out = []
+    for c in cols:
+        expr, name = c.rsplit(" AS ", 1)
+        whole = any(n in name for n in WHOLE) and "_rm" not in name
+        out.append(c if whole or c.startswith("round(") else r(expr, name.strip('"')))
+    return out
 
 
 def select(cols, *names, base=BASE, tail=""):
@@ -311,12 +318,7 @@ def _train_sql():
     body = f"""SELECT f.*, {WEEK_COLS}, {PROFILE_COLS} FROM f LEFT JOIN weeks USING (week) LEFT JOIN latest USING (inn_id)
 WHERE target_shift24 IS NOT NULL"""
     f = f"SELECT inn_id, week, {r('target', 'target')}, " + ", ".join(feats) + " FROM logged"
-    return with_inputs(body, "panel", "weeks", "latest", extra=LOGGED | {"f": _ints(f)})
-
-
-def _ints(sql):
-    """Count columns stay whole numbers."""
-    return sql
+    return with_inputs(body, "panel", "weeks", "latest", extra=LOGGED | {"f": f})
 
 
 def _test_sql():
@@ -328,18 +330,6 @@ LEFT JOIN latest USING (inn_id)"""
     return with_inputs(body, "template", "panel", "weeks", "latest", extra=LOGGED | {"f": f})
 
 
-def _int_shift(cols):
-    """Lags of whole-number columns keep their type: no rounding."""
-    out = []
-    for c in cols:
-        name = c.rsplit(" AS ", 1)[1].strip('"')
-        whole = name.startswith(("trns_count_inp", "cnt_inn_inp", "tvect_")) and "_rm" not in name
-        out.append(c if whole or c.startswith("round(") else r(c.rsplit(" AS ", 1)[0], name))
-    return out
-
-
-rounded = _int_shift  # noqa: F811
-
 PREVIOUS = {
     "prev": "SELECT inn_id, week, target, "
     + ", ".join(f"coalesce(lag({c}) OVER {W}), 0) AS {c}" for c in VALUES[1:] + ["trn_ce_A", "trn_ce_N", "trn_ce_R"])
@@ -485,7 +475,7 @@ LEFT JOIN latest USING (inn_id)""",
             f"""SELECT t.*, l.* EXCLUDE (inn_id, week, target, rn), d1, d2, {WEEK_COLS}, report_date, {PROFILE_COLS}
 FROM template t LEFT JOIN (SELECT *, row_number() OVER (PARTITION BY inn_id ORDER BY week DESC) AS rn FROM prev) l
   ON t.inn_id = l.inn_id AND l.rn = 1
-LEFT JOIN weeks USING (week) LEFT JOIN latest ON t.inn_id = latest.inn_id""",
+LEFT JOIN weeks ON t.week = weeks.week LEFT JOIN latest ON t.inn_id = latest.inn_id""",
             "template",
             "panel",
             "weeks",
