@@ -81,7 +81,7 @@ def feature_names(
 
 def _stack(df: DataFrame, key: str, columns: Sequence[str], order: str) -> DataFrame:
     pairs = F.array(*[F.struct(F.lit(c).alias("kind"), F.col(c).cast("double").alias("v")) for c in columns])
-    long = df.select(key, order, F.explode(pairs).alias("_p")).select(key, order, "_p.*")
+    long = df.select(key, F.col(order).alias("_order"), F.explode(pairs).alias("_p")).select(key, "_order", "_p.*")
     return long.where(F.col("v").isNotNull() & ~F.isnan("v"))
 
 
@@ -114,7 +114,7 @@ def long_features(
     """One row per (key, kind) with the features as columns. ``order`` must order a series totally."""
     wanted = set(features or feature_names(quantiles, sigmas, lags, supports))
     key = layout.keys[0]
-    each = layout.within("kind").by(order)
+    each = layout.within("kind").by("_order")
     keys = list(each.keys)
     long = number_rows(_stack(df, key, columns, order), each)
     each = each.by(POS)

@@ -98,13 +98,17 @@ def template(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def _micros(ts):
+    return F.unix_micros(ts.cast("timestamp"))
+
+
 def raw_series(spark: SparkSession, sf: str) -> DataFrame:
     """Events of a user as a series: hours since 2024, running sum and value in cents."""
     rows = table(spark, sf, "events").select(
         F.col("user_id").alias("file_name"),
         "ts",
         "event_id",
-        ((F.unix_micros("ts") - 1704067200000000) / 3.6e9).alias("time"),
+        ((_micros(F.col("ts")) - _micros(F.lit("2024-01-01 00:00:00"))) / 3.6e9).alias("time"),
         cents("value").alias("Pder"),
     )
     layout = measure(rows, "file_name", ("ts", "event_id"))
