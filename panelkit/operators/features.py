@@ -205,10 +205,9 @@ def series_features(df: DataFrame, layout: Layout, columns: Sequence[str], order
     long = long_features(df, layout, columns, order, **kw)
     key = layout.keys[0]
     names = [c for c in long.columns if c not in (key, "kind")]
-    wide = long.groupBy(key).pivot("kind", list(columns)).agg(F.first(F.struct(*names)).alias("f"))
-    if len(columns) == 1:
-        return wide.select(key, *[F.col(f"`{columns[0]}`.`{n}`").alias(f"{columns[0]}__{n}") for n in names])
-    return wide.select(key, *[F.col(f"`{c}`.`{n}`").alias(f"{c}__{n}") for c in columns for n in names])
+    fields = F.struct(*[F.col(f"`{n}`") for n in names])
+    wide = long.groupBy(key).pivot("kind", list(columns)).agg(F.first(fields))
+    return wide.select(key, *[F.col(f"`{c}`").getField(n).alias(f"{c}__{n}") for c in columns for n in names])
 
 
 def override_join(left: DataFrame, right: DataFrame, key: str) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -44,16 +44,16 @@ def read_panel(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_series(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """All series files of a folder as one frame: ``file_name``, ``line_no`` and the three values.
+    """All series files of a folder as one frame: ``file_name``, ``split_start``, ``row_id`` and the three values.
 
-    ``line_no`` orders the rows of a file: a file is split in order, and row ids grow within a split and with it.
-    Lines that do not parse give NULLs and are dropped by the time filter later.
+    (``split_start``, ``row_id``) orders the rows of a file: its splits start at growing offsets, and row ids grow
+    within a split. Lines that do not parse give NULLs and are dropped by the time filter later.
     """
     raw = spark.read.schema(SERIES).option("sep", "\t").option("mode", "PERMISSIVE").csv(path)
-    block = F.col("_metadata.file_block_start")
     return raw.select(
         F.col("_metadata.file_name").alias("file_name"),
-        F.struct(block.alias("start"), F.monotonically_increasing_id().alias("row")).alias("line_no"),
+        F.col("_metadata.file_block_start").alias("split_start"),
+        F.monotonically_increasing_id().alias("row_id"),
         "time",
         "dP",
         "Pder",
@@ -68,22 +68,26 @@ def series_universe(keys: Sequence[DataFrame], key: str = "file_name") -> DataFr
     return out.distinct()
 
 
-def run_number(file_name) -> F.Column:
-    """Run number in a prediction file name (three digits or more)."""
-    return F.regexp_extract(file_name, r"_(\d{3,})", 1).cast("int")
+# Fixed patterns: run number (three digits or more) and one-digit fold in the name of a prediction file.
+RUN_PATTERN = r"submit(?:_proba)?_(\d{3,})"
+FOLD_PATTERN = r"submit(?:_proba)?_\d{3,}_(\d)(?=_local|\.csv)"
 
 
-def fold_number(file_name) -> F.Column:
-    """One-digit fold after the run number, or NULL."""
-    return F.expr(f"try_cast(regexp_extract({file_name}, '(?<=\\\\d{{3}}_|\\\\d{{4}}_)(\\\\d)(?=_local|\\\\.csv)', 1) as int)")
+def run_number(path: Column) -> Column:
+    return F.regexp_extract(path, RUN_PATTERN, 1).try_cast("int")
+
+
+def fold_number(path: Column) -> Column:
+    """NULL for a file that holds no single fold."""
+    return F.regexp_extract(path, FOLD_PATTERN, 1).try_cast("int")
 
 
 def read_folds(spark: SparkSession, paths: str | list[str], columns: Sequence[str] = SHORT_FLAGS, kind: str = "int") -> DataFrame:
     """Prediction files as one frame with ``run`` and ``fold`` from their names."""
     schema = "file_name string, " + ", ".join(f"`{c}` {kind}" for c in columns)
     raw = read_csv(spark, paths, schema)
-    raw = raw.select("*", F.col("_metadata.file_name").alias("source_file"))
-    return raw.withColumns({"run": run_number(F.col("source_file")), "fold": fold_number("source_file")}).drop("source_file")
+    path = F.col("_metadata.file_path")
+    return raw.select("*", run_number(path).alias("run"), fold_number(path).alias("fold"))
 
 
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite") -> str:

@@ -406,11 +406,12 @@ def with_inputs(body: str, *names: str, extra: dict[str, str] | None = None) ->
     return "WITH " + ",\n".join(f"{n} AS ({s})" for n, s in done.items()) + "\n" + body
 
 
-def tidy(df: DataFrame, places: int = 6) -> DataFrame:
-    """Round doubles so that engines agree; -0.0 becomes 0.0."""
+def tidy(df: DataFrame, places: int = 6, coarse: dict[str, int] | None = None) -> DataFrame:
+    """Round doubles so that engines agree; -0.0 becomes 0.0. ``coarse`` gives other places by end of the name."""
+    special = {c: n for c in df.columns for end, n in (coarse or {}).items() if c.endswith(end)}
     kinds = (T.DoubleType, T.FloatType)
     cols = [
-        f"round(cast(`{f.name}` as double), {places}) + 0D AS `{f.name}`" if isinstance(f.dataType, kinds) else f"`{f.name}`"
+        f"round(cast(`{f.name}` as double), {special.get(f.name, places)}) + 0D AS `{f.name}`" if isinstance(f.dataType, kinds) else f"`{f.name}`"
         for f in df.schema
     ]
     return df.selectExpr(*cols)

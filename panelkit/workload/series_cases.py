@@ -15,6 +15,7 @@ from panelkit.workload.inputs import r, tidy, with_inputs
 K = "file_name"
 COLUMNS = ["time", "dP", "Pder", "T", "P", "D"]
 W = "(PARTITION BY file_name ORDER BY pos"
+PLACES = {"variance": 3}
 
 
 # -------------------------------------------------------------------------------------------- queries
@@ -144,14 +145,14 @@ def slope_flat(spark, sf):
 def _features(names):
     def query(spark, sf):
         s, layout = I.series(spark, sf)
-        return tidy(A.long_features(s, layout, ["Pder", "D"], POS, features=names))
+        return tidy(A.long_features(s, layout, ["Pder", "D"], POS, features=names), coarse=PLACES)
 
     return query
 
 
 def feature_matrix(spark, sf):
     s, layout = I.series(spark, sf)
-    return tidy(A.series_features(s, layout, ["Pder", "D"], POS))
+    return tidy(A.series_features(s, layout, ["Pder", "D"], POS), coarse=PLACES)
 
 
 # -------------------------------------------------------------------------------------------- SQL
@@ -379,11 +380,9 @@ WHOLE = {
     "count_below_mean": "count(*) FILTER (v < mean)",
     "has_duplicate": "CAST(count(DISTINCT v) < count(*) AS INTEGER)",
 }
-PLACES = {"sum_values": 4, "variance": 2, "abs_energy": 0, "absolute_sum_of_changes": 4, "root_mean_square": 4}
-
 
 def _feature_exprs():
-    out = {n: r(e, n) for n, e in FEATURES.items() if e}
+    out = {n: r(e, n, PLACES.get(n, 6)) for n, e in FEATURES.items() if e}
     out |= {n: f"{e} AS {n}" for n, e in WHOLE.items()}
     for q in A.QUANTILES:
         out[f"quantile__q_{q}"] = r(f"quantile_cont(v, {q})", f"quantile__q_{q}")
