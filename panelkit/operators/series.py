@@ -85,8 +85,11 @@ def _aggregate(df: DataFrame, layout: Layout, aggs: Sequence[Column], medians: d
     return df.groupBy(*layout.keys).agg(*aggs).join(more, list(layout.keys))
 
 
-def summary(df: DataFrame, layout: Layout, columns: Sequence[str]) -> DataFrame:
-    """Per column: std, mean, median; of its differences max, std, mean, median; share of k-sigma outliers."""
+def summary(df: DataFrame, layout: Layout, columns: Sequence[str], growing: Sequence[str] = ()) -> DataFrame:
+    """Per column: std, mean, median; of its differences max, std, mean, median; share of k-sigma outliers.
+
+    ``growing`` columns also get their growth flag, in the same pass while groups are small.
+    """
     layout = layout.by(POS)
     d = add_diffs(df, layout, columns)
     stats = {}
@@ -95,6 +98,9 @@ def summary(df: DataFrame, layout: Layout, columns: Sequence[str]) -> DataFrame:
         stats[f"_s_{c}"] = F.stddev(f"_d_{c}")
     d = with_group_values(d, layout, stats)
     aggs, medians = [], {}
+    if growing and not layout.hot:
+        d = _steps(d, layout, growing)
+        aggs += [_never_falls(F.col(f"_step_{c}")).alias(f"{c}_growth") for c in growing]
     for c in columns:
         diff = F.col(f"_d_{c}")
         aggs += [
@@ -108,33 +114,45 @@ def summary(df: DataFrame, layout: Layout, columns: Sequence[str]) -> DataFrame:
         for k in SIGMAS:
             out = F.abs(diff) > F.col(f"_m_{c}") + k * F.col(f"_s_{c}")
             aggs.append(_share(F.count_if(out), F.count(F.lit(1))).alias(f"{c}_{k}_std"))
-    return _aggregate(d, layout, aggs, medians)
+    out = _aggregate(d, layout, aggs, medians)
+    return out.join(growth(df, layout, growing), list(layout.keys)) if growing and layout.hot else out
+
+
+def _steps(d: DataFrame, layout: Layout, columns: Sequence[str]) -> DataFrame:
+    """``_step_{c}``: change of the three-point trailing mean of the differences that exist."""
+    w = f"PARTITION BY {', '.join(layout.keys)} ORDER BY {POS}"
+    texts = [f"lag(`_d_{c}`, {n}) IGNORE NULLS OVER ({w}) AS `_d{n}_{c}`" for c in columns for n in (1, 2, 3)]
+    d = d.selectExpr("*", *texts)
+    return d.select("*", *[_step(c, *[f"_d{n}_{c}" for n in (1, 2, 3)]).alias(f"_step_{c}") for c in columns])
+
+
+def _step(c: str, first: str, second: str, third: str) -> Column:
+    parts = [S.finite_or_null(F.col(n)) for n in (f"_d_{c}", first, second, third)]
+    change = _mean3(parts[:3]) - _mean3(parts[1:])
+    return F.when(F.col(f"_d_{c}").isNotNull() & F.col(first).isNotNull(), change)
+
+
+def _never_falls(step: Column) -> Column:
+    return F.coalesce(F.min((step >= 0).cast("int")), F.lit(1))
 
 
 def growth(df: DataFrame, layout: Layout, columns: Sequence[str]) -> DataFrame:
     """``{c}_growth``: 1 when the three-point trailing mean of the differences never falls."""
-    layout = layout.by(POS)
-    found = []
+    keys, layout = list(layout.keys), layout.by(POS)
     base = add_diffs(df, layout, columns)
-    for c in columns:
-        d = base.select(*layout.keys, POS, F.col(f"_d_{c}").alias("_d")).where(F.col("_d").isNotNull())
-        if layout.hot:
-            d = number_rows(d.withColumnRenamed(POS, "_row"), layout.by("_row"))
-
-        def make(w):
-            return [F.lag("_d", n).over(w).alias(f"_d{n}") for n in (1, 2, 3)]
-
-        d = bounded_frames(d, layout, make, back=3)
-        parts = [S.finite_or_null(F.col(n)) for n in ("_d", "_d1", "_d2", "_d3")]
-        step = _mean3(parts[:3]) - F.when(F.col("_d1").isNotNull(), _mean3(parts[1:]))
-        found.append(
-            d.select(*layout.keys, step.alias("_step"))
-            .groupBy(*layout.keys)
-            .agg(F.coalesce(F.min((F.col("_step") >= 0).cast("int")), F.lit(1)).alias(f"{c}_growth"))
+    if not layout.hot:
+        return _steps(base, layout, columns).groupBy(*keys).agg(
+            *[_never_falls(F.col(f"_step_{c}")).alias(f"{c}_growth") for c in columns]
         )
-    out = df.select(*layout.keys).distinct()
-    for c, f in zip(columns, found):
-        out = out.join(f, list(layout.keys), "left").withColumn(f"{c}_growth", F.coalesce(f"{c}_growth", F.lit(1)))
+    out = df.select(*keys).distinct()
+    for c in columns:
+        # The frame counts differences that exist, so they are numbered anew before they are cut into blocks.
+        d = base.select(*keys, F.col(POS).alias("_row"), f"_d_{c}").where(F.col(f"_d_{c}").isNotNull())
+        d = number_rows(d, layout.by("_row"))
+        d = bounded_frames(d, layout, lambda w, c=c: [F.lag(f"_d_{c}", n).over(w).alias(f"_d{n}") for n in (1, 2, 3)], back=3)
+        step = _step(c, "_d1", "_d2", "_d3")
+        flag = d.select(*keys, step.alias("_step")).groupBy(*keys).agg(_never_falls(F.col("_step")).alias(f"{c}_growth"))
+        out = out.join(flag, keys, "left").withColumn(f"{c}_growth", F.coalesce(f"{c}_growth", F.lit(1)))
     return out
 
 
@@ -207,7 +225,7 @@ def series_stats(
     """
     key = layout.keys[0]
     columns = [c for c in LOG_COLUMNS + RAW_COLUMNS if c in df.columns]
-    parts = [summary(df, layout, columns), growth(df, layout, [c for c in GROWTH_COLUMNS if c in columns])]
+    parts = [summary(df, layout, columns, [c for c in GROWTH_COLUMNS if c in columns])]
     parts.append(bin_statistics(df, layout, [c for c in BIN_COLUMNS if c in columns]))
     if line is not None:
         parts.append(line.select(key, "wb_value"))

@@ -14,6 +14,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, memory: s
         .appName("panelkit")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.adaptive.enabled", "true")
+        # Small inputs with much work per row: merging partitions by size would leave cores idle here.
+        .config("spark.sql.adaptive.coalescePartitions.enabled", "false")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", memory)
         .config("spark.ui.enabled", "false")
