@@ -7,8 +7,9 @@ the next period). Lags count rows, not weeks: a gap in the weeks is not filled.
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
+from dataclasses import replace
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -180,10 +181,12 @@ def panel_features(
     entity: str = ENTITY,
     week: str = WEEK,
     leak_safe: bool = False,
+    last_only: bool = False,
 ) -> DataFrame:
     """All panel features in one window pass, so one shuffle and one sort by entity.
 
-    Columns with ``count`` in their name get shifts only; class sums get their own shift family.
+    Columns with ``count`` in their name get shifts only; class sums get their own shift family. ``last_only`` keeps
+    the last row of each entity, before its features are laid out.
     """
     layout = layout or panel_layout(df, entity, week)
     values = value_columns(df, entity, week)
@@ -203,9 +206,11 @@ def panel_features(
 
     def make(w):
         made = [x for c, s in lags.items() for x in _lags(c, s, w)]
+        made += [f"lead(true, 1) OVER ({w}) IS NULL AS _last"] if last_only else []
         return made + [f"{_mean(c, n, delta, w)} AS `{c}_rmen{n:02d}`" for c in rich for n in _widths(w_size)]
 
-    framed = bounded_exprs(df, layout, make, max(back, max(_widths(w_size)) + delta), ahead)
+    framed = bounded_exprs(df, layout, make, max(back, max(_widths(w_size)) + delta), max(ahead, 1 if last_only else 0))
+    framed = framed.where("_last") if last_only else framed
     framed = framed.selectExpr("*", *[f"{_median_of([_lag(c, n) for n in median_lags])} AS `_med_{c}`" for c in rich])
     out = []
     for c in values:
@@ -215,6 +220,28 @@ def panel_features(
     return framed.selectExpr(*_names(df.columns), *out, *_class_columns(classes, class_shifts))
 
 
+def scoring_features(
+    df: DataFrame,
+    layout: Layout,
+    shift_start: int = 1,
+    shift_total: int = 24,
+    w_size: int = 48,
+    entity: str = ENTITY,
+    week: str = WEEK,
+) -> DataFrame:
+    """Features of the last row of each entity, that row included (``delta`` = 0).
+
+    Only the newest rows that a frame can reach are kept. Spark applies such a rank limit before the shuffle, so an
+    entity sends a bounded number of rows however long its history is.
+    """
+    need = max(w_size, *MEAN_WIDTHS, shift_start + shift_total, max(DIFFS), max(CLASS_SHIFTS)) + 1
+    newest = Window.partitionBy(*layout.keys).orderBy(*[F.desc(o) for o in layout.order])
+    recent = df.withColumn("_age", F.row_number().over(newest)).where(F.col("_age") <= need).drop("_age")
+    return panel_features(
+        recent, replace(layout, largest=need), 0, shift_start, shift_total, w_size, entity, week, last_only=True
+    )
+
+
 def full_history(df: DataFrame, column: str = TARGET, start: int = 1, total: int = 24) -> DataFrame:
     """Rows whose deepest lag exists."""
     return df.where(F.col(f"{column}_shift{start + total - 1:02d}").isNotNull())
