@@ -29,7 +29,7 @@ def regression_aggregates(y: str = "y", p: str = "pred", clip_log: bool = False)
     """
     a, b = F.col(y), F.col(p)
     err = a - b
-    la, lb = (F.greatest(a, F.lit(0.0)), F.greatest(b, F.lit(0.0))) if clip_log else (a, b)
+    la, lb = (clip_at_zero(a), clip_at_zero(b)) if clip_log else (a, b)
     spread, left = F.var_pop(a), F.var_pop(err)
     square = F.avg(err * err)
 
@@ -58,9 +58,14 @@ def multi_output_scores(df: DataFrame, target: str = "target", y: str = "y", p:
     return per.agg(F.sqrt(F.avg("mse")).alias("rmse"), *[F.avg(m).alias(m) for m in MEAN_METRICS])
 
 
+def clip_at_zero(c: Column) -> Column:
+    """Negative values become 0; a missing one stays missing (``greatest`` alone would skip it)."""
+    return F.when(S.no_nan(c).isNotNull(), F.greatest(c, F.lit(0.0)))
+
+
 def back_transform(c: Column) -> Column:
     """Clip at 0, undo log1p, infinities to 0. NaN stays missing."""
-    v = F.expm1(F.greatest(S.no_nan(c), F.lit(0.0)))
+    v = F.expm1(clip_at_zero(c))
     return F.when(F.abs(v) == F.lit(S.INF), 0.0).otherwise(v)
 
 
@@ -166,7 +171,7 @@ def hit_rate(
 
 def score_regression(df: DataFrame, y: str = "y", p: str = "pred", log_target: bool = True) -> DataFrame:
     """Scores of clipped predictions, both sides taken back from logs when ``log_target``."""
-    pred = F.greatest(S.no_nan(F.col(p)), F.lit(0.0))
+    pred = clip_at_zero(F.col(p).cast("double"))
     actual = F.col(y).cast("double")
     if log_target:
         pred = back_transform(F.col(p))
