@@ -13,6 +13,7 @@ from panelkit.operators.labels import SHORT_FLAGS
 from panelkit.plans import series_pipeline as L
 from panelkit.workload import inputs as I
 from panelkit.workload.inputs import r, tidy, with_inputs
+from panelkit.workload.series_cases import STATS
 
 FLAGS = ", ".join(SHORT_FLAGS)
 CODES = I.TARGET_CODES
@@ -298,8 +299,30 @@ CASES = {
         "SELECT least(50, count(*)) AS n, least(50, count(*)) AS keys FROM labels JOIN documents USING (doc_id)",
     ),
     "sampled_keys": (sampled_keys, "SELECT least(20, count(DISTINCT l_suppkey)) AS n FROM lineitem"),
-    "labels_with_features": (labels_with_features, None),
-    "scoring_with_flags": (scoring_with_flags, None),
+    "labels_with_features": (
+        labels_with_features,
+        with_inputs(
+            """SELECT b0.file_name, hq, labels, coalesce(n, 0) AS count_rows, coalesce(time_std, 0) AS time_std,
+coalesce("Pder_mean", 0) AS "Pder_mean", coalesce("D_q_0_8_3_std", 0) AS "D_q_0_8_3_std", coalesce(wb_value, 0) AS wb_value
+FROM b0 LEFT JOIN (SELECT file_name, count(*) AS n FROM series GROUP BY 1) c USING (file_name)
+LEFT JOIN summary USING (file_name) LEFT JOIN bins USING (file_name) LEFT JOIN unit USING (file_name)""",
+            "series",
+            "flags",
+            "checked",
+            extra=STATS | PREFER | _backoff_sql(TABLE_LABELS),
+        ),
+    ),
+    "scoring_with_flags": (
+        scoring_with_flags,
+        with_inputs(
+            f"""SELECT file_name, {FLAGS}, n AS count_rows, "dP_growth", "P_mean" FROM flags
+LEFT JOIN (SELECT file_name, count(*) AS n FROM series GROUP BY 1) c USING (file_name)
+LEFT JOIN summary USING (file_name) LEFT JOIN growth USING (file_name)""",
+            "series",
+            "flags",
+            extra=STATS,
+        ),
+    ),
     "matrix_with_features": (
         matrix_with_features,
         with_inputs(
