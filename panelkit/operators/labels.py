@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panelkit.functions import scalars as S
+from panelkit.operators.joins import join_small
 
 KEY = "file_name"
 BACKOFF = (5, 3, 1)
@@ -58,7 +59,7 @@ def back_off(df: DataFrame, column: str = "labels", lengths: Sequence[int] = BAC
             "_from", F.when(F.col("_n") == 1, F.substring("_to", 1, length)).otherwise(F.col("_to")).alias("_to"), "n"
         )
     names = names.select(F.col("_from").alias(column), "_to")
-    return df.join(names, column, "left").select(*[F.col("_to").alias(c) if c == column else F.col(c) for c in df.columns])
+    return join_small(df, names, column).select(*[F.col("_to").alias(c) if c == column else F.col(c) for c in df.columns])
 
 
 def label_table(

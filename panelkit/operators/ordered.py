@@ -22,9 +22,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.window import WindowSpec
 
+from panelkit.operators.joins import join_small
 from panelkit.session import durable
 
 BLOCK_ROWS = 1_000_000
+# Most block borders (8 bytes each) that are broadcast together.
+EDGE_VALUES = 4_000_000
 POS, SIZE = "pos", "n_rows"
 
 
@@ -94,7 +97,7 @@ def number_rows(df: DataFrame, layout: Layout) -> DataFrame:
         .groupBy(*keys)
         .agg(F.percentile_approx(order[0], [i / parts for i in range(1, parts)], max(10_000, 8 * parts)).alias("_edges"))
     )
-    cut = df.join(edges, keys, "left").withColumn("_slot", _slot(F.col("_edges"), F.col(order[0]), steps)).drop("_edges")
+    cut = join_small(df, edges, keys, limit=EDGE_VALUES // parts).withColumn("_slot", _slot(F.col("_edges"), F.col(order[0]), steps)).drop("_edges")
     slots = cut.groupBy(*keys, "_slot").agg(F.count(F.lit(1)).alias("_c"))
     before = slots.select(
         *keys,
@@ -209,8 +212,25 @@ def with_group_values(df: DataFrame, layout: Layout, values: dict[str, Column])
     if not layout.hot:
         whole = Window.partitionBy(*layout.keys)
         return df.select("*", *[v.over(whole).alias(n) for n, v in values.items()])
-    stats = df.groupBy(*layout.keys).agg(*[v.alias(n) for n, v in values.items()])
-    return df.join(stats, list(layout.keys))
+    return join_group_rows(df, df.groupBy(*layout.keys).agg(*[v.alias(n) for n, v in values.items()]), layout)
+
+
+def join_group_rows(df: DataFrame, stats: DataFrame, layout: Layout) -> DataFrame:
+    """Join one row per group of ``stats`` to the rows of the groups of ``df``.
+
+    Where ``df`` carries the series size, the rows of a large series are spread by a hash over as many parts as it
+    has blocks, and its group rows are repeated for each part; otherwise one task would take the whole group.
+    """
+    keys = list(layout.keys)
+    if SIZE not in df.columns:
+        return df.join(stats, keys)
+    parts = layout.largest // layout.block + 1
+    large = F.col(SIZE) > layout.block
+    salt = F.when(large, F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.lit(parts))).otherwise(F.lit(0))
+    sizes = df.groupBy(*keys).agg(F.max(SIZE).alias("_size"))
+    salts = F.when(F.col("_size") > layout.block, F.sequence(F.lit(0), F.lit(parts - 1))).otherwise(F.array(F.lit(0)))
+    repeated = stats.join(sizes, keys).withColumn("_salt", F.explode(salts)).drop("_size")
+    return df.withColumn("_salt", salt.cast("int")).join(repeated, [*keys, "_salt"]).drop("_salt")
 
 
 def exact_quantiles(df: DataFrame, layout: Layout, column: str, probs: dict[str, float]) -> DataFrame:

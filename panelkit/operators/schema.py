@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from panelkit.operators.joins import join_small
 from panelkit.operators.ordered import global_rank
 
 FLOAT32_MAX = 3.4028234663852886e38
@@ -123,7 +124,7 @@ def category_codes(df: DataFrame, columns: Sequence[str], suffix: str = "_code")
             continue
         values = df.select(c).where(F.col(c).isNotNull()).distinct()
         ranked = global_rank(values, c, c + suffix)
-        df = df.join(ranked, c, "left").withColumn(c + suffix, F.coalesce(c + suffix, F.lit(-1).cast("long")))
+        df = join_small(df, ranked, c).withColumn(c + suffix, F.coalesce(c + suffix, F.lit(-1).cast("long")))
     return df
 
 

@@ -14,9 +14,11 @@ from pyspark.sql import functions as F
 from panelkit.functions import scalars as S
 from panelkit.operators.ordered import (
     POS,
+    SIZE,
     Layout,
     bounded_frames,
     exact_quantiles,
+    join_group_rows,
     number_rows,
     with_group_values,
 )
@@ -166,7 +168,7 @@ def bin_statistics(df: DataFrame, layout: Layout, columns: Sequence[str]) -> Dat
     """Differences (first one 0) split at their own quantiles; max, std, mean, median and outlier shares per bin."""
     keys, layout = list(layout.keys), layout.by(POS)
     d = add_diffs(df, layout, columns).select(
-        *keys, *[F.coalesce(f"_d_{c}", F.lit(0.0)).alias(f"_d_{c}") for c in columns]
+        *keys, POS, SIZE, *[F.coalesce(f"_d_{c}", F.lit(0.0)).alias(f"_d_{c}") for c in columns]
     )
     for c in columns:
         for i, (probs, _) in enumerate(BIN_SETS):
@@ -179,7 +181,7 @@ def bin_statistics(df: DataFrame, layout: Layout, columns: Sequence[str]) -> Dat
             index = sum(((edges[k] < v).cast("int") for k in range(1, len(probs))), (edges[0] < v).cast("int"))
             label = F.element_at(F.array(*[F.lit(f"{c}_q_{n}") for n in names]), index + 1)
             rows.append(F.struct(label.alias("bin"), v.alias("v")))
-    long = d.select(*keys, F.explode(F.array(*rows)).alias("_r")).select(*keys, "_r.*")
+    long = d.select(*keys, POS, SIZE, F.explode(F.array(*rows)).alias("_r")).select(*keys, POS, SIZE, "_r.*")
     long = long.where(F.col("bin").isNotNull() & (F.col("v") > F.lit(-S.INF)))
     part = layout.within("bin")
     long = with_group_values(long, part, {"_m": F.avg("v"), "_s": F.stddev("v")})
@@ -201,7 +203,7 @@ def _with_quantiles(df: DataFrame, layout: Layout, column: str, probs: Sequence[
         return with_group_values(df, layout, {name: q})
     found = exact_quantiles(df, layout, column, {f"_q{i}": p for i, p in enumerate(probs)})
     found = found.select(*layout.keys, F.array(*[f"_q{i}" for i in range(len(probs))]).alias(name))
-    return df.join(found, list(layout.keys))
+    return join_group_rows(df, found, layout)
 
 
 def row_counts(df: DataFrame, universe: DataFrame, key: str = KEY) -> DataFrame:
