@@ -31,10 +31,12 @@ from panelkit.llm.common import SHARD_BYTES, RangeHash, Scratch, long_list, mix,
 WIDTH = 400
 GRAM = 128
 BATCHES = 4
+#: Windows of a run are first compared in blocks of so many neighbours, by the text that all of a block share.
+BLOCK = 32
 
 _LOW = np.uint64(SHARD_BYTES * 2 - 1)
 _KEY, _WHOLE = RangeHash(11), RangeHash(12)
-_RUNS = "doc long, rid long, keys array<long>, wholes array<long>, los array<int>, his array<int>"
+_RUNS = "doc long, rid long, keys array<long>, wholes array<long>, los array<int>, his array<int>, ats array<int>"
 
 
 def _anchors(data: np.ndarray, width: int, gram: int) -> tuple[np.ndarray, np.ndarray]:
@@ -50,8 +52,8 @@ def _anchors(data: np.ndarray, width: int, gram: int) -> tuple[np.ndarray, np.nd
 
 
 def _runs(data: np.ndarray, starts: np.ndarray, width: int, gram: int) -> tuple[np.ndarray, ...]:
-    """Runs (key, whole, first and last window start) of concatenated texts that begin at ``starts`` (with the end)."""
-    empty = np.zeros(0, np.uint64), np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+    """Runs (key, whole, first and last window start, anchor) of concatenated texts that begin at ``starts`` (with the end)."""
+    empty = np.zeros(0, np.uint64), np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
     if len(data) < width:
         return empty
     anchor, hashes = _anchors(data, width, gram)
@@ -67,7 +69,7 @@ def _runs(data: np.ndarray, starts: np.ndarray, width: int, gram: int) -> tuple[
     lo = np.flatnonzero(valid & (change[:-1] | ~before))
     hi = np.flatnonzero(valid & (change[1:] | ~after))
     whole = mix(_WHOLE.ranges(_WHOLE.prefix(data), lo, hi + width) ^ (hi - lo).astype(np.uint64))
-    return hashes[anchor[lo]], whole, lo, hi
+    return hashes[anchor[lo]], whole, lo, hi, anchor[lo]
 
 
 def _find_runs(width: int, gram: int):
@@ -81,9 +83,9 @@ def _find_runs(width: int, gram: int):
                 for at in range(first, last if last - first > SHARD_BYTES else first + 1, SHARD_BYTES):
                     end = min(last, at + SHARD_BYTES + width - 1) if last - first > SHARD_BYTES else last
                     starts = np.array([0, end - at]) if last - first > SHARD_BYTES else offsets[i : j + 1] - first
-                    key, whole, lo, hi = _runs(data[at:end], starts, width, gram)
-                    parts.append((key, whole, lo + at, hi + at))
-                key, whole, lo, hi = (np.concatenate(x) for x in zip(*parts, strict=True))
+                    key, whole, lo, hi, anchor = _runs(data[at:end], starts, width, gram)
+                    parts.append((key, whole, lo + at, hi + at, anchor + at))
+                key, whole, lo, hi, anchor = (np.concatenate(x) for x in zip(*parts, strict=True))
                 rows = np.searchsorted(lo, offsets[i : j + 1])
                 base = np.repeat(offsets[i:j], np.diff(rows))
                 yield pa.RecordBatch.from_arrays(
@@ -94,8 +96,9 @@ def _find_runs(width: int, gram: int):
                         long_list(whole.view(np.int64), rows, pa.int64()),
                         long_list((lo - base).astype(np.int32), rows, pa.int32()),
                         long_list((hi - base).astype(np.int32), rows, pa.int32()),
+                        long_list((anchor - base).astype(np.int32), rows, pa.int32()),
                     ],
-                    names=["doc", "rid", "keys", "wholes", "los", "his"],
+                    names=["doc", "rid", "keys", "wholes", "los", "his", "ats"],
                 )
 
     return run
@@ -132,6 +135,11 @@ class SuffixLevels:
             self.scratch.drop(one)
             self.scratch.drop(two)
 
+    def drop(self) -> None:
+        """Delete the levels' files, where the family is not kept for later batches."""
+        for _, path in self.levels:
+            self.scratch.drop(path)
+
     def matches(self) -> tuple[DataFrame, DataFrame]:
         """(key, whole) of runs that repeat whole; keys of suffixes that stand in different surroundings."""
         read = self.scratch.spark.read
@@ -141,7 +149,13 @@ class SuffixLevels:
         )
 
 
-def _window_hashes(width: int, most: int = 1 << 19):
+_BLOCKS = "doc long, rid long, key long, core long, start int, hashes array<long>"
+
+
+def _window_blocks(width: int, most: int = 1 << 19):
+    """The windows of open runs in blocks: block j of a run has those that begin j * BLOCK bytes before the anchor, or up
+    to BLOCK - 1 more. All of them contain the same ``width - BLOCK + 1`` bytes, the core."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = text_buffer(batch.column("text"))
@@ -149,26 +163,32 @@ def _window_hashes(width: int, most: int = 1 << 19):
             parts: list[tuple[np.ndarray, ...]] = []
             held = 0
             for row, runs in enumerate(batch.column("found").to_pylist()):
-                at = int(offsets[row])
+                text = data[offsets[row] : offsets[row + 1]]
                 for x in runs:
-                    part = data[at + x["lo"] : at + x["hi"] + width]
-                    hashes = mix(_WHOLE.windows(_WHOLE.prefix(part), width)).view(np.int64)
-                    n = len(hashes)
+                    lo, hi, at = x["lo"], x["hi"], x["at"]
+                    prefix = _WHOLE.prefix(text[lo : hi + width])
+                    hashes = mix(_WHOLE.windows(prefix, width)).view(np.int64)
+                    j = np.arange((at - lo) // BLOCK, (at - hi) // BLOCK - 1, -1)
+                    first = np.maximum(at - BLOCK * j - BLOCK + 1, lo)
+                    core = at - BLOCK * j - lo
+                    cores = mix(_WHOLE.ranges(prefix, core, core + width - BLOCK + 1) + j.astype(np.uint64)).view(np.int64)
+                    n = len(j)
                     own = np.full(n, docs[row]), np.full(n, rids[row]), np.full(n, x["key"], np.int64)
-                    parts.append((*own, hashes, np.arange(x["lo"], x["hi"] + 1, dtype=np.int32)))
-                    held += n
+                    parts.append((*own, cores, first.astype(np.int32), np.diff(first, append=hi + 1), hashes))
+                    held += len(hashes)
                     if held >= most:
-                        yield _windows_batch(parts)
+                        yield _blocks_batch(parts)
                         parts, held = [], 0
             if parts:
-                yield _windows_batch(parts)
+                yield _blocks_batch(parts)
 
     return run
 
 
-def _windows_batch(parts: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
-    columns = [pa.array(np.concatenate(c)) for c in zip(*parts, strict=True)]
-    return pa.RecordBatch.from_arrays(columns, names=["doc", "rid", "key", "hash", "start"])
+def _blocks_batch(parts: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
+    *columns, counts, hashes = (np.concatenate(c) for c in zip(*parts, strict=True))
+    lists = long_list(hashes, np.concatenate([[0], np.cumsum(counts)]), pa.int64())
+    return pa.RecordBatch.from_arrays([*map(pa.array, columns), lists], names=["doc", "rid", "key", "core", "start", "hashes"])
 
 
 def _digest(width: int):
@@ -229,31 +249,41 @@ def repeated_spans(
             part = runs.filter(F.pmod(F.xxhash64("rid"), F.lit(batches)) == b)
             levels.add(part.select(F.explode(F.arrays_zip("keys", "wholes")).alias("x")).select("x.keys", "x.wholes").toDF("key", "whole"))
         full, mixed = levels.matches()
-        each = runs.select("doc", "rid", F.explode(F.arrays_zip("keys", "wholes", "los", "his")).alias("x"))
-        each = each.select("doc", "rid", "x.*").toDF("doc", "rid", "key", "whole", "lo", "hi")
+        each = runs.select("doc", "rid", F.explode(F.arrays_zip("keys", "wholes", "los", "his", "ats")).alias("x"))
+        each = each.select("doc", "rid", "x.*").toDF("doc", "rid", "key", "whole", "lo", "hi", "at")
         judged = scratch.table(
             each.join(full.withColumn("full", F.lit(True)), ["key", "whole"], "left")
             .join(mixed.withColumn("mixed", F.lit(True)), "key", "left")
             .filter("full or mixed")
         )
+        levels.drop()
         whole_spans = judged.filter("full").select("doc", "rid", "lo", (F.col("hi") + width).alias("end"))
-        one = F.min(F.struct("doc", "rid", "lo", "hi")).alias("x")  # equal runs have equal windows: hash those of one
+        one = F.min(F.struct("doc", "rid", "lo", "hi", "at")).alias("x")  # equal runs have equal windows: hash those of one
         open_runs = judged.filter("mixed").groupBy("key", "whole").agg(one).select("key", "x.*")
-        per_row = scratch.table(open_runs.groupBy("doc", "rid").agg(F.collect_list(F.struct("key", "lo", "hi")).alias("found")))
+        per_row = scratch.table(open_runs.groupBy("doc", "rid").agg(F.collect_list(F.struct("key", "lo", "hi", "at")).alias("found")))
+        found = rows.join(per_row, ["doc", "rid"]).select("doc", "rid", "text", "found")
+        blocks = scratch.table(found.mapInArrow(_window_blocks(width), _BLOCKS))
+        met = _in_two_places(blocks, "core")
+        each_window = F.posexplode("hashes").alias("i", "hash")
         windows = scratch.table(
-            rows.join(per_row, ["doc", "rid"])
-            .select("doc", "rid", "text", "found")
-            .mapInArrow(_window_hashes(width), "doc long, rid long, key long, hash long, start int")
+            blocks.join(met, ["key", "core"])
+            .select("doc", "rid", "key", "start", each_window)
+            .select("doc", "rid", "key", "hash", (F.col("start") + F.col("i")).alias("start"))
         )
-        place = F.struct("doc", "rid", "start")  # repeated rows give a place twice: count places
-        twice = windows.groupBy("key", "hash").agg(F.min(place).alias("a"), F.max(place).alias("b")).filter("a < b")
-        window_spans = windows.join(twice.select("key", "hash"), ["key", "hash"])
+        window_spans = windows.join(_in_two_places(windows, "hash"), ["key", "hash"])
         window_spans = window_spans.select("doc", "rid", F.col("start").alias("lo"), (F.col("start") + width).alias("end"))
         spans = whole_spans.unionByName(window_spans).groupBy("doc", "rid").agg(F.collect_set(F.struct("lo", "end")).alias("spans"))
         spans = scratch.table(spans)
     return rows.join(spans, ["doc", "rid"], "left").select("id", "text", "spans")
 
 
+def _in_two_places(found: DataFrame, hashed: str) -> DataFrame:
+    """The (key, hash) pairs met at two places at least. Repeated rows give one place several times: places count, not rows."""
+    place = F.xxhash64("doc", "rid", "start")
+    both = found.groupBy("key", hashed).agg(F.min(place).alias("a"), F.max(place).alias("b"))
+    return both.filter("a < b").select("key", hashed)
+
+
 def dedup_digest(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """The digest of ``repeated_spans``: id, n_bytes, n_removed, n_spans, kept_sha256, spans."""
     schema = "id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans array<struct<lo:int,end:int>>"
