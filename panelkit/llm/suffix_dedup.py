@@ -143,10 +143,10 @@ class SuffixLevels:
     def matches(self) -> tuple[DataFrame, DataFrame]:
         """(key, whole) of runs that repeat whole; keys of suffixes that stand in different surroundings."""
         read = self.scratch.spark.read
-        return (
-            read.schema("key long, whole long").parquet(*self.full).distinct(),
-            read.schema("key long").parquet(*self.mixed).distinct(),
-        )
+        full = read.schema("key long, whole long").parquet(*self.full).distinct()
+        mixed = read.schema("key long").parquet(*self.mixed).distinct()
+        # Written, not joined as aggregates: Spark splits skewed partitions of a join only between plain exchanges.
+        return self.scratch.table(full), self.scratch.table(mixed)
 
 
 _BLOCKS = "doc long, rid long, key long, core long, start int, hashes array<long>"
@@ -191,50 +191,53 @@ def _blocks_batch(parts: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([*map(pa.array, columns), lists], names=["doc", "rid", "key", "core", "start", "hashes"])
 
 
-def _digest(width: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            data, offsets = text_buffer(batch.column("text"))
-            spans = batch.column("spans").to_pylist()
-            out: list[list] = [[], [], [], []]
-            for row, found in enumerate(spans):
-                text = data[offsets[row] : offsets[row + 1]]
-                merged = merge_spans([(s["lo"], s["end"]) for s in found or ()])
-                sha, at, removed = hashlib.sha256(), 0, 0
-                for lo, end in merged:
-                    sha.update(text[at:lo].tobytes())
-                    at, removed = end, removed + end - lo
-                sha.update(text[at:].tobytes())
-                for column, value in zip(out, (len(text), removed, len(merged), sha.hexdigest()), strict=True):
-                    column.append(value)
-            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.string())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), *(pa.array(c, k) for c, k in zip(out, kinds, strict=True)), batch.column("spans")],
-                names=["id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "spans"],
-            )
-
-    return run
+_DIGEST = "id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans array<struct<lo:int,end:int>>"
+
+
+def _digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        data, offsets = text_buffer(batch.column("text"))
+        found = batch.column("covers").fill_null([])
+        covers, rows = found.flatten().to_numpy(), np.concatenate([[0], np.cumsum(found.value_lengths().to_numpy())])
+        removed, counts, shas, los, ends = [], [], [], [], []
+        for row in range(len(batch)):
+            text = data[offsets[row] : offsets[row + 1]]
+            lo, end = merge_covers(covers[rows[row] : rows[row + 1]])
+            sha, at = hashlib.sha256(), 0
+            for x, y in zip(lo.tolist(), end.tolist(), strict=True):
+                sha.update(text[at:x])
+                at = y
+            sha.update(text[at:])
+            removed.append(int((end - lo).sum()))
+            counts.append(len(lo))
+            shas.append(sha.hexdigest())
+            los.append(lo)
+            ends.append(end)
+        pairs = pa.StructArray.from_arrays([pa.array(np.concatenate(x), pa.int32()) for x in (los, ends)], names=["lo", "end"])
+        spans = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(counts)]), pa.int32()), pairs)
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("id"), pa.array(np.diff(offsets)), pa.array(removed, pa.int64()), pa.array(counts, pa.int64()), pa.array(shas), spans],
+            names=["id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "spans"],
+        )
 
 
-def merge_spans(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
-    """Overlapping or touching (start, end) become one."""
-    out: list[tuple[int, int]] = []
-    for lo, end in sorted(spans):
-        if out and lo <= out[-1][1]:
-            if end > out[-1][1]:
-                out[-1] = (out[-1][0], end)
-        else:
-            out.append((lo, end))
-    return out
+def merge_covers(covers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the maximal runs covered by (start << 32 | end) pairs; touching pairs are one run."""
+    if not len(covers):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    covers = np.sort(covers)
+    lo, end = covers >> 32, np.maximum.accumulate(covers & 0xFFFFFFFF)
+    new = np.concatenate([[True], lo[1:] > end[:-1]])
+    return lo[new], end[np.concatenate([np.flatnonzero(new)[1:] - 1, [len(end) - 1]])]
 
 
 def repeated_spans(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, width: int = WIDTH, gram: int = GRAM, batches: int = BATCHES
 ) -> DataFrame:
-    """Per row: id, text, spans array<struct<lo, end>> whose union covers every byte inside a string of ``width``
-    bytes that also starts anywhere else (same text included, overlaps count).
+    """Per row: id, text, covers array<long>: pairs (start << 32 | end) that cover together every byte inside a string of
+    ``width`` bytes that also starts anywhere else (same text included, overlaps count); null where there is none.
 
-    Ids may be null or repeated: equal rows are copies of each other and get the same spans. Null and empty texts, and
+    Ids may be null or repeated: equal rows are copies of each other and get the same pairs. Null and empty texts, and
     texts shorter than ``width``, have none. Other columns are ignored. An empty table gives an empty result.
     """
     if not 1 <= gram <= width:
@@ -257,24 +260,25 @@ def repeated_spans(
             .filter("full or mixed")
         )
         levels.drop()
-        whole_spans = judged.filter("full").select("doc", "rid", "lo", (F.col("hi") + width).alias("end"))
         one = F.min(F.struct("doc", "rid", "lo", "hi", "at")).alias("x")  # equal runs have equal windows: hash those of one
         open_runs = judged.filter("mixed").groupBy("key", "whole").agg(one).select("key", "x.*")
         per_row = scratch.table(open_runs.groupBy("doc", "rid").agg(F.collect_list(F.struct("key", "lo", "hi", "at")).alias("found")))
         found = rows.join(per_row, ["doc", "rid"]).select("doc", "rid", "text", "found")
         blocks = scratch.table(found.mapInArrow(_window_blocks(width), _BLOCKS))
-        met = _in_two_places(blocks, "core")
+        met = scratch.table(_in_two_places(blocks, "core"))
         each_window = F.posexplode("hashes").alias("i", "hash")
         windows = scratch.table(
             blocks.join(met, ["key", "core"])
             .select("doc", "rid", "key", "start", each_window)
             .select("doc", "rid", "key", "hash", (F.col("start") + F.col("i")).alias("start"))
         )
-        window_spans = windows.join(_in_two_places(windows, "hash"), ["key", "hash"])
-        window_spans = window_spans.select("doc", "rid", F.col("start").alias("lo"), (F.col("start") + width).alias("end"))
-        spans = whole_spans.unionByName(window_spans).groupBy("doc", "rid").agg(F.collect_set(F.struct("lo", "end")).alias("spans"))
-        spans = scratch.table(spans)
-    return rows.join(spans, ["doc", "rid"], "left").select("id", "text", "spans")
+        twice = scratch.table(_in_two_places(windows, "hash"))
+        cover = lambda lo, end: (F.shiftleft(F.expr(lo).cast("long"), 32) + F.expr(end)).alias("cover")
+        whole_covers = judged.filter("full").select("doc", "rid", cover("lo", f"hi + {width}"))
+        window_covers = windows.join(twice, ["key", "hash"]).select("doc", "rid", cover("start", f"start + {width}"))
+        covers = whole_covers.unionByName(window_covers).groupBy("doc", "rid").agg(F.collect_set("cover").alias("covers"))
+        covers = scratch.table(covers)
+    return rows.join(covers, ["doc", "rid"], "left").select("id", "text", "covers")
 
 
 def _in_two_places(found: DataFrame, hashed: str) -> DataFrame:
@@ -285,10 +289,8 @@ def _in_two_places(found: DataFrame, hashed: str) -> DataFrame:
 
 
 def dedup_digest(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """The digest of ``repeated_spans``: id, n_bytes, n_removed, n_spans, kept_sha256, spans."""
-    schema = "id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans array<struct<lo:int,end:int>>"
-    width = options.get("width", WIDTH)
-    return repeated_spans(docs, id_col, text_col, **options).mapInArrow(_digest(width), schema).withColumnRenamed("id", id_col)
+    """Per row: id, n_bytes, n_removed, n_spans, kept_sha256 of the remaining bytes, spans (the maximal removed runs)."""
+    return repeated_spans(docs, id_col, text_col, **options).mapInArrow(_digest, _DIGEST).withColumnRenamed("id", id_col)
 
 
 def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
