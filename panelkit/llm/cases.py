@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+from panelkit.llm.chunk_dedup import op8_chunk_dedup
+from panelkit.llm.decontaminate import OP6_SQL, op6_decontaminate
 from panelkit.llm.suffix_dedup import op2_suffix_dedup
 
 CASES = {
     "op2_suffix_dedup": (op2_suffix_dedup, None),
+    "op6_decontaminate": (op6_decontaminate, OP6_SQL),
+    "op8_chunk_dedup": (op8_chunk_dedup, None),
 }
