@@ -4,10 +4,16 @@ from __future__ import annotations
 
 from panelkit.llm.chunk_dedup import op8_chunk_dedup
 from panelkit.llm.decontaminate import OP6_SQL, op6_decontaminate
+from panelkit.llm.pii import op1_pii_crf
+from panelkit.llm.sentencepiece import op3_sentencepiece
 from panelkit.llm.suffix_dedup import op2_suffix_dedup
+from panelkit.llm.token_counts import op10_token_counts
 
 CASES = {
+    "op1_pii_crf": (op1_pii_crf, None),
     "op2_suffix_dedup": (op2_suffix_dedup, None),
+    "op3_sentencepiece": (op3_sentencepiece, None),
     "op6_decontaminate": (op6_decontaminate, OP6_SQL),
     "op8_chunk_dedup": (op8_chunk_dedup, None),
+    "op10_token_counts": (op10_token_counts, None),
 }
