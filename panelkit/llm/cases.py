@@ -8,12 +8,16 @@ from panelkit.llm.pii import op1_pii_crf
 from panelkit.llm.sentencepiece import op3_sentencepiece
 from panelkit.llm.suffix_dedup import op2_suffix_dedup
 from panelkit.llm.token_counts import op10_token_counts
+from panelkit.llm.topk_search import OP9_SQL, op9_cover_tree
+from panelkit.llm.url_rules import OP4_SQL, op4_url_rules
 
 CASES = {
     "op1_pii_crf": (op1_pii_crf, None),
     "op2_suffix_dedup": (op2_suffix_dedup, None),
     "op3_sentencepiece": (op3_sentencepiece, None),
+    "op4_url_rules": (op4_url_rules, OP4_SQL),
     "op6_decontaminate": (op6_decontaminate, OP6_SQL),
     "op8_chunk_dedup": (op8_chunk_dedup, None),
+    "op9_cover_tree": (op9_cover_tree, OP9_SQL),
     "op10_token_counts": (op10_token_counts, None),
 }
