@@ -21,13 +21,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from panelkit.llm.common import ship
+from panelkit.llm.common import shards, ship, text_buffer
 from panelkit.llm.vocab import BYTE, MARK, NORMAL, PIECES, USER, log_scores, read_pieces
 
 #: Stretches remembered by a task, none longer than so many bytes; then it starts afresh.
 REMEMBERED, REMEMBERED_BYTES = 300_000, 64
+#: Bytes of text whose stretches are looked up at once, and stretches searched in step.
+_AT_ONCE, _TOGETHER = 1 << 22, 8192
 _STRETCH = re.compile(rb" +[^ ]*")
 _UNKNOWN_PENALTY = 10.0
+_CHAR_SIZE = np.repeat(np.array([1, 2, 3, 4]), [0xC0, 0x20, 0x10, 0x10])
 
 
 class DoubleArray:
@@ -85,9 +88,14 @@ class DoubleArray:
 
 
 class Segmenter:
-    """Viterbi over the arrays of a ``DoubleArray``; ``bytes_`` are the ids of the 256 byte pieces."""
+    """Viterbi over the arrays of a ``DoubleArray``; ``bytes_`` are the ids of the 256 byte pieces.
+
+    ``path`` searches one text; ``paths`` searches many short ones in step, with the same choices.
+    """
 
     def __init__(self, arrays: tuple[np.ndarray, ...], scores: np.ndarray, bytes_: np.ndarray, least: float) -> None:
+        self.arrays = tuple(np.append(a, np.full(256, -1, np.int32)) for a in arrays)  # a child may lie past the end
+        self.score_of = scores
         self.base, self.check, self.value = (a.tolist() for a in arrays)
         self.scores = scores.tolist()
         self.bytes = bytes_.tolist()
@@ -107,7 +115,7 @@ class Segmenter:
             if here == none:
                 continue
             lead = text[i]
-            size = 1 if lead < 0x80 else 2 if lead < 0xE0 else 3 if lead < 0xF0 else 4
+            size = 1 if lead < 0xC0 else 2 if lead < 0xE0 else 3 if lead < 0xF0 else 4
             single = False
             v = 0
             for j in range(i, n):
@@ -136,24 +144,84 @@ class Segmenter:
             at = i
         return out[::-1]
 
-    def encode(self, text: bytes, whole: bool) -> bytes:
-        """The ids of a text as 32-bit numbers; ``whole``: pieces may cross spaces."""
-        if not text:
-            return b""
-        text = b" " + text
+    def paths(self, texts: list[bytes]) -> list[bytes]:
+        """``path`` of each text, as 32-bit numbers, for texts of like length."""
+        base, check, value = self.arrays
+        n = len(texts)
+        length = np.array([len(t) for t in texts])
+        most = int(length.max())
+        data = np.frombuffer(b"".join(t.ljust(most, b"\0") for t in texts), np.uint8).reshape(n, most)
+        size = _CHAR_SIZE[data]
+        best = np.full((n, most + 1), -np.inf)
+        best[:, 0] = 0
+        start, piece = np.zeros((n, most + 1), np.int32), np.full((n, most + 1), -1, np.int32)
+        byte_ids = np.array(self.bytes, np.int32)
+
+        def offer(rows: np.ndarray, i: int, j: np.ndarray | int, scores: np.ndarray, pieces: np.ndarray) -> None:
+            better = scores > best[rows, j]
+            rows = rows[better]
+            j = j if isinstance(j, int) else j[better]
+            best[rows, j], start[rows, j] = scores[better], i
+            piece[rows, j] = pieces[better]
+
+        for i in range(most):
+            live = np.flatnonzero((length > i) & (best[:, i] > -np.inf))
+            single = np.zeros(n, bool)
+            rows, v = live, np.zeros(len(live), np.int32)
+            for j in range(i, most):
+                to = base[v] + data[rows, j]
+                on = (check[to] == v) & (to != 0) & (length[rows] > j)
+                rows, v = rows[on], to[on]
+                if not len(rows):
+                    break
+                p = value[v]
+                ends = p >= 0
+                own = rows[ends]
+                offer(own, i, j + 1, best[own, i] + self.score_of[p[ends]], p[ends])
+                single[own[size[own, i] == j + 1 - i]] = True
+            rows = live[~single[live]]
+            if len(rows):
+                ends = np.minimum(i + size[rows, i], length[rows])
+                # An unknown single byte is its byte's piece at once.
+                offer(rows, i, ends, best[rows, i] + self.unknown, np.where(size[rows, i] == 1, byte_ids[data[rows, i]], -1))
+        out = np.zeros((n, most), np.int32)
+        at, count, plain = length.copy(), np.zeros(n, np.int64), np.ones(n, bool)
+        rows = np.flatnonzero(at > 0)
+        while len(rows):
+            p = piece[rows, at[rows]]
+            plain[rows[p < 0]] = False
+            count[rows] += 1
+            out[rows, most - count[rows]] = p
+            at[rows] = start[rows, at[rows]]
+            rows = rows[at[rows] > 0]
+        raw = out.tobytes()
+        ends = np.arange(1, n + 1) * (4 * most)
+        return [
+            raw[e - 4 * c : e] if ok else np.array(self.path(t), np.int32).tobytes()
+            for t, c, e, ok in zip(texts, count.tolist(), ends.tolist(), plain.tolist(), strict=True)
+        ]
+
+    def learn(self, stretches: set[bytes]) -> None:
+        """Remember the paths of stretches not seen before."""
+        new = sorted((s for s in stretches - self.memo.keys() if len(s) <= REMEMBERED_BYTES), key=len)
+        if len(self.memo) + len(new) > REMEMBERED:
+            self.memo.clear()
+            new = sorted((s for s in stretches if len(s) <= REMEMBERED_BYTES), key=len)
+        for at in range(0, len(new), _TOGETHER):
+            some = new[at : at + _TOGETHER]
+            self.memo.update(zip(some, self.paths(some), strict=True))
+
+    def encode(self, texts: list[bytes], whole: bool) -> list[bytes]:
+        """The ids of each text as 32-bit numbers; ``whole``: pieces may cross spaces."""
         if whole:
-            return np.array(self.path(text), np.int32).tobytes()
-        memo, out = self.memo, []
-        for stretch in _STRETCH.findall(text):
-            ids = memo.get(stretch)
-            if ids is None:
-                ids = np.array(self.path(stretch), np.int32).tobytes()
-                if len(stretch) <= REMEMBERED_BYTES:
-                    if len(memo) >= REMEMBERED:
-                        memo.clear()
-                    memo[stretch] = ids
-            out.append(ids)
-        return b"".join(out)
+            return [np.array(self.path(b" " + t) if t else [], np.int32).tobytes() for t in texts]
+        found = [_STRETCH.findall(b" " + t) if t else [] for t in texts]
+        self.learn(set().union(*found))
+        return [b"".join(map(self._ids, stretches)) for stretches in found]
+
+    def _ids(self, stretch: bytes) -> bytes:
+        ids = self.memo.get(stretch)
+        return np.array(self.path(stretch), np.int32).tobytes() if ids is None else ids
 
 
 class PieceModel:
@@ -179,10 +247,17 @@ class PieceModel:
     def segmenter(self) -> Segmenter:
         return Segmenter(self.arrays, self.scores, self.bytes, self.least)
 
-    def decode(self, ids: np.ndarray) -> bytes:
-        texts, n = self.texts, len(self.texts)
-        joined = b"".join([texts[k] for k in ids.tolist() if 0 <= k < n])
-        return joined[1:] if joined[:1] == b" " else joined
+    def decode(self, ids: np.ndarray, ends: np.ndarray) -> list[bytes]:
+        """The bytes of each row of ids; ``ends`` are the rows' offsets."""
+        if not hasattr(self, "flat"):
+            sizes = np.array([*map(len, self.texts), 0])  # the last one stands for ids of no piece
+            self.flat, self.sizes, self.begin = np.frombuffer(b"".join(self.texts), np.uint8), sizes, np.cumsum(sizes) - sizes
+        ids = np.where((ids >= 0) & (ids < len(self.texts)), ids, len(self.texts))
+        sizes = self.sizes[ids]
+        after = np.concatenate([[0], np.cumsum(sizes)])
+        joined = self.flat[np.repeat(self.begin[ids] - after[:-1], sizes) + np.arange(after[-1])].tobytes()
+        cuts = after[ends].tolist()
+        return [joined[a + (joined[a : a + 1] == b" ") : b] if a < b else b"" for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
 
 
 _MODELS: dict[str, PieceModel] = {}
@@ -205,7 +280,10 @@ def _encode(shared, text_col: str, ids_col: str):
         segmenter = _SEGMENTERS[key]
         for batch in batches:
             texts = batch.column(text_col).cast(pa.large_binary())
-            rows = [segmenter.encode(t.as_py() or b"", model.whole) for t in texts]
+            _, offsets = text_buffer(texts)
+            rows = []
+            for i, j in shards(offsets, _AT_ONCE):
+                rows += segmenter.encode([t or b"" for t in texts[i:j].to_pylist()], model.whole)
             ends = np.concatenate([[0], np.cumsum([len(r) // 4 for r in rows])]).astype(np.int32)
             values = pa.array(np.frombuffer(b"".join(rows), np.int32))
             missing = texts.is_null()
@@ -232,11 +310,13 @@ def _decode(shared, ids_col: str, text_col: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model: PieceModel = shared.value
         for batch in batches:
-            ids = batch.column(ids_col)
-            texts = [
-                None if x is None else model.decode(x.values.fill_null(-1).to_numpy()).decode("utf-8", "replace")
-                for x in (s if s.is_valid else None for s in ids)
-            ]
+            texts: list[str | None] = []
+            for at in range(0, len(batch), 512):
+                rows = batch.column(ids_col).slice(at, 512)
+                filled = rows.fill_null([])
+                ends = np.concatenate([[0], np.cumsum(filled.value_lengths().to_numpy())])
+                found = model.decode(filled.flatten().fill_null(-1).to_numpy(), ends)
+                texts += [t.decode("utf-8", "replace") if ok else None for t, ok in zip(found, rows.is_valid().to_pylist(), strict=True)]
             columns = [batch.column(c) for c in batch.schema.names]
             yield pa.RecordBatch.from_arrays([*columns, pa.array(texts, pa.string())], names=[*batch.schema.names, text_col])
 
