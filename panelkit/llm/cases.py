@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from panelkit.llm.chunk_dedup import op8_chunk_dedup
 from panelkit.llm.decontaminate import OP6_SQL, op6_decontaminate
+from panelkit.llm.near_duplicates import op5_near_duplicates
 from panelkit.llm.pii import op1_pii_crf
 from panelkit.llm.quality import op7_quality_em
 from panelkit.llm.sentencepiece import op3_sentencepiece
@@ -17,6 +18,7 @@ CASES = {
     "op2_suffix_dedup": (op2_suffix_dedup, None),
     "op3_sentencepiece": (op3_sentencepiece, None),
     "op4_url_rules": (op4_url_rules, OP4_SQL),
+    "op5_near_duplicates": (op5_near_duplicates, None),
     "op6_decontaminate": (op6_decontaminate, OP6_SQL),
     "op7_quality_em": (op7_quality_em, None),
     "op8_chunk_dedup": (op8_chunk_dedup, None),
