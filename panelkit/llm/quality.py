@@ -21,7 +21,7 @@ from panelkit.llm.common import RangeHash, mix, ship, text_buffer
 from panelkit.llm.decontaminate import word_hashes
 
 #: Texts at most on which the scorer is trained, drawn by a hash of their content.
-SAMPLE_ROWS = 12_000
+SAMPLE_ROWS = 6_000
 SLOTS = 1 << 12
 THRESHOLD = 0.5
 
@@ -191,13 +191,16 @@ def _features(stats: np.ndarray, trigrams: np.ndarray) -> tuple[np.ndarray, np.n
     return shares, np.stack(bins, axis=1)
 
 
+_USED = np.unique(np.concatenate([_TRIGRAM_SLOTS, _BIN_SLOTS]))
+
+
 def vectors(stats: np.ndarray, trigrams: np.ndarray) -> np.ndarray:
-    """Hashed feature rows."""
+    """Hashed feature rows; the columns are the slots in use."""
     shares, bins = _features(stats, trigrams)
-    out = np.zeros((len(stats), SLOTS), np.float32)
-    out[:, _TRIGRAM_SLOTS[_ORDER[_FIRST]]] = np.add.reduceat(shares[:, _ORDER], _FIRST, axis=1)
+    out = np.zeros((len(stats), len(_USED)), np.float32)
+    out[:, np.searchsorted(_USED, _TRIGRAM_SLOTS[_ORDER[_FIRST]])] = np.add.reduceat(shares[:, _ORDER], _FIRST, axis=1)
     rows = np.arange(len(stats))
-    for column in bins.T:
+    for column in np.searchsorted(_USED, bins).T:
         out[rows, column] += 0.5
     return out
 
@@ -211,17 +214,15 @@ def scores(stats: np.ndarray, trigrams: np.ndarray, weights: np.ndarray) -> np.n
 
 def fit_scorer(x: np.ndarray, target: np.ndarray, rounds: int = 150, decay: float = 1e-4) -> np.ndarray:
     """Logistic regression on soft labels by Adam steps over all rows; the last weight is the constant."""
-    x = np.concatenate([x, np.ones((len(x), 1), x.dtype)], axis=1)
-    used = np.flatnonzero(x.any(axis=0))
-    own = x[:, used].astype(np.float32)
-    w, first, second = (np.zeros(len(used)) for _ in range(3))
+    w, first, second = (np.zeros(x.shape[1] + 1) for _ in range(3))
     for step in range(1, rounds + 1):
-        p = 1 / (1 + np.exp(-np.clip(own @ w.astype(np.float32), -30, 30)))
-        g = own.T @ (p - target).astype(np.float32) / max(len(own), 1) + decay * w
+        gap = x @ w[:-1].astype(np.float32) + w[-1]
+        wrong = 1 / (1 + np.exp(-np.clip(gap, -30, 30))) - target
+        g = np.append(x.T @ wrong.astype(np.float32), wrong.sum()) / max(len(x), 1) + decay * w
         first, second = 0.9 * first + 0.1 * g, 0.999 * second + 0.001 * g * g
         w -= 0.1 * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.999**step)) + 1e-8)
     out = np.zeros(SLOTS + 1)
-    out[used] = w
+    out[_USED], out[-1] = w[:-1], w[-1]
     return out
 
 
