@@ -21,6 +21,7 @@ from panelkit.session import shared_dir
 #: Bytes of text handled at once inside a task.
 SHARD_BYTES = 1 << 18
 
+_BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
@@ -42,8 +43,13 @@ def tidy_shuffles(spark: SparkSession) -> Iterator[None]:
 
 
 def ship(spark: SparkSession) -> None:
-    """Give the executors' Python this package, once per context, as ``--py-files`` would."""
+    """Give the executors' Python this package, once per context, as ``--py-files`` would.
+
+    Texts are long rows: Spark's default of 10,000 rows per Arrow batch is lowered for the session, a set value is kept.
+    """
     sc = spark.sparkContext
+    if spark.conf.get(_BATCH_ROWS) == "10000":
+        spark.conf.set(_BATCH_ROWS, "2048")
     if getattr(sc, "_panelkit_shipped", False):
         return
     top = Path(__file__).resolve().parents[1]
