@@ -1,0 +1,258 @@
+"""Text operators against plain searches, and on awkward tables."""
+
+import hashlib
+import re
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from panelkit.llm import chunk_dedup, decontaminate, near_duplicates, pii, quality, sentencepiece, suffix_dedup, token_counts, topk_search, url_rules
+from panelkit.llm.vocab import MARK, NORMAL, read_pieces
+
+
+def plain_repeats(texts, width):
+    """(n_bytes, n_removed, n_spans, sha256 of the rest) of each text, by counting every window."""
+    raw = [(t or "").encode() for t in texts]
+    seen = Counter(b[p : p + width] for b in raw for p in range(len(b) - width + 1))
+    out = []
+    for b in raw:
+        gone = bytearray(len(b))
+        for p in range(len(b) - width + 1):
+            if seen[b[p : p + width]] > 1:
+                gone[p : p + width] = b"\1" * width
+        kept = bytes(x for x, y in zip(b, gone, strict=True) if not y)
+        spans = sum(1 for k, y in enumerate(gone) if y and (k == 0 or not gone[k - 1]))
+        out.append((len(b), sum(gone), spans, hashlib.sha256(kept).hexdigest()))
+    return out
+
+
+def test_suffix_dedup_is_exact(spark):
+    rng = np.random.default_rng(3)
+    base = ["".join(rng.choice(list("abc def"), 300)) for _ in range(6)]
+    texts = [*base, base[0], base[1][:150] + "X" + base[2][100:], "q" * 200, base[3][50:120] * 3, None, "", base[4][:60], base[0][10:]]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in suffix_dedup.dedup_digest(docs, width=60, gram=20, batches=3).collect()}
+    assert [got[k] for k in range(len(texts))] == plain_repeats(texts, 60)
+
+
+def test_suffix_dedup_on_the_table(spark, documents):
+    some = documents.head(80)
+    got = suffix_dedup.dedup_digest(spark.createDataFrame(some)).toPandas().set_index("doc_id")
+    want = plain_repeats(some.text, 400)
+    assert [tuple(got.loc[i, ["n_bytes", "n_removed", "n_spans", "kept_sha256"]]) for i in some.doc_id] == want
+
+
+def test_long_texts_are_cut_without_loss():
+    text = np.frombuffer(np.random.default_rng(1).bytes(700_000), np.uint8)
+    whole = chunk_dedup.boundaries(text, np.array([0, len(text)]))
+    shifted = chunk_dedup.boundaries(np.concatenate([text[:5], text]), np.array([0, len(text) + 5]))
+    assert len(set(whole + 5) & set(shifted)) > 0.99 * len(whole)  # an insertion moves cuts near it only
+
+
+def test_chunk_dedup_finds_shared_passages(spark):
+    rng = np.random.default_rng(5)
+    word = lambda: "".join(rng.choice(list("abcdefgh"), 5))
+    text = lambda n: " ".join(word() for _ in range(n))
+    passage = text(120)
+    rows = [(k, text(80) + passage + text(60 + k)) for k in range(5)] + [(k, text(200)) for k in range(5, 15)]
+    got = {r.doc_id: r for r in chunk_dedup.chunk_dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert all(got[k].n_shared > 0.6 * len(passage) for k in range(5))
+    assert got[0].n_removed == 0 and all(got[k].n_removed == got[k].n_shared for k in range(1, 5))
+    assert all(got[k].n_shared == 0 for k in range(5, 15))
+
+
+def plain_windows(docs, items, window=13):
+    words = lambda t: re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m.group().lower(), t or ""))
+    sets = defaultdict(set)
+    for i, t in items:
+        w = words(t)
+        n = min(len(w), window)
+        for k in range(len(w) - n + 1 if n else 0):
+            sets[n, tuple(w[k : k + n])].add(i)
+    out = []
+    for t in docs:
+        w, hit, found = words(t), set(), set()
+        for n in {n for n, _ in sets}:
+            for k in range(len(w) - n + 1):
+                if own := sets.get((n, tuple(w[k : k + n]))):
+                    hit |= set(range(k, k + n))
+                    found |= own
+        out.append((len(w), len(hit), sorted(found)))
+    return out
+
+
+@pytest.mark.parametrize("block", [1 << 20, 60])
+def test_decontamination_matches_plain_windows(spark, block):
+    items = [(1, "One two Three four five six seven eight nine ten eleven twelve thirteen fourteen"), (2, "short item"), (3, None), (4, "--"), (5, "uno")]
+    docs = ["x ONE two three four five six seven eight nine ten eleven twelve thirteen y", "a short item, short item", None, "", "uno", "one two three", "Ünï short  item2"]
+    left = spark.createDataFrame([(k, t, "c") for k, t in enumerate(docs)], "doc_id long, text string, hits string")
+    right = spark.createDataFrame(items, "item_id long, text string")
+    got = decontaminate.find_contamination(left, right, block_bytes=block).orderBy("doc_id").collect()
+    assert [(r.n_words, r.n_hit, list(r["items"])) for r in got] == plain_windows(docs, items)
+    assert got[0].longest == 13 and got[0].longest_at == 1
+
+
+def test_base_patterns_are_the_plain_ones():
+    email = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
+    ip = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+    card, phone = re.compile(r"[0-9]([\x20-]?[0-9])+"), re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
+    n = lambda s: sum(c in "0123456789" for c in s)
+
+    def plain(t):
+        out = [("email", *m.span()) for m in email.finditer(t)]
+        out += [("ip", *m.span()) for m in ip.finditer(t) if all(int(p) <= 255 for p in m.group().split("."))]
+        out += [("card", *m.span()) for m in card.finditer(t) if 14 <= n(m.group()) <= 19 and pii.luhn(re.sub("[^0-9]", "", m.group()))]
+        out += [("phone", *m.span()) for m in phone.finditer(t) if 10 <= n(m.group()) <= 15]
+        return pii.sort_spans(out)
+
+    rng = np.random.default_rng(0)
+    alphabet = list("ab.@@+-_ ()1234567890..  é") + ["4111111111111111", "+1 (555) 555-0100", "10.2.33.4", "x@y.zz"]
+    for _ in range(3000):
+        t = "".join(rng.choice(alphabet, 25))
+        assert pii.base_spans(t) == plain(t), t
+
+
+def test_crf_on_held_out_rows():
+    finder = pii.Finder(pii.default_model())
+    rows = pii.training_table(300, seed=77)
+    got = finder.spans([r["text"] for r in rows])
+    hit = sum(s in spans for r, (_, spans) in zip(rows, got, strict=True) for s in r["spans"])
+    assert hit >= 0.93 * sum(len(r["spans"]) for r in rows)
+    assert all(set(base) <= set(spans) for base, spans in got)
+
+
+def test_pieces_round_trip_and_score():
+    model = sentencepiece.PieceModel()
+    segmenter = model.segmenter()
+    texts = ["", " ", "a  b ", "\t x\n\n y 🙂 日本", "▁a", "hello world", "ñandú " * 50, "x" * 300]
+    for text, raw in zip(texts, segmenter.encode([t.encode() for t in texts], model.whole), strict=True):
+        ids = np.frombuffer(raw, np.int32)
+        assert model.decode(ids, np.array([0, len(ids)]))[0].decode() == text
+        if text:
+            whole = segmenter.path(b" " + text.encode())
+            score = lambda x: sum(model.scores[k] for k in x if model.scores[k] < 0)
+            assert abs(score(whole) - score(ids.tolist())) < 1e-6
+
+
+def test_token_counts_are_greedy():
+    pieces = [p.text for p in read_pieces() if p.kind == NORMAL]
+    known, automaton, longest = set(pieces), token_counts.Automaton(pieces), max(map(len, pieces))
+
+    def greedy(word):
+        at = n = 0
+        while at < len(word):
+            end = next((e for e in range(min(len(word), at + longest), at, -1) if word[at:e] in known), None)
+            if end is None:
+                return -1
+            at, n = end, n + 1
+        return n
+
+    rng = np.random.default_rng(2)
+    for _ in range(3000):
+        word = MARK + "".join(rng.choice(list("abcdeinorst.,'1éß日"), rng.integers(1, 14)))
+        assert automaton.count(word) == greedy(word), word
+
+
+def test_url_rules_nest(spark):
+    rules = [("com", "/", "allow"), ("a.com", "/x", "block"), ("b.a.com", "/x/y", "allow"), ("com", "", "block"), ("", "/", "block"), ("a.com", "/x", "allow")]
+    urls = ["http://b.a.com/x/y?q", "http://B.A.com/x", "http://ba.com/x/y", "http://a.com", "ftp://c.net/x", "none", None, "http://x.b.a.com/x/yz#f", "://", "http://b.a.com/x/y?q"]
+    pages = spark.createDataFrame([(k, u, "r") for k, u in enumerate(urls)], "page_id long, url string, rule string")
+    table = spark.createDataFrame(rules, "host string, path string, verdict string")
+    got = {r.page_id: r for r in url_rules.judge_urls(pages, table, salts=3).collect()}
+    kept = {}
+    for h, p, v in rules:
+        if h:
+            kept[h, p] = max(v, kept.get((h, p), v))
+    for k, u in enumerate(urls):
+        rest = u.split("://", 1)[1] if u and "://" in u else ""
+        host, path = re.match(r"[^/?#]*", rest).group().lower(), re.match(r"[^/?#]*([^?#]*)", rest).group(1)
+        fits = [(len(h + p), h + p, v) for (h, p), v in kept.items() if (host == h or host.endswith("." + h)) and path.startswith(p)]
+        best = max(fits, default=(0, None, "allow"))
+        assert (got[k].host, got[k].path, got[k].rule, got[k].verdict) == (host, path, *best[1:])
+
+
+def test_top_k_is_exact(spark):
+    rng = np.random.default_rng(4)
+    rows = [(int(i), [float(x) for x in rng.normal(size=8) * (1 if i % 3 else 0.1)]) for i in range(400)]
+    rows += [(400, rows[0][1]), (401, None), (402, [float("nan")] * 8), (403, [1.0] * 3), (None, rows[1][1]), (404, [None] * 8)]
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = topk_search.top_k(vectors, F.col("vec_id") % 50 == 0, data_block=90, query_block=3).collect()
+    whole = {i: np.floor(256 * np.array(v)).astype(int) for i, v in rows if i is not None and v and None not in v and np.isfinite(v).all()}
+    want = []
+    for q in (i for i in whole if i % 50 == 0):
+        best = sorted((-int(whole[q] @ v), i) for i, v in whole.items() if i != q and len(v) == len(whole[q]))[:5]
+        want += [(q, k + 1, i, -s) for k, (s, i) in enumerate(best)]
+    assert sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in got) == sorted(want)
+
+
+def test_near_duplicates_match_all_pairs(spark, documents):
+    got = near_duplicates.near_duplicate_classes(spark.createDataFrame(documents)).toPandas().set_index("id")
+    sets = {i: near_duplicates.shingle_counts(np.frombuffer((t or "").encode(), np.uint8))[:2] for i, t in zip(documents.doc_id, documents.text, strict=True)}
+    ids = sorted(sets)
+    parent = {i: i for i in ids}
+
+    def root(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for k, a in enumerate(ids):
+        for b in ids[k + 1 :]:
+            if near_duplicates.weighted_jaccard(*_floats(sets[a]), *_floats(sets[b])) >= 0.8:
+                parent[max(root(a), root(b))] = min(root(a), root(b))
+    same = sum(got.class_id[i] == root(i) for i in ids)
+    assert same >= 0.98 * len(ids)  # frequencies move a few similarities across the threshold
+    assert got.stays.sum() == got.class_id.nunique()
+
+
+def _floats(counted):
+    return counted[0], counted[1].astype(float)
+
+
+def test_samples_agree_as_often_as_sets_are_similar():
+    rng = np.random.default_rng(0)
+    agree, similar = [], []
+    for _ in range(60):
+        items, weights = rng.integers(0, 1 << 63, 100).astype(np.uint64), rng.integers(1, 4, 100).astype(float)
+        a, b = np.sort(items[:90]), np.sort(items[10:])
+        w = dict(zip(items.tolist(), weights, strict=True))
+        wa, wb = (np.array([w[x] for x in s.tolist()]) for s in (a, b))
+        agree.append((near_duplicates.weighted_samples(a, wa) == near_duplicates.weighted_samples(b, wb)).mean())
+        similar.append(near_duplicates.weighted_jaccard(a, wa, b, wb))
+    assert abs(np.mean(agree) - np.mean(similar)) < 0.03
+
+
+def test_quality_against_held_labels(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    labels = spark.read.parquet(f"{sf}/labels.parquet")
+    got = quality.judge(docs).join(labels, "doc_id").select("keep", "quality").toPandas()
+    assert (got.keep == (got.quality == 1)).mean() > 0.93
+    assert got[got.quality == 1].keep.mean() > 0.97
+
+
+ROW_OPERATORS = {
+    "suffix": lambda d: suffix_dedup.dedup_digest(d),
+    "chunks": lambda d: chunk_dedup.chunk_dedup(d),
+    "contamination": lambda d: decontaminate.find_contamination(d, d.select(F.col("doc_id").alias("item_id"), F.substring("text", 1, 80).alias("text"))),
+    "pii": lambda d: pii.find_pii(d),
+    "mask": lambda d: pii.mask_pii(d),
+    "pieces": lambda d: sentencepiece.decode(sentencepiece.encode(d)),
+    "tokens": lambda d: token_counts.token_counts(d),
+    "quality": lambda d: quality.judge(d),
+    "near": lambda d: near_duplicates.near_duplicate_classes(d),
+}
+
+
+@pytest.mark.parametrize("name", ROW_OPERATORS)
+def test_awkward_and_empty_tables(awkward, name):
+    got = ROW_OPERATORS[name](awkward).toPandas()
+    assert len(got) == awkward.count()
+    assert ROW_OPERATORS[name](awkward.filter("false")).count() == 0
+    if name == "suffix":
+        assert sorted(got.n_removed)[-3:] == sorted([900, *[len("lorem ipsum dolor sit amet " * 20_000)] * 2])
+    if name == "pieces":
+        assert all(a == b or (a is None and b is None) for a, b in zip(got.decoded, got.text, strict=True))
+    if name == "near":
+        assert got[got.id == 4].class_id.tolist() == got[got.id == 5].class_id.tolist() == [4]
