@@ -15,9 +15,15 @@ PANEL_KEY = ("inn_id", "week")
 
 
 def join_runs(runs: Sequence[DataFrame], keys: Sequence[str] = PANEL_KEY, value: str = "predict") -> DataFrame:
-    """Inner join of prediction frames, one column ``{value}_{i}`` per run."""
-    named = [r.select(*keys, F.col(value).alias(f"{value}_{i}")) for i, r in enumerate(runs, 1)]
-    return reduce(lambda a, b: a.join(b, list(keys)), named)
+    """Keys that occur in every prediction frame, one column ``{value}_{i}`` per run.
+
+    The runs are stacked and grouped once: one shuffle for any number of runs. A key must occur at most once per run; rows
+    with a null key match nothing.
+    """
+    tagged = [r.select(*keys, F.col(value).alias(value), F.lit(i).alias("run")) for i, r in enumerate(runs, 1)]
+    stacked = reduce(DataFrame.unionByName, tagged).dropna(subset=list(keys))
+    columns = [F.max(F.when(F.col("run") == i, F.col(value))).alias(f"{value}_{i}") for i in range(1, len(runs) + 1)]
+    return stacked.groupBy(*keys).agg(F.count("*").alias("_runs"), *columns).filter(F.col("_runs") == len(runs)).drop("_runs")
 
 
 def row_mean(columns: Sequence[str]) -> Column:

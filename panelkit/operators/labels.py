@@ -74,9 +74,9 @@ def label_table(
 
 def sample_rows(df: DataFrame, n: int, key: str, seed: int = 127) -> DataFrame:
     """Exactly n rows, the same ones for the same seed (an ordered limit: each task keeps n rows only)."""
-    return df.orderBy(F.xxhash64(key, F.lit(seed)), key).limit(n)
+    return df.orderBy(F.md5(F.concat(F.col(key).cast("string"), F.lit(f":{seed}"))), key).limit(n)
 
 
 def sample_keys(df: DataFrame, n: int, key: str) -> DataFrame:
-    """n distinct keys, chosen by their hash."""
-    return df.select(key).distinct().orderBy(F.xxhash64(key), key).limit(n)
+    """n distinct keys, chosen by their MD5."""
+    return df.select(key).distinct().orderBy(F.md5(F.col(key).cast("string")), key).limit(n)

@@ -73,13 +73,19 @@ RUN_PATTERN = r"submit(?:_proba)?_(\d{3,})"
 FOLD_PATTERN = r"submit(?:_proba)?_\d{3,}_(\d)(?=_local|\.csv)"
 
 
+def _from_name(path: Column, pattern: str) -> Column:
+    """The number in the file's own name, else in its folder's (Spark writes a folder per table); no folder above counts."""
+    own, above = F.substring_index(path, "/", -1), F.regexp_extract(path, "([^/]+)/[^/]*$", 1)
+    return F.coalesce(*(F.regexp_extract(x, pattern, 1).try_cast("int") for x in (own, above)))
+
+
 def run_number(path: Column) -> Column:
-    return F.regexp_extract(path, RUN_PATTERN, 1).try_cast("int")
+    return _from_name(path, RUN_PATTERN)
 
 
 def fold_number(path: Column) -> Column:
     """NULL for a file that holds no single fold."""
-    return F.regexp_extract(path, FOLD_PATTERN, 1).try_cast("int")
+    return _from_name(path, FOLD_PATTERN)
 
 
 def read_folds(spark: SparkSession, paths: str | list[str], columns: Sequence[str] = SHORT_FLAGS, kind: str = "int") -> DataFrame:

@@ -55,13 +55,11 @@ def label_table(spark, sf):
 
 
 def exact_sample(spark, sf):
-    return B.sample_rows(I.flag_table(spark, sf), 50, "file_name").agg(
-        F.count(F.lit(1)).alias("n"), F.count_distinct("file_name").alias("keys")
-    )
+    return B.sample_rows(I.flag_table(spark, sf), 50, "file_name")
 
 
 def sampled_keys(spark, sf):
-    return B.sample_keys(I.panel(spark, sf), 20, "inn_id").agg(F.count_distinct("inn_id").alias("n"))
+    return B.sample_keys(I.panel(spark, sf), 20, "inn_id")
 
 
 def labels_with_features(spark, sf):
@@ -296,9 +294,14 @@ CASES = {
     ),
     "exact_sample": (
         exact_sample,
-        "SELECT least(50, count(*)) AS n, least(50, count(*)) AS keys FROM labels JOIN documents USING (doc_id)",
+        with_inputs("SELECT * FROM flags ORDER BY md5(CAST(file_name AS VARCHAR) || ':127'), file_name LIMIT 50", "flags"),
+    ),
+    "sampled_keys": (
+        sampled_keys,
+        with_inputs(
+            "SELECT inn_id FROM (SELECT DISTINCT inn_id FROM panel) ORDER BY md5(CAST(inn_id AS VARCHAR)), inn_id LIMIT 20", "panel"
+        ),
     ),
-    "sampled_keys": (sampled_keys, "SELECT least(20, count(DISTINCT l_suppkey)) AS n FROM lineitem"),
     "labels_with_features": (
         labels_with_features,
         with_inputs(

@@ -251,11 +251,11 @@ def load_panel(spark, sf):
 
 
 def sampled_entities(spark, sf):
-    """Ten entities by hash: as many rows as SQL finds for any ten, checked by count of entities."""
+    """Ten entities by hash, with their rows."""
     data = L.load_panel(
         I.days(spark), I.holidays(spark), I.panel(spark, sf), I.profiles(spark, sf), I.template(spark, sf), sample=10
     )
-    return data.panel.agg(F.count_distinct("inn_id").alias("entities"))
+    return data.panel.groupBy("inn_id").agg(F.count(F.lit(1)).alias("rows"))
 
 
 def _data(spark, sf):
@@ -454,7 +454,11 @@ row_number() OVER (PARTITION BY inn_id ORDER BY week DESC) AS rn FROM panel) l O
     ),
     "sampled_entities": (
         sampled_entities,
-        "SELECT least(10, count(DISTINCT l_suppkey)) AS entities FROM lineitem",
+        with_inputs(
+            """SELECT inn_id, count(*) AS rows FROM panel WHERE inn_id IN (
+SELECT inn_id FROM (SELECT DISTINCT inn_id FROM panel) ORDER BY md5(CAST(inn_id AS VARCHAR)), inn_id LIMIT 10) GROUP BY 1""",
+            "panel",
+        ),
     ),
     "panel_train": (panel_train, _train_sql()),
     "panel_test": (panel_test, _test_sql()),
