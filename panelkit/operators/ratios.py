@@ -7,6 +7,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType
 
 from panelkit.operators.ensemble import row_mean
 
@@ -18,16 +19,18 @@ def union_parts(parts: Sequence[DataFrame]) -> DataFrame:
 
 
 def merge_counts(parts: DataFrame, code: str, prefix: str, host: str = HOST, users: str | None = None) -> DataFrame:
-    """Sum ``{prefix}_count`` per host and code; with ``users`` also count distinct users of their sets.
+    """Sum ``{prefix}_count`` per host and code; with ``users`` also count distinct users.
 
-    The sums and the users are grouped apart, so exploding the sets does not multiply the counts; users are made
+    ``users`` names a column of one user per row, or of a set of users. The long form is the one for large hosts: no row
+    grows with a host. Sums and users are grouped apart, so exploding sets does not multiply the counts; users are made
     distinct per (host, code, user) first, so a hot host is spread over its users.
     """
     rows = parts.where(F.col(host).isNotNull() & F.col(code).isNotNull())
     sums = rows.groupBy(host, code).agg(F.sum(f"{prefix}_count").alias(f"{prefix}_count"))
     if users is None:
         return sums
-    people = rows.select(host, code, F.explode(users).alias("_u")).distinct()
+    sets = isinstance(parts.schema[users].dataType, ArrayType)
+    people = rows.select(host, code, (F.explode(users) if sets else F.col(users)).alias("_u")).distinct()
     n = people.where(F.col("_u").isNotNull()).groupBy(host, code).agg(F.count(F.lit(1)).alias(f"{prefix}_user_count"))
     out = sums.join(n, [host, code], "left")
     return out.withColumn(f"{prefix}_user_count", F.coalesce(f"{prefix}_user_count", F.lit(0).cast("long")))

@@ -216,12 +216,12 @@ def run_predictions(spark: SparkSession, sf: str) -> list[DataFrame]:
 
 
 def host_parts(spark: SparkSession, sf: str) -> list[DataFrame]:
-    """Document counts per source and language in two parts, with the documents as users."""
+    """Document counts per source, language and document in two parts; the documents are the users."""
     d = table(spark, sf, "documents")
     parts = []
     for cond in ("n_chars < 1500", "n_chars >= 1000"):
-        g = d.where(cond).groupBy(F.col("source").alias("url_host"), F.col("lang").alias("code"))
-        parts.append(g.agg(F.count(F.lit(1)).alias("rq_count"), F.collect_set("doc_id").alias("users")))
+        g = d.where(cond).groupBy(F.col("source").alias("url_host"), F.col("lang").alias("code"), F.col("doc_id").alias("users"))
+        parts.append(g.agg(F.count(F.lit(1)).alias("rq_count")))
     return parts
 
 

@@ -173,7 +173,7 @@ def lookalike_fold(spark, sf):
 
 
 def union_parts(spark, sf):
-    return X.union_parts(I.host_parts(spark, sf)).drop("users")
+    return X.union_parts([X.merge_counts(p, "code", "rq") for p in I.host_parts(spark, sf)])
 
 
 def merged_counts(spark, sf):
