@@ -25,7 +25,7 @@ from panelkit.llm.common import shards, ship, text_buffer
 from panelkit.llm.vocab import BYTE, MARK, NORMAL, PIECES, USER, log_scores, read_pieces
 
 #: Stretches remembered by a task, none longer than so many bytes; then it starts afresh.
-REMEMBERED, REMEMBERED_BYTES = 200_000, 64
+REMEMBERED, REMEMBERED_BYTES = 100_000, 64
 #: Bytes of text whose stretches are looked up at once, and stretches searched in step.
 _AT_ONCE, _TOGETHER = 1 << 21, 8192
 _STRETCH = re.compile(rb" +[^ ]*")
