@@ -9,14 +9,19 @@ Rules and probes are swept together, ordered by key within (path, top label, sal
 stack and closes it; the running sum of +1 and -1 is the depth, and slot d of the stack holds the last rule opened at depth
 d, so the innermost rule around a probe is the last one opened at the probe's depth. Both are window functions over sorted
 rows, which spill; a crowded top label is spread over ``salts`` sweeps, each with its own copy of that label's rules.
+
+Answers go back to the rows by (host, beginnings, salt): a row's salt is a hash of its values, and an answer is repeated
+for the salts that occur among its rows, so a host with a third of all rows is spread over several tasks.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 SALTS = 16
+_MASK_BITS = 31
 DEFAULT = "allow"
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -104,7 +109,10 @@ def judge_urls(
     ``rules`` has host, path and verdict. The longest fitting rule wins (by characters of host and path, then by text);
     of equal rules ``block`` wins over ``allow``. Rules without a host are ignored; a null path is empty. Urls that are
     null or have no ``://`` get empty host and path and the default verdict. Rows are kept as they are, repeated ones too.
+    ``salts`` is at most 31.
     """
+    if not 0 < salts <= _MASK_BITS:
+        raise ValueError(f"salts must lie in 1..{_MASK_BITS}")
     added = ["host", "path", "rule", "verdict"]
     own = [c for c in pages.columns if c.lower() not in added]
     host = F.translate(F.col("host"), _UPPER, _LOWER)
@@ -120,14 +128,19 @@ def judge_urls(
     beginnings = [F.when(F.length("__path") >= n, F.substring("__path", 1, n)) for n in sizes]
     judged = pages.select(*own, url_host(F.col(url_col)).alias("__host"), url_path(F.col(url_col)).alias("__path"))
     judged = judged.withColumn("__starts", F.array_compact(F.array(*beginnings)) if sizes else F.array().cast("array<string>"))
-    asked = judged.select(F.col("__host").alias("host"), F.col("__starts").alias("starts")).distinct()
-    each = asked.select("host", "starts", F.explode("starts").alias("path"))
+    plain = [F.col(f"`{f.name}`") for f in pages.schema if f.name in own and isinstance(f.dataType, T.AtomicType)]
+    judged = judged.withColumn("__salt", F.pmod(F.xxhash64("__path", *plain), F.lit(salts)).cast("int"))
+    # One bit for each salt among a group's rows.
+    marked = judged.select(F.col("__host").alias("host"), F.col("__starts").alias("starts"), F.expr("shiftleft(1, __salt)").alias("mask"))
+    asked = marked.groupBy("host", "starts").agg(F.bit_or("mask").alias("mask"))
+    each = asked.select("host", "starts", "mask", F.explode("starts").alias("path"))
     probes = each.select("path", "host", host_key(F.col("host")).alias("key")).distinct()
     found = innermost(table, probes, salts)
     longest = F.max(F.struct(F.length("rule").alias("n"), "rule", "verdict")).alias("best")
-    answers = each.join(found, ["path", "host"]).groupBy("host", "starts").agg(longest)
-    answers = answers.select(F.col("host").alias("__host"), F.col("starts").alias("__starts"), "best.rule", "best.verdict")
-    out = judged.join(answers, ["__host", "__starts"], "left")
+    answers = each.join(found, ["path", "host"]).groupBy("host", "starts").agg(longest, F.bit_or("mask").alias("mask"))
+    present = F.expr(f"explode(filter(sequence(0, {salts - 1}), s -> (mask & shiftleft(1, s)) != 0))").alias("__salt")
+    answers = answers.select(F.col("host").alias("__host"), F.col("starts").alias("__starts"), present, "best.rule", "best.verdict")
+    out = judged.join(answers, ["__host", "__starts", "__salt"], "left")
     verdict = F.coalesce("verdict", F.lit(default)).alias("verdict")
     return out.select(*own, F.col("__host").alias("host"), F.col("__path").alias("path"), "rule", verdict)
 

@@ -173,6 +173,17 @@ def test_url_rules_nest(spark):
         assert (got[k].host, got[k].path, got[k].rule, got[k].verdict) == (host, path, *best[1:])
 
 
+def test_url_answers_reach_a_crowded_host(spark):
+    """Repeated rows, columns that cannot be hashed and a host with most rows: each row has its answer once."""
+    rows = [(k % 900, "http://a.com/en/p" if k % 10 else f"http://h{k}.net/fr/", {"k": k % 3}) for k in range(1000)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, extra map<string,int>")
+    rules = spark.createDataFrame(url_rules.RULES, "host string, path string, verdict string")
+    got = url_rules.judge_urls(pages, rules)
+    assert got.columns == ["page_id", "url", "extra", "host", "path", "rule", "verdict"]
+    found = Counter((r.page_id, r.rule, r.verdict) for r in got.collect())
+    assert found == Counter((i, "com/", "allow") if "a.com" in u else (i, "net/fr/", "block") for i, u, _ in rows)
+
+
 def test_top_k_is_exact(spark):
     rng = np.random.default_rng(4)
     rows = [(int(i), [float(x) for x in rng.normal(size=8) * (1 if i % 3 else 0.1)]) for i in range(400)]
