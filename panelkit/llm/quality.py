@@ -212,13 +212,41 @@ def scores(stats: np.ndarray, trigrams: np.ndarray, weights: np.ndarray) -> np.n
     return 1 / (1 + np.exp(-np.clip(gap, -30, 30)))
 
 
-def fit_scorer(x: np.ndarray, target: np.ndarray, rounds: int = 150, decay: float = 1e-4) -> np.ndarray:
+@dataclass
+class SparseRows:
+    """Feature rows without their zeros: ``slots`` and ``values`` of row k lie from ``starts[k]`` on; no row is empty."""
+
+    starts: np.ndarray
+    slots: np.ndarray
+    values: np.ndarray
+
+    @classmethod
+    def unpack(cls, slots: list[bytes], values: list[bytes]) -> SparseRows:
+        sizes = np.array([len(v) // 4 for v in values], np.int64)
+        starts = np.cumsum(sizes) - sizes
+        return cls(starts, np.frombuffer(b"".join(slots), np.uint16), np.frombuffer(b"".join(values), np.float32))
+
+    def times(self, w: np.ndarray) -> np.ndarray:
+        return np.add.reduceat(self.values * w[self.slots], self.starts)
+
+    def transposed_times(self, v: np.ndarray) -> np.ndarray:
+        sizes = np.diff(np.append(self.starts, len(self.slots)))
+        return np.bincount(self.slots, weights=self.values * np.repeat(v, sizes), minlength=len(_USED))
+
+
+def sparse(x: np.ndarray) -> tuple[list[bytes], list[bytes]]:
+    """The slots and the values of each row's non-zero features, packed."""
+    slots = [np.flatnonzero(row).astype(np.uint16) for row in x]
+    return [at.tobytes() for at in slots], [row[at].tobytes() for row, at in zip(x, slots, strict=True)]
+
+
+def fit_scorer(x: SparseRows, target: np.ndarray, rounds: int = 150, decay: float = 1e-4) -> np.ndarray:
     """Logistic regression on soft labels by Adam steps over all rows; the last weight is the constant."""
-    w, first, second = (np.zeros(x.shape[1] + 1) for _ in range(3))
+    w, first, second = (np.zeros(len(_USED) + 1) for _ in range(3))
     for step in range(1, rounds + 1):
-        gap = x @ w[:-1].astype(np.float32) + w[-1]
+        gap = x.times(w[:-1].astype(np.float32)) + w[-1]
         wrong = 1 / (1 + np.exp(-np.clip(gap, -30, 30))) - target
-        g = np.append(x.T @ wrong.astype(np.float32), wrong.sum()) / max(len(x), 1) + decay * w
+        g = np.append(x.transposed_times(wrong.astype(np.float32)), wrong.sum()) / len(target) + decay * w
         first, second = 0.9 * first + 0.1 * g, 0.999 * second + 0.001 * g * g
         w -= 0.1 * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.999**step)) + 1e-8)
     out = np.zeros(SLOTS + 1)
@@ -251,9 +279,8 @@ def _sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for at in range(0, len(batch), _PARTS):
             stats, trigrams = _describe(batch.column("text").slice(at, _PARTS))
             pattern = votes(stats) @ 3 ** np.arange(len(LABELLERS))
-            kinds = pa.list_(pa.float64()), pa.list_(pa.int32())
-            columns = [pa.array(pattern.astype(np.int32)), *(pa.array(list(v), k) for v, k in zip((stats, trigrams), kinds, strict=True))]
-            yield pa.RecordBatch.from_arrays(columns, names=["pattern", "stats", "trigrams"])
+            columns = [pa.array(pattern.astype(np.int32)), *(pa.array(v, pa.binary()) for v in sparse(vectors(stats, trigrams)))]
+            yield pa.RecordBatch.from_arrays(columns, names=["pattern", "slots", "values"])
 
 
 def _unpack(pattern: np.ndarray) -> np.ndarray:
@@ -283,15 +310,13 @@ def train(docs: DataFrame, text_col: str = "text", *, sample_rows: int = SAMPLE_
     # Equal texts hash alike and are drawn once; a share above the bound leaves room for chance, the limit holds the bound.
     share = min(1.0, 1.3 * sample_rows / total) if total else 1.0
     picked = F.pmod(F.xxhash64("text"), F.lit(1 << 20)) < int(share * (1 << 20))
-    sample = texts.filter(picked).dropDuplicates(["text"]).mapInArrow(_sampled, "pattern int, stats array<double>, trigrams array<int>")
+    sample = texts.filter(picked).dropDuplicates(["text"]).mapInArrow(_sampled, "pattern int, slots binary, values binary")
     rows = sample.limit(sample_rows).toArrow() if total else None
     if rows is None or not rows.num_rows:
         return QualityModel(labels, np.append(np.zeros(SLOTS), np.log(labels.good / (1 - labels.good))))
-    flat = {c: rows.column(c).combine_chunks() for c in rows.column_names}
-    stats = flat["stats"].values.to_numpy().reshape(rows.num_rows, -1)
-    trigrams = flat["trigrams"].values.to_numpy().reshape(rows.num_rows, -1)
-    target = labels.posterior(_unpack(flat["pattern"].to_numpy().astype(np.int64)))
-    return QualityModel(labels, fit_scorer(vectors(stats, trigrams), target))
+    target = labels.posterior(_unpack(rows.column("pattern").to_numpy().astype(np.int64)))
+    found = SparseRows.unpack(rows.column("slots").to_pylist(), rows.column("values").to_pylist())
+    return QualityModel(labels, fit_scorer(found, target))
 
 
 def _score(shared, text_col: str, threshold: float):
