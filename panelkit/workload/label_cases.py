@@ -16,6 +16,10 @@ from panelkit.workload.inputs import r, tidy, with_inputs
 from panelkit.workload.series_cases import STATS
 
 FLAGS = ", ".join(SHORT_FLAGS)
+# All features of the series that have rows.
+HAND_FEATURES = """SELECT c.*, summary.* EXCLUDE (file_name), growth.* EXCLUDE (file_name), bins.* EXCLUDE (file_name), wb_value
+FROM (SELECT file_name, count(*) AS count_rows FROM series GROUP BY 1) c LEFT JOIN summary USING (file_name)
+LEFT JOIN growth USING (file_name) LEFT JOIN bins USING (file_name) LEFT JOIN unit USING (file_name)"""
 CODES = I.TARGET_CODES
 
 
@@ -66,15 +70,13 @@ def labels_with_features(spark, sf):
     """Labels joined to the features of their series; most labels have no series."""
     s, layout = I.series(spark, sf)
     labels = B.label_table(I.flag_table(spark, sf), I.checked_flags(spark, sf), SHORT_FLAGS)
-    out = L.labelled_series_features(labels, s, layout)
-    return tidy(out.select("file_name", "hq", "labels", "count_rows", "time_std", "Pder_mean", "D_q_0_8_3_std", "wb_value"))
+    return tidy(L.labelled_series_features(labels, s, layout))
 
 
 def scoring_with_flags(spark, sf):
     s, layout = I.series(spark, sf)
     predicted = I.flag_table(spark, sf)
-    out = L.scoring_features(s, layout, s.select("file_name"), predicted, SHORT_FLAGS)
-    return tidy(out.select("file_name", *SHORT_FLAGS, "count_rows", "dP_growth", "P_mean"))
+    return tidy(L.scoring_features(s, layout, s.select("file_name"), predicted, SHORT_FLAGS))
 
 
 def matrix_with_features(spark, sf):
@@ -305,10 +307,8 @@ CASES = {
     "labels_with_features": (
         labels_with_features,
         with_inputs(
-            """SELECT b0.file_name, hq, labels, coalesce(n, 0) AS count_rows, coalesce(time_std, 0) AS time_std,
-coalesce("Pder_mean", 0) AS "Pder_mean", coalesce("D_q_0_8_3_std", 0) AS "D_q_0_8_3_std", coalesce(wb_value, 0) AS wb_value
-FROM b0 LEFT JOIN (SELECT file_name, count(*) AS n FROM series GROUP BY 1) c USING (file_name)
-LEFT JOIN summary USING (file_name) LEFT JOIN bins USING (file_name) LEFT JOIN unit USING (file_name)""",
+            f"""SELECT file_name, labels, coalesce(COLUMNS(* EXCLUDE (file_name, labels)), 0)
+FROM (SELECT b0.*, f.* EXCLUDE (file_name) FROM b0 LEFT JOIN ({HAND_FEATURES}) f USING (file_name))""",
             "series",
             "flags",
             "checked",
@@ -318,9 +318,8 @@ LEFT JOIN summary USING (file_name) LEFT JOIN bins USING (file_name) LEFT JOIN u
     "scoring_with_flags": (
         scoring_with_flags,
         with_inputs(
-            f"""SELECT file_name, {FLAGS}, n AS count_rows, "dP_growth", "P_mean" FROM flags
-LEFT JOIN (SELECT file_name, count(*) AS n FROM series GROUP BY 1) c USING (file_name)
-LEFT JOIN summary USING (file_name) LEFT JOIN growth USING (file_name)""",
+            f"""SELECT file_name, {FLAGS}, f.* EXCLUDE (file_name) FROM flags LEFT JOIN (
+SELECT file_name, coalesce(COLUMNS(* EXCLUDE (file_name)), 0) FROM ({HAND_FEATURES})) f USING (file_name)""",
             "series",
             "flags",
             extra=STATS,
