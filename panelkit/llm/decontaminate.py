@@ -25,6 +25,8 @@ from panelkit.llm.common import RangeHash, mix, shards, ship, text_buffer
 WINDOW = 13
 #: Bytes of benchmark text sent to the tasks at once.
 BLOCK_BYTES = 16 << 20
+#: Pairs of a training position and a test suffix extended at once.
+PAIRS = 1 << 20
 
 _SHARD = 1 << 20
 _PIECE = 1 << 20
@@ -100,24 +102,30 @@ class Suffixes:
         return cls(np.array(ids, np.int64), item, left, need, low, high, _WORDS.prefix(flat))
 
 
-def find_matches(words: np.ndarray, left: np.ndarray, tests: Suffixes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(training position, test suffix, longest common length in words) of every pair that shares the looked-up prefix."""
+def find_matches(words: np.ndarray, left: np.ndarray, tests: Suffixes, most: int = PAIRS) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(training position, test suffix, longest common length in words) of every pair that shares the looked-up prefix.
+
+    The pairs come in parts of at most ``most``: a prefix that is frequent on both sides costs time, not memory.
+    """
     packed = _prefix_codes(words, left)
     array = np.argsort(packed)
     ordered = packed[array]
     lo = np.searchsorted(ordered, tests.low)
     counts = np.searchsorted(ordered, tests.high, side="right") - lo
-    test = np.repeat(np.arange(len(lo)), counts)
-    first = np.repeat(np.cumsum(counts) - counts, counts)
-    place = array[np.repeat(lo, counts) + np.arange(len(test)) - first]
+    ends = np.cumsum(counts)
+    total = int(ends[-1]) if len(ends) else 0
     prefix = _WORDS.prefix(words)
-    good = np.zeros(len(test), np.int64)
-    bad = np.minimum(left[place], tests.left[test]) + 1
-    while len(test) and (bad - good > 1).any():
-        mid = (good + bad) // 2
-        same = _WORDS.ranges(prefix, place, place + mid) == _WORDS.ranges(tests.prefix, test, test + mid)
-        good, bad = np.where(same, mid, good), np.where(same, bad, mid)
-    return place, test, good
+    for at in range(0, total, most):
+        pair = np.arange(at, min(at + most, total))
+        test = np.searchsorted(ends, pair, side="right")
+        place = array[lo[test] + pair - (ends[test] - counts[test])]
+        good = np.zeros(len(test), np.int64)
+        bad = np.minimum(left[place], tests.left[test]) + 1
+        while (bad - good > 1).any():
+            mid = (good + bad) // 2
+            same = _WORDS.ranges(prefix, place, place + mid) == _WORDS.ranges(tests.prefix, test, test + mid)
+            good, bad = np.where(same, mid, good), np.where(same, bad, mid)
+        yield place, test, good
 
 
 _SPAN = T.StructType().add("lo", "integer").add("end", "integer")
@@ -144,7 +152,7 @@ def _scan(tests: Suffixes, text_col: str, first: bool):
             if not first:
                 for row, old in zip(rows, batch.column("__found").to_pylist(), strict=True):
                     row["hits"] = _union([(x["lo"], x["end"]) for x in old["hits"]] + [(x["lo"], x["end"]) for x in row["hits"]])
-                    row["items"] = sorted(old["items"] + row["items"])
+                    row["items"] = sorted({*old["items"], *row["items"]})
                     if old["longest"] >= row["longest"]:
                         row |= {k: old[k] for k in ("longest", "longest_item", "longest_at")}
             kept = [c for c in batch.schema.names if c != "__found"]
@@ -167,24 +175,37 @@ def _scan_shard(data: np.ndarray, offsets: np.ndarray, tests: Suffixes) -> list[
     starts, words = word_hashes_of_texts(data, offsets)
     rows = np.searchsorted(starts, offsets)
     left = np.repeat(rows[1:], np.diff(rows)) - np.arange(len(words))
-    place, test, length = find_matches(words, left, tests)
-    text = np.searchsorted(rows, place, side="right") - 1
     out = [
         {"n_words": int(n), "hits": [], "items": [], "longest": 0, "longest_item": None, "longest_at": None} for n in np.diff(rows)
     ]
-    hit = np.flatnonzero(length >= tests.need[test])
-    for r in np.unique(text[hit]):
-        own = hit[text[hit] == r]
-        lo = place[own] - rows[r]
-        out[r]["hits"] = _union(list(zip(lo.tolist(), (lo + tests.need[test[own]]).tolist(), strict=True)))
-        out[r]["items"] = sorted({int(x) for x in tests.ids[tests.item[test[own]]]})
-    # The longest match of each text; ties go to the earlier place, then to the earlier suffix.
-    some = np.flatnonzero(length > 0)
-    best = some[np.lexsort((test[some], place[some], -length[some], text[some]))]
-    head = np.concatenate([[True], text[best][1:] != text[best][:-1]]) if len(best) else np.zeros(0, bool)
-    for k in best[head]:
-        r = int(text[k])
-        out[r] |= {"longest": int(length[k]), "longest_item": int(tests.ids[tests.item[test[k]]]), "longest_at": int(place[k] - rows[r])}
+    # Kept between parts: distinct (place, length) of hits, distinct (text, item), and the longest match of each text.
+    step, many = int(tests.need.max(initial=0)) + 1, max(len(tests.ids), 1)
+    spans, named = np.zeros(0, np.int64), np.zeros(0, np.int64)
+    longest: dict[int, tuple[int, int, int]] = {}
+    for place, test, length in find_matches(words, left, tests):
+        text = np.searchsorted(rows, place, side="right") - 1
+        hit = length >= tests.need[test]
+        spans = np.union1d(spans, place[hit] * step + tests.need[test[hit]])
+        named = np.union1d(named, text[hit] * many + tests.item[test[hit]])
+        # Ties go to the earlier place, then to the earlier suffix.
+        some = np.flatnonzero(length > 0)
+        best = some[np.lexsort((test[some], place[some], -length[some], text[some]))]
+        head = np.concatenate([[True], text[best][1:] != text[best][:-1]]) if len(best) else np.zeros(0, bool)
+        for k in best[head]:
+            own = -int(length[k]), int(place[k]), int(test[k])
+            longest[int(text[k])] = min(longest.get(int(text[k]), own), own)
+    at = spans // step
+    cuts = np.searchsorted(at, rows)
+    for r in np.flatnonzero(np.diff(cuts)):
+        own = slice(cuts[r], cuts[r + 1])
+        lo = at[own] - rows[r]
+        out[r]["hits"] = _union(list(zip(lo.tolist(), (lo + spans[own] % step).tolist(), strict=True)))
+    for r, item in zip((named // many).tolist(), (named % many).tolist(), strict=True):
+        out[r]["items"].append(int(tests.ids[item]))
+    for row in out:
+        row["items"] = sorted(set(row["items"]))
+    for r, (size, place, test) in longest.items():
+        out[r] |= {"longest": -size, "longest_item": int(tests.ids[tests.item[test]]), "longest_at": place - int(rows[r])}
     return out
 
 

@@ -102,15 +102,15 @@ def _products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
         return (a.astype(float) @ b.astype(float).T).astype(np.int64)
     ends = np.iinfo(np.int64)
     exact = a.astype(object) @ b.astype(object).T if a.shape[1] else np.zeros((len(a), len(b)), object)
-    return np.clip(exact, ends.min, ends.max).astype(np.int64)
+    return np.clip(exact, ends.min + 1, ends.max).astype(np.int64)  # the least long marks an unused place
 
 
 def dual_search(queries: CoverTree, data: CoverTree, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """For each query (in tree order) its k best (score, id); unused places hold id -1."""
+    """For each query (in tree order) its k best (score, id); unused places hold the least long as their score."""
     n = len(queries.ids)
     none = np.iinfo(np.int64).min
     scores = np.full((n, k), none)
-    ids = np.full((n, k), -1, np.int64)
+    ids = np.zeros((n, k), np.int64)
     q, d = queries.points.astype(float), data.points.astype(float)
     q_size = np.sqrt((q[queries.centre] ** 2).sum(axis=1))
     d_size = np.sqrt((d[data.centre] ** 2).sum(axis=1))
@@ -135,9 +135,8 @@ def dual_search(queries: CoverTree, data: CoverTree, k: int) -> tuple[np.ndarray
             own = names == queries.ids[a:b, None]
             new = np.where(own, none, new)
             all_scores = np.concatenate([scores[a:b], new], axis=1)
-            all_ids = np.concatenate([ids[a:b], np.where(own, -1, names)], axis=1)
-            missing = all_ids < 0
-            order = np.lexsort((all_ids, -np.where(missing, none + 1, all_scores), missing), axis=1)[:, :k]
+            all_ids = np.concatenate([ids[a:b], names], axis=1)
+            order = np.lexsort((all_ids, ~all_scores), axis=1)[:, :k]  # ~x falls as x grows, without overflow
             scores[a:b] = np.take_along_axis(all_scores, order, axis=1)
             ids[a:b] = np.take_along_axis(all_ids, order, axis=1)
             continue
@@ -165,7 +164,7 @@ def _search(k: int):
             for q, d in zip(batch.column("query_tree"), batch.column("tree"), strict=True):
                 queries, data = CoverTree.load(q.as_py()), CoverTree.load(d.as_py())
                 scores, ids = dual_search(queries, data, k)
-                found = ids >= 0
+                found = scores > np.iinfo(np.int64).min
                 names = np.repeat(queries.ids, found.sum(axis=1))
                 yield pa.RecordBatch.from_arrays([pa.array(names), pa.array(ids[found]), pa.array(scores[found])], names=["query_id", "vec_id", "score"])
 

@@ -94,6 +94,21 @@ def test_decontamination_matches_plain_windows(spark, block):
     assert got[0].longest == 13 and got[0].longest_at == 1
 
 
+def test_frequent_words_are_matched_in_parts(monkeypatch):
+    """A word repeated on both sides pairs every place with every suffix: the parts give what one piece gives."""
+    texts = ["no " * 60 + "yes", "yes no no no no", "no " * 12, "x " + "no " * 20]
+    items = [(1, "no " * 30), (2, "no no"), (1, "x no no"), (3, "no " * 14 + "yes")]
+    tests = decontaminate.Suffixes.build([i for i, _ in items], [t for _, t in items], 13)
+    data, offsets = np.frombuffer("".join(texts).encode(), np.uint8), np.cumsum([0, *map(len, texts)])
+    whole = decontaminate._scan_shard(data, offsets, tests)
+    plain = decontaminate.find_matches
+    monkeypatch.setattr(decontaminate, "find_matches", lambda *a: plain(*a, most=7))
+    assert decontaminate._scan_shard(data, offsets, tests) == whole
+    got = [(r["n_words"], sum(x["end"] - x["lo"] for x in r["hits"]), r["items"]) for r in whole]
+    assert got == plain_windows(texts, items)
+    assert [r["longest"] for r in whole] == [30, 4, 12, 20]
+
+
 def test_base_patterns_are_the_plain_ones():
     email = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
     ip = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
@@ -187,7 +202,7 @@ def test_url_answers_reach_a_crowded_host(spark):
 def test_top_k_is_exact(spark):
     rng = np.random.default_rng(4)
     rows = [(int(i), [float(x) for x in rng.normal(size=8) * (1 if i % 3 else 0.1)]) for i in range(400)]
-    rows += [(400, rows[0][1]), (401, None), (402, [float("nan")] * 8), (403, [1.0] * 3), (None, rows[1][1]), (404, [None] * 8)]
+    rows += [(-50, rows[7][1]), (-3, rows[50][1]), (400, rows[0][1]), (401, None), (402, [float("nan")] * 8), (403, [1.0] * 3), (None, rows[1][1]), (404, [None] * 8)]
     vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
     got = topk_search.top_k(vectors, F.col("vec_id") % 50 == 0, data_block=90, query_block=3).collect()
     whole = {i: np.floor(256 * np.array(v)).astype(int) for i, v in rows if i is not None and v and None not in v and np.isfinite(v).all()}
