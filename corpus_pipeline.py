@@ -37,7 +37,7 @@ def mask_personal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Piece ids of all documents, their number, and whether they decode to the text."""
-    coded = sentencepiece.decode(sentencepiece.encode(docs))
+    coded = sentencepiece.encode(docs, decoded_col="decoded")
     n_pieces = F.coalesce(F.size("piece_ids"), F.lit(0)).cast("long").alias("n_pieces")
     return coded.select("doc_id", "lang", "source", "n_chars", n_pieces, F.expr("decoded <=> text").alias("same"), "piece_ids")
 

@@ -270,7 +270,7 @@ def _model(path: str) -> PieceModel:
     return _MODELS[path]
 
 
-def _encode(shared, text_col: str, ids_col: str):
+def _encode(shared, text_col: str, ids_col: str, decoded_col: str | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model: PieceModel = shared.value
         key = hash((model.arrays[0].tobytes(), model.scores.tobytes()))
@@ -288,37 +288,51 @@ def _encode(shared, text_col: str, ids_col: str):
             values = pa.array(np.frombuffer(b"".join(rows), np.int32))
             missing = texts.is_null()
             ids = pa.ListArray.from_arrays(pa.array(ends), values, mask=missing)
-            columns = [batch.column(c) for c in batch.schema.names]
-            yield pa.RecordBatch.from_arrays([*columns, ids], names=[*batch.schema.names, ids_col])
+            columns = [*(batch.column(c) for c in batch.schema.names), ids]
+            names = [*batch.schema.names, ids_col]
+            if decoded_col is not None:
+                columns, names = [*columns, _decoded(model, ids)], [*names, decoded_col]
+            yield pa.RecordBatch.from_arrays(columns, names=names)
 
     return run
 
 
-def encode(docs: DataFrame, text_col: str = "text", ids_col: str = "piece_ids", *, vocabulary: str = PIECES) -> DataFrame:
+def encode(
+    docs: DataFrame, text_col: str = "text", ids_col: str = "piece_ids", *, decoded_col: str | None = None, vocabulary: str = PIECES
+) -> DataFrame:
     """``docs`` with the ids of each text's pieces; a column called ``ids_col`` is replaced.
 
     A null text has null ids, an empty one none. The vocabulary's arrays (a few MB, by the file's size) are broadcast.
+    ``decoded_col`` adds what ``decode`` makes of the ids, in the same pass: one worker per task holds the model, not two.
     """
     ship(docs.sparkSession)
-    own = docs.select(*[c for c in docs.columns if c.lower() != ids_col.lower()])
+    added = [T.StructField(ids_col, T.ArrayType(T.IntegerType()))]
+    if decoded_col is not None:
+        added.append(T.StructField(decoded_col, T.StringType()))
+    taken = {f.name.lower() for f in added}
+    own = docs.select(*[c for c in docs.columns if c.lower() not in taken])
     shared = docs.sparkSession.sparkContext.broadcast(_model(vocabulary))
-    schema = T.StructType([*own.schema, T.StructField(ids_col, T.ArrayType(T.IntegerType()))])
-    return own.mapInArrow(_encode(shared, text_col, ids_col), schema)
+    return own.mapInArrow(_encode(shared, text_col, ids_col, decoded_col), T.StructType([*own.schema, *added]))
+
+
+def _decoded(model: PieceModel, ids: pa.Array) -> pa.Array:
+    """The texts of a column of ids."""
+    texts: list[str | None] = []
+    for at in range(0, len(ids), 512):
+        rows = ids.slice(at, 512)
+        filled = rows.fill_null([])
+        ends = np.concatenate([[0], np.cumsum(filled.value_lengths().to_numpy())])
+        found = model.decode(filled.flatten().fill_null(-1).to_numpy(), ends)
+        texts += [t.decode("utf-8", "replace") if ok else None for t, ok in zip(found, rows.is_valid().to_pylist(), strict=True)]
+    return pa.array(texts, pa.string())
 
 
 def _decode(shared, ids_col: str, text_col: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model: PieceModel = shared.value
         for batch in batches:
-            texts: list[str | None] = []
-            for at in range(0, len(batch), 512):
-                rows = batch.column(ids_col).slice(at, 512)
-                filled = rows.fill_null([])
-                ends = np.concatenate([[0], np.cumsum(filled.value_lengths().to_numpy())])
-                found = model.decode(filled.flatten().fill_null(-1).to_numpy(), ends)
-                texts += [t.decode("utf-8", "replace") if ok else None for t, ok in zip(found, rows.is_valid().to_pylist(), strict=True)]
             columns = [batch.column(c) for c in batch.schema.names]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(texts, pa.string())], names=[*batch.schema.names, text_col])
+            yield pa.RecordBatch.from_arrays([*columns, _decoded(model, batch.column(ids_col))], names=[*batch.schema.names, text_col])
 
     return run
 
@@ -341,7 +355,7 @@ def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     bytes_ = _model(PIECES).bytes
     low, high = int(bytes_.min()), int(bytes_.max())
-    return decode(encode(docs)).select(
+    return encode(docs, decoded_col="decoded").select(
         "doc_id",
         F.coalesce(F.size("piece_ids"), F.lit(0)).cast("long").alias("n_pieces"),
         F.expr(f"cast(coalesce(size(filter(piece_ids, x -> x between {low} and {high})), 0) as long)").alias("n_bytes"),
