@@ -22,6 +22,7 @@ from panelkit.session import shared_dir
 SHARD_BYTES = 1 << 18
 
 _BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+_BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
@@ -45,11 +46,14 @@ def tidy_shuffles(spark: SparkSession) -> Iterator[None]:
 def ship(spark: SparkSession) -> None:
     """Give the executors' Python this package, once per context, as ``--py-files`` would.
 
-    Texts are long rows: Spark's default of 10,000 rows per Arrow batch is lowered for the session, a set value is kept.
+    Texts are long rows: Spark's defaults of 10,000 rows and 64 MB per Arrow batch are lowered for the session, set values
+    are kept.
     """
     sc = spark.sparkContext
     if spark.conf.get(_BATCH_ROWS) == "10000":
         spark.conf.set(_BATCH_ROWS, "2048")
+    if spark.conf.get(_BATCH_BYTES) == "67108864b":
+        spark.conf.set(_BATCH_BYTES, "8m")
     if getattr(sc, "_panelkit_shipped", False):
         return
     top = Path(__file__).resolve().parents[1]

@@ -28,8 +28,8 @@ BLOCK_BYTES = 16 << 20
 #: Pairs of a training position and a test suffix extended at once.
 PAIRS = 1 << 20
 
-_SHARD = 1 << 20
-_PIECE = 1 << 20
+_SHARD = 1 << 19
+_PIECE = 1 << 18
 _DEPTH = 4
 _BYTES, _WORDS = RangeHash(61), RangeHash(62)
 _LOWER = np.arange(256, dtype=np.uint8)
