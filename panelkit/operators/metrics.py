@@ -118,14 +118,19 @@ def _score_counts(df: DataFrame, by: Sequence[str], y: str, proba: str) -> DataF
 
 
 def auc_scores(df: DataFrame, label: str = "target", y: str = "y", proba: str = "proba") -> DataFrame:
-    """Macro, micro and weighted ROC AUC in one row. A label with one class makes macro and weighted NULL."""
-    per = label_auc(df, label, y, proba)
+    """Macro, micro and weighted ROC AUC in one row. A label with one class makes macro and weighted NULL.
+
+    The rows are counted once, per label and score; the pooled counts add those up.
+    """
+    counts = _score_counts(df, [label], y, proba)
+    per = _auc(counts, [label])
     undefined = F.count_if(F.col("auc").isNull()) > 0
     weighted = F.try_divide(F.sum(F.col("auc") * F.col("positives")), F.sum("positives"))
     both = per.agg(
         F.when(~undefined, F.avg("auc")).alias("auc_macro"), F.when(~undefined, weighted).alias("auc_weighted")
     )
-    micro = _auc(_score_counts(df, [], y, proba), []).select(F.col("auc").alias("auc_micro"))
+    pooled = counts.groupBy("proba").agg(F.sum("pos_n").alias("pos_n"), F.sum("neg_n").alias("neg_n"))
+    micro = _auc(pooled, []).select(F.col("auc").alias("auc_micro"))
     return both.withColumn("_k", F.lit(0)).join(micro.withColumn("_k", F.lit(0)), "_k", "full").drop("_k")
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from panelkit.functions import scalars as S
@@ -11,6 +13,7 @@ from panelkit.operators import profile as R
 from panelkit.operators import schema as H
 from panelkit.operators.labels import sample_keys
 from panelkit.plans import panel_pipeline as L
+from panelkit.session import shared_dir
 from panelkit.workload import inputs as I
 from panelkit.workload.inputs import r, tidy, with_inputs
 
@@ -281,8 +284,9 @@ def panel_test_plain(spark, sf):
 
 
 def train_types(spark, sf):
-    """Types after narrowing, one row per column."""
-    train, _ = L.panel_train_test(_data(spark, sf), I.PANEL_LAYOUT, shift_total=4)
+    """Types of the stored training table after narrowing, one row per column."""
+    store = f"{shared_dir(spark).rstrip('/')}/train-types-{uuid.uuid4().hex}"
+    train, _ = L.panel_train_test(_data(spark, sf), I.PANEL_LAYOUT, store=store)
     rows = [(f.name, f.dataType.simpleString()) for f in train.schema]
     base = train.agg(F.count(F.lit(1)).alias("n"))
     pairs = F.array(*[F.struct(F.lit(a).alias("name"), F.lit(b).alias("type")) for a, b in rows])
@@ -321,6 +325,35 @@ WHERE target_shift24 IS NOT NULL"""
     return with_inputs(body, "panel", "weeks", "latest", extra=LOGGED | {"f": f})
 
 
+# The types that the columns of the training table have before narrowing; the others are doubles.
+BIGINTS = ("inn_id", "workdays", "weekends")
+INTS = ("week", "diff_datopen_report_date_flg", *[c for c in WEEK_COLS.split(", ") if c not in BIGINTS])
+TEXTS = ("ipul", "id_region", "main_okved_group")
+
+
+def _types_sql():
+    feats = [x.rsplit(" AS ", 1)[1].strip('"') for x in rounded(feature_sql(PIPE_VALUES, 1))]
+    whole = [c for c in feats if c.startswith("trns_count") or (c.startswith("cnt_") and "_rme" not in c)]
+    own = dict.fromkeys(("target", *feats), "double") | dict.fromkeys((*BIGINTS, *whole), "bigint")
+    own |= dict.fromkeys(INTS, "int") | dict.fromkeys(TEXTS, "string")
+    limits = ", ".join(f"min({c}) AS lo_{c}, max({c}) AS hi_{c}" for c, t in own.items() if t != "string")
+
+    def narrowed(c, t):
+        lo, hi = f"lo_{c}", f"hi_{c}"
+        if t == "string":
+            return "'string'"
+        if t == "double":
+            return f"CASE WHEN {lo} > -3.4028234663852886e38 AND {hi} < 3.4028234663852886e38 THEN 'float' ELSE 'double' END"
+        steps = "".join(
+            f" WHEN ({lo} >= 0 AND {hi} < {2**b}) OR ({lo} > -{2**b} AND {hi} < {2**b - 1}) THEN '{n}'"
+            for b, n in ((7, "tinyint"), (15, "smallint"), (31, "int"))
+        )
+        return f"CASE{steps} ELSE '{t}' END"
+
+    rows = " UNION ALL ".join(f"SELECT '{c}' AS name, {narrowed(c, t)} AS type, n FROM limits" for c, t in own.items())
+    return f"WITH train AS ({_train_sql()}), limits AS (SELECT count(*) AS n, {limits} FROM train) {rows}"
+
+
 def _test_sql():
     feats = rounded(feature_sql(PIPE_VALUES, 0))
     f = "SELECT inn_id, row_number() OVER (PARTITION BY inn_id ORDER BY week DESC) AS rn, " + ", ".join(feats) + " FROM logged"
@@ -487,7 +520,7 @@ LEFT JOIN weeks ON t.week = weeks.week LEFT JOIN latest ON t.inn_id = latest.inn
             extra=PREVIOUS_PIPE,
         ),
     ),
-    "train_types": (train_types, None),
+    "train_types": (train_types, _types_sql()),
     "group_columns": (group_columns, with_inputs("SELECT inn_id, week, target FROM panel", "panel")),
     "without_columns": (without_columns, with_inputs("SELECT * EXCLUDE (cnt_inn_inp, trn_ce_A) FROM panel", "panel")),
     "numeric_only": (numeric_only, "SELECT s_suppkey, s_nationkey, s_acctbal FROM supplier"),
