@@ -43,15 +43,19 @@ def read_panel(spark: SparkSession, path: str) -> DataFrame:
     return df.withColumn("week", F.col("week").cast("int"))
 
 
-def read_series(spark: SparkSession, path: str | list[str]) -> DataFrame:
+def read_series(spark: SparkSession, path: str | list[str], *, below: str | None = None) -> DataFrame:
     """All series files of a folder as one frame: ``file_name``, ``split_start``, ``row_id`` and the three values.
 
     (``split_start``, ``row_id``) orders the rows of a file: its splits start at growing offsets, and row ids grow
-    within a split. Lines that do not parse give NULLs and are dropped by the time filter later.
+    within a split. Lines that do not parse give NULLs and are dropped by the time filter later. ``file_name`` is the bare
+    name, or the path below the folder ``below``, which tells equal names in two folders apart.
     """
+    name = F.col("_metadata.file_name")
+    if below is not None:
+        name = F.substring_index(F.col("_metadata.file_path"), below.rstrip("/") + "/", -1)
     raw = spark.read.schema(SERIES).option("sep", "\t").option("mode", "PERMISSIVE").csv(path)
     return raw.select(
-        F.col("_metadata.file_name").alias("file_name"),
+        name.alias("file_name"),
         F.col("_metadata.file_block_start").alias("split_start"),
         F.monotonically_increasing_id().alias("row_id"),
         "time",

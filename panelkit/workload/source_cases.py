@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from panelkit.operators import ensemble as E
 from panelkit.operators.labels import SHORT_FLAGS
+from panelkit.operators.ordered import POS, measure, number_rows
 from panelkit.session import shared_dir
 from panelkit.sources import tables as R
 from panelkit.workload import inputs as I
@@ -41,11 +42,17 @@ def panel_parquet(spark, sf):
 
 
 def series_files(spark, sf):
-    """Headerless tab-separated files, a few series in each, read as one frame."""
-    rows = I.raw_series(spark, sf).select("time", "dP", "Pder")
-    path = R.write_csv(rows, _folder(spark, "series"), sep="\t", header=False)
-    got = R.read_series(spark, path)
-    return tidy(got.select("time", "dP", "Pder", (F.length("file_name") > 0).alias("named")))
+    """One folder of headerless tab-separated files per series; key and place of each row come from the files."""
+    folder = _folder(spark, "series")
+    rows = I.raw_series(spark, sf).repartition("file_name").sortWithinPartitions("file_name", "ts", "event_id")
+    rows = rows.select(F.col("file_name").alias("series"), "time", "dP", "Pder")
+    rows.write.partitionBy("series").option("sep", "\t").csv(folder)
+    got = R.read_series(spark, folder, below=folder)
+    key = F.regexp_extract("file_name", "series=([^/]+)/", 1).cast("long").alias("file_name")
+    got = got.select(key, "split_start", "row_id", "time", "dP", "Pder")
+    layout = measure(got, "file_name", ("split_start", "row_id"))
+    placed = number_rows(got, layout).select("file_name", F.col(POS).cast("long").alias("place"), "time", "dP", "Pder")
+    return tidy(placed)
 
 
 def fold_files(spark, sf):
@@ -95,7 +102,9 @@ CASES = {
     "panel_parquet": (panel_parquet, with_inputs("SELECT inn_id, week, target FROM panel", "panel")),
     "series_files": (
         series_files,
-        with_inputs(f"SELECT {r('T', 'time')}, {r('P', 'dP')}, {r('D', 'Pder')}, true AS named FROM raw_series", "raw_series"),
+        with_inputs(
+            f"SELECT file_name, pos AS place, {r('T', 'time')}, {r('P', 'dP')}, {r('D', 'Pder')} FROM raw_series", "raw_series"
+        ),
     ),
     "fold_files": (
         fold_files,
