@@ -280,7 +280,7 @@ def _sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             stats, trigrams = _describe(batch.column("text").slice(at, _PARTS))
             pattern = votes(stats) @ 3 ** np.arange(len(LABELLERS))
             columns = [pa.array(pattern.astype(np.int32)), *(pa.array(v, pa.binary()) for v in sparse(vectors(stats, trigrams)))]
-            yield pa.RecordBatch.from_arrays(columns, names=["pattern", "slots", "values"])
+            yield pa.RecordBatch.from_arrays([batch.column("h").slice(at, _PARTS), *columns], names=["h", "pattern", "slots", "values"])
 
 
 def _unpack(pattern: np.ndarray) -> np.ndarray:
@@ -302,16 +302,18 @@ def train(docs: DataFrame, text_col: str = "text", *, sample_rows: int = SAMPLE_
     """Label model over all texts of ``docs``, scorer from at most ``sample_rows`` of them with their posterior labels."""
     ship(docs.sparkSession)
     texts = docs.select(F.col(text_col).alias("text"))
-    counted = texts.mapInArrow(_patterns, "pattern int").groupBy("pattern").count().collect()
+    counted = texts.mapInArrow(_patterns, "pattern int").groupBy("pattern").count().orderBy("pattern").collect()
     patterns = _unpack(np.array([r["pattern"] for r in counted], np.int64))
     counts = np.array([r["count"] for r in counted], float)
     labels = expectation_maximisation(patterns, counts)
     total = counts.sum()
     # Equal texts hash alike and are drawn once; a share above the bound leaves room for chance, the limit holds the bound.
+    # The least hashes stay, in their order: the model of a table is the same in every run.
     share = min(1.0, 1.3 * sample_rows / total) if total else 1.0
     picked = F.pmod(F.xxhash64("text"), F.lit(1 << 20)) < int(share * (1 << 20))
-    sample = texts.filter(picked).dropDuplicates(["text"]).mapInArrow(_sampled, "pattern int, slots binary, values binary")
-    rows = sample.limit(sample_rows).toArrow() if total else None
+    hashed = texts.filter(picked).dropDuplicates(["text"]).select("text", F.xxhash64("text").alias("h"))
+    sample = hashed.mapInArrow(_sampled, "h long, pattern int, slots binary, values binary")
+    rows = sample.orderBy("h").limit(sample_rows).toArrow() if total else None
     if rows is None or not rows.num_rows:
         return QualityModel(labels, np.append(np.zeros(SLOTS), np.log(labels.good / (1 - labels.good))))
     target = labels.posterior(_unpack(rows.column("pattern").to_numpy().astype(np.int64)))

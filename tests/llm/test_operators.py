@@ -258,6 +258,12 @@ def test_quality_against_held_labels(spark, sf):
     assert got[got.quality == 1].keep.mean() > 0.97
 
 
+def test_quality_model_is_the_same_in_every_run(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    one, two = (quality.train(d, sample_rows=60) for d in (docs, docs.repartition(7)))
+    assert (one.weights == two.weights).all() and (one.labels.bad_vote == two.labels.bad_vote).all()
+
+
 ROW_OPERATORS = {
     "suffix": lambda d: suffix_dedup.dedup_digest(d),
     "chunks": lambda d: chunk_dedup.chunk_dedup(d),
