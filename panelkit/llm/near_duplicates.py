@@ -11,9 +11,9 @@ idf than the rest, at most (shingles per document / COMMON) of them however larg
 hash buckets first and then the shingles of heavy buckets alone. Weights fall by a quarter at most, so that a large group
 of copies, whose shared shingles are common for that very reason, stays similar.
 
-No bucket is paired out. First every member is paired with the bucket's hub, the node with the most bucket neighbours
-overall. Buckets whose members are then still in different classes go on: small ones with all pairs across classes,
-large ones once more within sub-buckets that share a second band, a fixed number of bands further on.
+First every member of a bucket is paired with its hub, the node with the most bucket neighbours overall. Buckets whose
+members are then still in different classes go on until every pair across classes is judged: small ones pair by pair,
+large ones block against block, where one task computes the similarities of two blocks of whole sets at once.
 """
 
 from __future__ import annotations
@@ -40,9 +40,8 @@ COMMON = 0.005
 DAMPING = 0.25
 #: Buckets up to this size have all pairs across classes compared.
 SMALL_BUCKET = 32
-#: Members of a large bucket meet again where the band so much further on is shared as well: of the 36 pairs of bands that
-#: this makes, two texts of similarity 0.8 share nine on average.
-FURTHER = (1, 2, 5)
+#: Larger buckets are dealt to blocks of about so many nodes and shingles; every two blocks meet in one task.
+BLOCK_NODES, BLOCK_SHINGLES = 256, 1 << 19
 #: Samples that must agree before a pair is verified: half; at a similarity of 0.8 fewer than 1 pair in 100,000 has less.
 AGREE = SAMPLES // 2
 
@@ -252,6 +251,100 @@ def _merged(keys: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return own, np.bincount(place, weights=weights, minlength=len(own))
 
 
+def block_similarity(shingles: list[np.ndarray], weights: list[np.ndarray], left: np.ndarray, right: np.ndarray, wide: int = 2048) -> np.ndarray:
+    """Weighted Jaccard similarities (in 32 bits) of the sets ``left`` with the sets ``right``.
+
+    The lesser of two weights is a sum of steps that both reach, so the common weight is a matrix product over the steps.
+    """
+    own = np.repeat(np.arange(len(shingles)), [len(s) for s in shingles])
+    token, weight = np.concatenate(shingles), np.concatenate(weights)
+    total = np.bincount(own, weights=weight, minlength=len(shingles))
+    order = np.lexsort((weight, token))
+    own, token, weight = own[order], token[order], weight[order]
+    new = np.ones(len(token), bool)
+    new[1:] = token[1:] != token[:-1]
+    start = np.flatnonzero(new)
+    held = np.diff(np.append(start, len(token)))
+    several = np.repeat(held > 1, held)
+    own, token, weight, new = own[several], token[several], weight[several], new[several]
+    common = np.zeros((len(left), len(right)), np.float32)
+    if len(own):
+        step = new.copy()
+        step[1:] |= weight[1:] != weight[:-1]
+        level = np.cumsum(step) - 1
+        lowest = level[np.flatnonzero(new)][np.cumsum(new) - 1]
+        height = weight[step].astype(np.float32)
+        above = np.flatnonzero(~new[step])
+        height[above] -= weight[step][above - 1].astype(np.float32)
+        for at in range(0, len(height), wide):
+            # Entries whose levels lowest..level meet this stretch of columns.
+            here = np.flatnonzero((lowest < at + wide) & (level >= at))
+            a, b = np.maximum(lowest[here], at) - at, np.minimum(level[here], at + wide - 1) - at
+            n = b - a + 1
+            column = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(a, n)
+            dense = np.zeros((len(shingles), min(wide, len(height) - at)), np.float32)
+            dense[np.repeat(own[here], n), column] = 1
+            common += (dense[left] * height[at : at + wide]) @ dense[right].T
+    return common / (total[left][:, None] + total[right] - common)
+
+
+def _block_links(group: pa.Table) -> pa.Table:
+    """Links between classes of two blocks (or of one): enough of them to join all classes that any pair joins."""
+    group = group.sort_by("node").combine_chunks()
+    nodes, block = group.column("node").to_pylist(), group.column("block").to_numpy()
+    lists = []
+    for name in ("shingles", "weights"):
+        column = group.column(name).combine_chunks()
+        lists.append((column.flatten().to_numpy(), np.concatenate([[0], np.cumsum(column.value_lengths().to_numpy())])))
+    sets = [_merged(*(v[e[k] : e[k + 1]] for v, e in lists)) for k in range(len(nodes))]
+    _, label = np.unique(np.array(group.column("label").to_pylist(), object), return_inverse=True)
+    parent = list(range(len(nodes)))
+
+    def root(k: int) -> int:
+        while parent[k] != k:
+            parent[k] = parent[parent[k]]
+            k = parent[k]
+        return k
+
+    one = block[0] == block
+    left, right = (np.flatnonzero(one), np.flatnonzero(~one)) if not one.all() else (np.arange(len(nodes)),) * 2
+    similar = block_similarity([k for k, _ in sets], [w for _, w in sets], left, right)
+    # A little below the limit, as these are sums in 32 bits; what is taken is computed anew.
+    x, y = np.nonzero(similar >= SIMILARITY - 1e-3)
+    order = np.argsort(-similar[x, y], kind="stable")
+    x, y = left[x[order]], right[y[order]]
+    apart = (label[x] != label[y]) & ((x < y) | (not one.all()))
+    found = []
+    for i, j in zip(x[apart].tolist(), y[apart].tolist(), strict=True):
+        a, b = root(label[i]), root(label[j])
+        if a != b and (exact := weighted_jaccard(*sets[i], *sets[j])) >= SIMILARITY:
+            parent[a] = b
+            found.append((min(nodes[i], nodes[j]), max(nodes[i], nodes[j]), exact))
+    columns = list(zip(*found, strict=True)) or [(), (), ()]
+    kinds = (pa.binary(), pa.binary(), pa.float64())
+    return pa.table([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["a", "b", "similarity"])
+
+
+def _large_links(members: DataFrame, vectors: DataFrame, scratch: Scratch) -> DataFrame:
+    """Links across classes in buckets of any size. ``members``: (key, node, label).
+
+    The largest class of a bucket does not meet itself, so at most one and a half times the pairs across classes are compared.
+    """
+    sized = scratch.table(members.join(vectors.select("node", F.size("shingles").alias("m")), "node"))
+    classes = sized.groupBy("key", "label").agg(F.count("*").alias("n"), F.sum("m").alias("m"))
+    buckets = classes.groupBy("key").agg(F.max(F.struct("n", "label", "m")).alias("top"), F.sum("n").alias("n"), F.sum("m").alias("m"))
+    blocks = lambda n, m: F.expr(f"greatest(ceil(({n}) / {BLOCK_NODES}), ceil(({m}) / {BLOCK_SHINGLES}))")
+    buckets = scratch.table(
+        buckets.select("key", F.col("top.label").alias("most"), blocks("top.n", "top.m").alias("inner"), blocks("n - top.n", "m - top.m").alias("outer"))
+    )
+    dealt = sized.join(buckets, "key").withColumn("h", F.xxhash64("node", "key"))
+    dealt = dealt.withColumn("block", F.expr("if(label = most, outer + pmod(h, inner), pmod(h, outer))"))
+    met = F.explode(F.expr("sequence(0L, if(label = most, outer, outer + inner) - 1)")).alias("other")
+    dealt = dealt.select("key", "node", "label", "block", met).select("*", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
+    whole = dealt.drop("other").join(vectors.hint("merge"), "node")
+    return whole.groupBy("key", "i", "j").applyInArrow(_block_links, "a binary, b binary, similarity double")
+
+
 def components(links: DataFrame, scratch: Scratch) -> DataFrame:
     """(node, label): the least node of each connected component, for all nodes of the links (a, b).
 
@@ -310,15 +403,18 @@ class _Verifier:
         joined = pairs.join(samples.toDF("a", "x"), "a").join(samples.toDF("b", "y"), "b")
         agree = F.aggregate(F.zip_with("x", "y", lambda x, y: (x == y).cast("int")), F.lit(0), lambda n, z: n + z)
         pairs = self.scratch.table(joined.filter(agree >= AGREE).select("a", "b"))
-        wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-        holders = self.scratch.table(self.nodes.join(wanted, "node").select("node", "doc", "rid"))
-        # By sorting at any size: a plan that changes with the number of candidates would hide what the step costs.
-        texts = self.texts.join(holders.hint("merge"), ["doc", "rid"]).dropDuplicates(["doc", "rid"]).select("node", "text")
-        vectors = self.scratch.table(texts.mapInArrow(_vectors(self.shared), "node binary, shingles array<int>, weights array<float>"))
+        vectors = self.vectors(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct())
         both = pairs.join(vectors.toDF("a", "sa", "wa"), "a").join(vectors.toDF("b", "sb", "wb"), "b")
         judged = both.select("a", "b", "sa", "wa", "sb", "wb").mapInArrow(_verify, "a binary, b binary, similarity double")
         return self.scratch.table(judged.filter(F.col("similarity") >= SIMILARITY))
 
+    def vectors(self, wanted: DataFrame) -> DataFrame:
+        """(node, shingles, weights) of the nodes ``wanted``."""
+        holders = self.scratch.table(self.nodes.join(wanted, "node").select("node", "doc", "rid"))
+        # By sorting at any size: a plan that changes with the number of candidates would hide what the step costs.
+        texts = self.texts.join(holders.hint("merge"), ["doc", "rid"]).dropDuplicates(["doc", "rid"]).select("node", "text")
+        return self.scratch.table(texts.mapInArrow(_vectors(self.shared), "node binary, shingles array<int>, weights array<float>"))
+
 
 def near_duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: id, doc, rid, class_id (least id in the class), class_size (rows), n_links (verified links of its text),
@@ -336,19 +432,18 @@ def near_duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: st
         holder = F.min(F.struct("doc", "rid", "bands", "samples")).alias("x")
         nodes = scratch.table(signed.groupBy("node").agg(holder).select("node", "x.*"))
         verify = _Verifier(rows, nodes, shared, scratch)
-        buckets = _sized(nodes.select(F.posexplode("bands").alias("band", "key"), "node"), scratch, mixed=False)
-        links = verify(scratch.table(_hub_pairs(buckets.drop("band"), scratch)))
+        buckets = _sized(nodes.select(F.explode("bands").alias("key"), "node"), scratch, mixed=False)
+        links = verify(scratch.table(_hub_pairs(buckets, scratch)))
         labels = components(links, scratch)
         named = buckets.drop("size").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-        open_ = _sized(named.select("key", "node", "label", "band"), scratch, mixed=True)
-        crowded = open_.filter(F.col("size") > SMALL_BUCKET).join(nodes.select("node", "bands"), "node")
-        second = F.explode(F.array(*(F.expr(f"bands[(band + {step}) % {BANDS}]") for step in FURTHER))).alias("second")
-        halves = crowded.select("key", "node", "label", second).select(F.xxhash64("key", "second").alias("key"), "node", "label")
-        deeper = _sized(halves, scratch, mixed=True)
-        more = _small_pairs(open_).unionByName(_small_pairs(deeper))
-        more = more.unionByName(_hub_pairs(deeper.filter(F.col("size") > SMALL_BUCKET).select("key", "node", "size"), scratch))
-        more = scratch.table(more.distinct().join(links.select("a", "b"), ["a", "b"], "left_anti"))
-        links = scratch.table(links.unionByName(verify(more)))
+        open_ = _sized(named.select("key", "node", "label"), scratch, mixed=True)
+        more = scratch.table(_small_pairs(open_).join(links.select("a", "b"), ["a", "b"], "left_anti"))
+        links = links.unionByName(verify(more))
+        crowded = scratch.table(open_.filter(F.col("size") > SMALL_BUCKET).select("key", "node", "label"))
+        if not crowded.isEmpty():
+            found = _large_links(crowded, verify.vectors(crowded.select("node").distinct()), scratch)
+            links = links.unionByName(found).dropDuplicates(["a", "b"])
+        links = scratch.table(links)
         labels = components(links, scratch)
         degree = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("n_links"))
         degree = scratch.table(labels.join(degree, "node"))

@@ -233,6 +233,29 @@ def test_near_duplicates_match_all_pairs(spark, documents):
     assert got.stays.sum() == got.class_id.nunique()
 
 
+def test_pairs_of_one_crowded_template_are_found(spark):
+    rng = np.random.default_rng(1)
+    words = lambda n: [f"w{x}" for x in rng.integers(0, 10**9, n)]
+    # 353 of 400 words in all texts, whose weights fall by a quarter: any two are similar by 0.74, the two of a pair by 0.81.
+    template, rows = words(353), []
+    for k in range(200):
+        both = template + words(16)
+        rows += [(2 * k + half, " ".join(both + words(31))) for half in range(2)]
+    got = near_duplicates.near_duplicate_classes(spark.createDataFrame(rows, "doc_id long, text string")).toPandas().set_index("id")
+    assert [got.class_id[k] for k in range(400)] == [k - k % 2 for k in range(400)]
+
+
+def test_block_similarity_is_that_of_each_pair():
+    rng = np.random.default_rng(2)
+    sets = []
+    for _ in range(12):
+        items = np.unique(rng.integers(0, 60, 40)).astype(np.int32)
+        sets.append((items, rng.choice([0.75, 0.8, 1, 2, 3, 7], len(items)).astype(np.float32)))
+    got = near_duplicates.block_similarity([s for s, _ in sets], [w for _, w in sets], np.arange(5), np.arange(5, 12), wide=16)
+    want = [[near_duplicates.weighted_jaccard(*sets[a], *sets[b]) for b in range(5, 12)] for a in range(5)]
+    assert np.allclose(got, want, atol=1e-5)
+
+
 def _floats(counted):
     return counted[0], counted[1].astype(float)
 
