@@ -1,7 +1,7 @@
 """Operator 1: personal data, by patterns and a linear-chain conditional random field over word shapes.
 
-The patterns give the base spans. The field, trained from a small labelled table, reads the neighbourhoods of digits and
-``@`` (everything it labels has one) and adds what the patterns miss: numbers and addresses in other spellings, and
+The patterns give the base spans. The field, trained from a small labelled table, reads the neighbourhoods of digits,
+``@`` and `` at host . com`` (everything it labels has one) and adds what the patterns miss: numbers and addresses in other spellings, and
 secrets. Its spans must keep the arithmetic of their kind (check digit, part size, number of digits) and may not touch a
 base span. Places count code points, ends are exclusive.
 """
@@ -23,7 +23,7 @@ from panelkit.llm.common import ship
 KINDS = ("email", "ip", "card", "phone", "secret")
 #: Rows of the labelled table that training may read.
 TRAINING_ROWS = 2_000
-#: Characters around a digit or ``@`` that the field sees.
+#: Characters around a digit, an ``@`` or an `` at `` that the field sees.
 AROUND = 48
 #: Longer neighbourhoods are decoded in windows of so many tokens.
 WINDOW = 512
@@ -37,6 +37,7 @@ _IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 _CARD = re.compile(r"[0-9](?:[ -]?[0-9])++")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _SIGNAL = re.compile(r"[0-9@]")
+_OPENING = re.compile(r"[0-9@][0-9@.:()+ -]*| at (?=[\w-]+ ?\. ?[\w-])")
 _LOCAL_CHARS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 
 
@@ -96,9 +97,9 @@ def join_spans(spans: Iterable[Span]) -> str:
 
 
 def neighbourhoods(text: str) -> list[tuple[int, int]]:
-    """Stretches around digits and @, widened to white space or twice ``AROUND``."""
+    """Stretches around digits, @ and "at" in front of a host, widened to white space or twice ``AROUND``."""
     out: list[tuple[int, int]] = []
-    for m in re.finditer(r"[0-9@][0-9@.:()+ -]*", text):
+    for m in _OPENING.finditer(text):
         a, b = max(0, m.start() - AROUND), min(len(text), m.end() + AROUND)
         least, most = max(0, a - AROUND), min(len(text), b + AROUND)
         while a > least and not text[a - 1].isspace():
