@@ -39,7 +39,7 @@ def features(tokens: list[str], spaced: list[bool]) -> np.ndarray:
     shapes = ["<", "<", *map(shape, tokens), ">", ">"]
     words = ["<", "<", *(t.lower()[:8] for t in tokens), ">", ">"]
     gaps = [*spaced, True]
-    out = np.zeros((len(tokens), FEATURES), np.int64)
+    out = np.zeros((len(tokens), FEATURES), np.int16)
     for i in range(len(tokens)):
         a, b, c, d, e = shapes[i : i + 5]
         u, v, w, x, y = words[i : i + 5]
@@ -62,7 +62,7 @@ def tokenize(text: str) -> tuple[list[str], list[tuple[int, int]], list[bool]]:
 def _padded(sequences: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     """Features as one array; shorter sequences are filled with slot -1 (a row of zeros)."""
     longest = max(map(len, sequences))
-    out = np.full((len(sequences), longest, FEATURES), -1)
+    out = np.full((len(sequences), longest, FEATURES), -1, np.int16)
     for k, s in enumerate(sequences):
         out[k, : len(s)] = s
     return out, np.array([len(s) for s in sequences])
@@ -74,12 +74,19 @@ class Crf:
     emit: np.ndarray  # slots + 1 x labels; the last row stays zero
     move: np.ndarray  # from x to
 
-    def viterbi(self, sequences: list[np.ndarray], together: int = 2048) -> list[np.ndarray]:
-        """The best label path of each sequence; sequences of like length are decoded together."""
+    def viterbi(self, sequences: list[np.ndarray], together: int = 2048, tokens: int = 1 << 20) -> list[np.ndarray]:
+        """The best label path of each sequence; sequences of like length are decoded together.
+
+        A group takes ``together`` sequences and ``tokens`` tokens with its filling at most; a longer sequence stands alone.
+        """
         out: list[np.ndarray] = [np.zeros(0, np.int64)] * len(sequences)
         order = sorted((k for k in range(len(sequences)) if len(sequences[k])), key=lambda k: len(sequences[k]))
-        for at in range(0, len(order), together):
-            group = order[at : at + together]
+        ends = [0]
+        for k in range(1, len(order) + 1):
+            if k == len(order) or k - ends[-1] == together or (k + 1 - ends[-1]) * len(sequences[order[k]]) > tokens:
+                ends.append(k)
+        for at, end in zip(ends[:-1], ends[1:], strict=True):
+            group = order[at:end]
             slots, lengths = _padded([sequences[k] for k in group])
             n, steps = slots.shape[:2]
             score = self.emit[slots[:, 0]].sum(axis=1)
@@ -90,7 +97,7 @@ class Crf:
                 moved = ways.max(axis=1) + self.emit[slots[:, t]].sum(axis=1)
                 score = np.where((t < lengths)[:, None], moved, score)
             last = score.argmax(axis=1)
-            path = np.zeros((n, steps), np.int64)
+            path = np.zeros((n, steps), np.int8)
             for t in range(steps - 1, -1, -1):
                 path[:, t] = last
                 if t:

@@ -25,8 +25,6 @@ KINDS = ("email", "ip", "card", "phone", "secret")
 TRAINING_ROWS = 2_000
 #: Characters around a digit, an ``@`` or an `` at `` that the field sees.
 AROUND = 48
-#: Longer neighbourhoods are decoded in windows of so many tokens.
-WINDOW = 512
 
 Span = tuple[str, int, int]
 
@@ -136,10 +134,9 @@ class Finder:
         for row, text in enumerate(texts):
             for a, b in neighbourhoods(text):
                 tokens, places, spaced = crf.tokenize(text[a:b])
-                for k in range(0, len(tokens), WINDOW):
-                    cut = slice(k, k + WINDOW)
-                    sequences.append(crf.features(tokens[cut], spaced[cut]))
-                    origins.append((row, a, places[cut]))
+                if tokens:
+                    sequences.append(crf.features(tokens, spaced))
+                    origins.append((row, a, places))
         found: list[list[Span]] = [[] for _ in texts]
         for (row, a, places), path in zip(origins, self.model.viterbi(sequences), strict=True):
             k = 0

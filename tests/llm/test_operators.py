@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from panelkit.llm import chunk_dedup, decontaminate, near_duplicates, pii, quality, sentencepiece, suffix_dedup, token_counts, topk_search, url_rules
+from panelkit.llm import chunk_dedup, crf, decontaminate, near_duplicates, pii, quality, sentencepiece, suffix_dedup, token_counts, topk_search, url_rules
 from panelkit.llm.vocab import MARK, NORMAL, read_pieces
 
 
@@ -155,6 +155,26 @@ def test_addresses_without_digits_are_found(monkeypatch):
         assert sum(s in spans for (_, s), (_, spans) in zip(rows, got, strict=True)) >= (70 if " at " in form else 93), form
 
 
+def test_spans_in_long_runs_of_numbers_do_not_depend_on_their_place():
+    finder = pii.Finder(pii.default_model())
+    phone, n = "(555) 123-4567", 1200
+    texts = [("12 of the " * n)[: 10 * k] + f"my number is {phone} and " + "12 of the " * (n - k) for k in range(120, 200)]
+    got = finder.spans(texts)
+    for text, (_, spans) in zip(texts, got, strict=True):
+        at = text.index(phone)
+        assert ("phone", at, at + len(phone)) in spans
+    assert len({len(spans) for _, spans in got}) == 1
+
+
+def test_sequences_of_any_length_decode_alike_alone_and_together():
+    model = pii.default_model()
+    rng = np.random.default_rng(4)
+    some = [crf.features(t, s) for t, _, s in (crf.tokenize(" ".join(str(x) for x in rng.integers(0, 10**6, n))) for n in (3, 1, 40, 900, 41, 5))]
+    alone = [model.viterbi([s])[0] for s in some]
+    assert all(np.array_equal(a, b) for a, b in zip(alone, model.viterbi(some, tokens=100), strict=True))
+    assert all(np.array_equal(a, b) for a, b in zip(alone, model.viterbi(some), strict=True))
+
+
 def test_pieces_round_trip_and_score():
     model = sentencepiece.PieceModel()
     segmenter = model.segmenter()
