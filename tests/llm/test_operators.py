@@ -63,6 +63,18 @@ def test_chunk_dedup_finds_shared_passages(spark):
     assert all(got[k].n_shared == 0 for k in range(5, 15))
 
 
+def test_chunk_dedup_finds_every_passage_of_51_words(spark):
+    rng = np.random.default_rng(8)
+    word = lambda: "".join(rng.choice(list("abcdefgh"), rng.integers(3, 6)))
+    text = lambda n: " ".join(word() for _ in range(n))
+    passages = [text(51) for _ in range(100)]
+    rows = [(2 * k + half, f"{text(40)} {p} {text(40)}") for k, p in enumerate(passages) for half in range(2)] + [(k, text(131)) for k in range(200, 230)]
+    got = {r.doc_id: r for r in chunk_dedup.chunk_dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert all(got[2 * k].n_shared > 0 and got[2 * k + 1].n_removed > 0 for k in range(100))
+    assert sum(got[2 * k + 1].n_removed for k in range(100)) > 0.65 * sum(map(len, passages))
+    assert all(got[k].n_shared == 0 for k in range(200, 230))
+
+
 def plain_windows(docs, items, window=13):
     words = lambda t: re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m.group().lower(), t or ""))
     sets = defaultdict(set)
