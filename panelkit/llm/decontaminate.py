@@ -80,7 +80,7 @@ def _prefix_codes(words: np.ndarray, left: np.ndarray) -> np.ndarray:
 class Suffixes:
     """All suffixes of a block of benchmark items."""
 
-    ids: np.ndarray  # of the items
+    ids: list[int | None]  # of the items
     item: np.ndarray  # of each suffix, an index into ids
     left: np.ndarray  # words to the item's end
     need: np.ndarray  # window length of the item
@@ -89,7 +89,7 @@ class Suffixes:
     prefix: np.ndarray  # range-hash prefix over all words
 
     @classmethod
-    def build(cls, ids: list[int], texts: list[str | None], window: int) -> Suffixes:
+    def build(cls, ids: list[int | None], texts: list[str | None], window: int) -> Suffixes:
         words = [word_hashes(np.frombuffer((t or "").encode(), np.uint8))[1] for t in texts]
         counts = np.array([len(w) for w in words], np.int64)
         flat = np.concatenate(words) if words else np.zeros(0, np.uint64)
@@ -99,7 +99,7 @@ class Suffixes:
         low = _prefix_codes(flat, left)
         free = np.uint64(16) * np.maximum(_DEPTH - left, 0).astype(np.uint64)
         high = low | (np.uint64(1) << free) - np.uint64(1)
-        return cls(np.array(ids, np.int64), item, left, need, low, high, _WORDS.prefix(flat))
+        return cls(ids, item, left, need, low, high, _WORDS.prefix(flat))
 
 
 def find_matches(words: np.ndarray, left: np.ndarray, tests: Suffixes, most: int = PAIRS) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
@@ -201,11 +201,12 @@ def _scan_shard(data: np.ndarray, offsets: np.ndarray, tests: Suffixes) -> list[
         lo = at[own] - rows[r]
         out[r]["hits"] = _union(list(zip(lo.tolist(), (lo + spans[own] % step).tolist(), strict=True)))
     for r, item in zip((named // many).tolist(), (named % many).tolist(), strict=True):
-        out[r]["items"].append(int(tests.ids[item]))
+        if tests.ids[item] is not None:
+            out[r]["items"].append(tests.ids[item])
     for row in out:
         row["items"] = sorted(set(row["items"]))
     for r, (size, place, test) in longest.items():
-        out[r] |= {"longest": -size, "longest_item": int(tests.ids[tests.item[test]]), "longest_at": place - int(rows[r])}
+        out[r] |= {"longest": -size, "longest_item": tests.ids[tests.item[test]], "longest_at": place - int(rows[r])}
     return out
 
 
@@ -222,12 +223,12 @@ def word_hashes_of_texts(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndar
 
 def benchmark_blocks(items: DataFrame, id_col: str, text_col: str, window: int, limit: int) -> Iterator[Suffixes]:
     """The benchmark's suffixes in blocks of about ``limit`` bytes of text, each fetched only when its turn comes."""
-    items = items.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).filter("id is not null")
+    items = items.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     size = items.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     blocks = -(-size // limit) or 1
     for b in range(blocks):
         part = items if blocks == 1 else items.filter(F.pmod(F.xxhash64("id", "text"), F.lit(blocks)) == b)
-        rows = sorted((r.id, r.text or "") for r in part.collect())
+        rows = sorted(((r.id, r.text or "") for r in part.collect()), key=lambda x: (x[0] is None, x[0] or 0, x[1]))
         yield Suffixes.build([r[0] for r in rows], [r[1] for r in rows], window)
 
 
@@ -244,8 +245,8 @@ def find_contamination(
     """``docs`` with n_words, hits (runs of hit words, as word positions), items (ids with occurring windows), the longest
     verbatim match (longest words, longest_item, longest_at), n_hit and contaminated (20 * n_hit >= n_words, n_hit > 0).
 
-    Columns of ``docs`` with these names are replaced. Null and empty texts have no words and no hits; items whose id or
-    words are missing match nothing; repeated items count once. Any number of rows may share an id.
+    Columns of ``docs`` with these names are replaced. Null and empty texts have no words and no hits; items without
+    words match nothing, those without an id hit words and are not named; repeated items count once. Any number of rows may share an id.
     """
     ship(docs.sparkSession)
     taken = {*_FOUND.names, "n_hit", "contaminated", "__found"}

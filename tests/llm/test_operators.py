@@ -106,6 +106,16 @@ def test_decontamination_matches_plain_windows(spark, block):
     assert got[0].longest == 13 and got[0].longest_at == 1
 
 
+@pytest.mark.parametrize("block", [1 << 20, 20])
+def test_items_without_an_id_hit_words(spark, block):
+    items = [(None, "a nameless item of six words"), (7, "named item"), (None, "other"), (None, None)]
+    docs = ["this is a nameless item of six words", "a named item", "other named item", "nothing"]
+    left, right = spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    got = decontaminate.find_contamination(left, right, block_bytes=block).orderBy("doc_id").collect()
+    assert [(r.n_hit, list(r["items"]), r.contaminated) for r in got] == [(6, [], True), (2, [7], True), (3, [7], True), (0, [], False)]
+    assert got[0].longest == 6 and got[0].longest_item is None
+
+
 def test_frequent_words_are_matched_in_parts(monkeypatch):
     """A word repeated on both sides pairs every place with every suffix: the parts give what one piece gives."""
     texts = ["no " * 60 + "yes", "yes no no no no", "no " * 12, "x " + "no " * 20]
