@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-from panelkit.llm.common import RangeHash, mix, shards, ship, text_buffer
+from panelkit.llm.common import RangeHash, Scratch, mix, shards, ship, text_buffer
 
 WINDOW = 13
 #: Bytes of benchmark text sent to the tasks at once.
@@ -255,7 +255,15 @@ def find_contamination(
         raise ValueError(f"the text column may not be called {text_col}")
     out = docs.select(*own)
     schema = T.StructType([*out.schema, T.StructField("__found", _FOUND)])
+    scratch, before = Scratch(docs.sparkSession, "decontamination"), None
     for k, tests in enumerate(benchmark_blocks(items, item_id_col, item_text_col, window, block_bytes)):
+        if k:
+            # The plan keeps a block's arrays on the driver until it has run, so the blocks before are written first.
+            path = scratch.write(out)
+            out = docs.sparkSession.read.schema(schema).parquet(path)
+            if before:
+                scratch.drop(before)
+            before = path
         out = out.mapInArrow(_scan(tests, text_col, k == 0), schema)
     n_hit = F.aggregate("hits", F.lit(0).cast("long"), lambda n, x: n + (x["end"] - x["lo"]).cast("long"))
     out = out.select(*own, "__found.*").withColumn("n_hit", n_hit)

@@ -116,6 +116,14 @@ def test_items_without_an_id_hit_words(spark, block):
     assert got[0].longest == 6 and got[0].longest_item is None
 
 
+def test_a_plan_holds_one_benchmark_block(spark):
+    items = spark.createDataFrame([(k, f"item of number {k} here") for k in range(40)], "item_id long, text string")
+    docs = spark.createDataFrame([(0, "item of number 7 here"), (1, "item of number 31 here and")], "doc_id long, text string")
+    found = decontaminate.find_contamination(docs, items, block_bytes=200)
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow") == 1
+    assert [list(r["items"]) for r in found.orderBy("doc_id").collect()] == [[7], [31]]
+
+
 def test_frequent_words_are_matched_in_parts(monkeypatch):
     """A word repeated on both sides pairs every place with every suffix: the parts give what one piece gives."""
     texts = ["no " * 60 + "yes", "yes no no no no", "no " * 12, "x " + "no " * 20]
