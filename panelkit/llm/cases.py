@@ -9,6 +9,7 @@ from panelkit.llm.pii import op1_pii_crf
 from panelkit.llm.quality import op7_quality_em
 from panelkit.llm.sentencepiece import op3_sentencepiece
 from panelkit.llm.suffix_dedup import op2_suffix_dedup
+from panelkit.llm.token_alignment import op11_token_alignment
 from panelkit.llm.token_counts import op10_token_counts
 from panelkit.llm.topk_search import OP9_SQL, op9_cover_tree
 from panelkit.llm.url_rules import OP4_SQL, op4_url_rules
@@ -24,4 +25,5 @@ CASES = {
     "op8_chunk_dedup": (op8_chunk_dedup, None),
     "op9_cover_tree": (op9_cover_tree, OP9_SQL),
     "op10_token_counts": (op10_token_counts, None),
+    "op11_token_alignment": (op11_token_alignment, None),
 }
