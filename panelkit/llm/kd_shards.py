@@ -157,7 +157,7 @@ def kd_shards(
         least, most = ([f(F.element_at("dims", k + 1)).alias(f"{f.__name__}{k}") for k in range(n_dims)] for f in (F.min, F.max))
         groups = rows.groupBy(*same).agg(F.count("*").alias("n"), *least, *most)
         unlike = groups.filter("n > 1 and (" + " or ".join(f"min{k} < max{k}" for k in range(n_dims)) + ")")
-        unlike = unlike.select(*same, F.array(*[F.col(f"min{k}") for k in range(n_dims)]).alias("least"))
+        unlike = scratch.table(unlike.select(*same, F.array(*[F.col(f"min{k}") for k in range(n_dims)]).alias("least")))
         rows = rows.join(unlike, same, "left").withColumn("dims", F.coalesce("least", "dims")).drop("least")
         row_hash = F.shiftrightunsigned(F.xxhash64("row"), 16)
         placed = scratch.table(rows.select(F.lit(1).cast("long").alias("node"), row_hash.alias("row_hash"), *rows.columns))
