@@ -6,6 +6,7 @@ from panelkit.llm.chunk_dedup import op8_chunk_dedup
 from panelkit.llm.decontaminate import OP6_SQL, op6_decontaminate
 from panelkit.llm.kd_shards import op13_kd_shards
 from panelkit.llm.near_duplicates import op5_near_duplicates
+from panelkit.llm.phrases import OP12_SQL, op12_phrases
 from panelkit.llm.pii import op1_pii_crf
 from panelkit.llm.quality import op7_quality_em
 from panelkit.llm.sentencepiece import op3_sentencepiece
@@ -27,5 +28,6 @@ CASES = {
     "op9_cover_tree": (op9_cover_tree, OP9_SQL),
     "op10_token_counts": (op10_token_counts, None),
     "op11_token_alignment": (op11_token_alignment, None),
+    "op12_phrases": (op12_phrases, OP12_SQL),
     "op13_kd_shards": (op13_kd_shards, None),
 }
