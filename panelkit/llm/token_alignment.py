@@ -39,9 +39,11 @@ BYTE_BPE = f"{FOLDER}/byte_bpe_50k.json"
 BLOCK_BYTES = 8 << 20
 #: Groups of more links than this are counted by distinct ids before they are linked.
 LARGE = 4096
+#: New words that are cut as one text.
+TOGETHER = 4096
 _SINGLE_SPACE = re.compile(r"(?<=\S) (?=\S)")
 #: Words and windows, and letters of words, remembered by a worker before it starts afresh.
-REMEMBERED, REMEMBERED_LETTERS = 300_000, 1 << 24
+REMEMBERED, REMEMBERED_LETTERS = 400_000, 1 << 24
 
 _COUNTS = ("n_a", "n_b", "n_groups", "n_links")
 _CODED = T.StructType([T.StructField("block", T.LongType()), T.StructField("id", T.LongType())])
@@ -162,18 +164,44 @@ class Aligner:
     def full(self) -> bool:
         return len(self.texts) > REMEMBERED or len(self.words) > REMEMBERED or self.letters > REMEMBERED_LETTERS
 
-    def _learn_words(self, words: list[str]) -> None:
-        """Cut new stretches by both tokenizers and align their windows."""
+    def _cut_each(self, words: list[str]) -> tuple[list[list[np.ndarray]], np.ndarray]:
+        """Both sides' ids of each word, and whether both give its bytes back."""
         a_ids = [e.ids for e in self.a_cut.encode_batch_fast([" " + w for w in words], add_special_tokens=False)]
         b_ids = self.b_cut.encode(words, num_threads=1)
-        raw = [b" " + w.encode() for w in words]
-        good = np.ones(len(words), bool)
-        flat, size = [], []
-        for tokens, ids in zip(self.tokens, (a_ids, b_ids), strict=True):
-            flat.append(np.fromiter(chain.from_iterable(ids), np.int64))
-            size.append(np.fromiter(map(len, ids), np.int64, len(ids)))
-            if b"".join(map(tokens.__getitem__, flat[-1].tolist())) != b"".join(raw):
-                good &= [b"".join(map(tokens.__getitem__, x)) == r for x, r in zip(ids, raw, strict=True)]
+        given = lambda k, ids, w: b"".join(map(self.tokens[k].__getitem__, ids)) == b" " + w.encode()
+        good = [given(0, a, w) and given(1, b, w) for a, b, w in zip(a_ids, b_ids, words, strict=True)]
+        return [[np.array(x, np.int64) for x in ids] for ids in (a_ids, b_ids)], np.array(good)
+
+    def _cut(self, words: list[str]) -> tuple[list[np.ndarray], list[np.ndarray], np.ndarray]:
+        """Both sides' ids of words without outer white space: flat, their numbers by word, and whether they give the bytes back.
+
+        The words are cut as one text. Should its bytes not come back, or a word's end not be a token's end, each is cut alone.
+        """
+        text = " ".join(words)
+        ends = np.cumsum([len(w.encode()) + 1 for w in words])
+        sides = (self.a_cut.encode_batch_fast([" " + text], add_special_tokens=False)[0].ids, self.b_cut.encode(text))
+        flat, numbers = [np.array(x, np.int64) for x in sides], []
+        for ids, tokens, size in zip(flat, self.tokens, self.size, strict=True):
+            stops = np.cumsum(size[ids])
+            at = np.searchsorted(stops, ends)
+            if b"".join(map(tokens.__getitem__, ids.tolist())) != b" " + text.encode() or (stops[at] != ends).any():
+                each, good = self._cut_each(words)
+                return [np.concatenate(x) for x in each], [np.array([len(y) for y in x]) for x in each], good
+            numbers.append(np.diff(at + 1, prepend=0))
+        return flat, numbers, np.ones(len(words), bool)
+
+    def _learn_words(self, words: list[str]) -> None:
+        """Cut new stretches by both tokenizers and align their windows."""
+        plain = [w for w in words if w and not (w[0].isspace() or w[-1].isspace())] if self.by_word else []
+        odd = list(set(words).difference(plain))
+        words, found = plain + odd, []
+        for i in range(0, len(plain), TOGETHER):
+            found.append(self._cut(plain[i : i + TOGETHER]))
+        if odd:
+            each, good = self._cut_each(odd)
+            found.append(([np.concatenate(x) for x in each], [np.array([len(y) for y in x]) for x in each], good))
+        flat, size = ([np.concatenate([f[part][k] for f in found]) for k in (0, 1)] for part in (0, 1))
+        good = np.concatenate([f[2] for f in found])
         self.words.update(zip(words, range(len(self.words), len(self.words) + len(words)), strict=True))
         self.letters += sum(map(len, words))
         for own, n in zip(self.tokens_of, size, strict=True):
