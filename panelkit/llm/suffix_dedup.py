@@ -14,6 +14,11 @@ The scan says of each run that (a) the same whole run stands elsewhere: all its
 elsewhere with other surroundings: its windows are hashed one by one and compared; (c) neither: nothing of it repeats.
 Every comparison is by counts per hash, so a passage shared by a third of all rows is added up before the shuffle.
 Equality is by 128 bits (suffix and run, or suffix and window).
+
+Shorter passages, of some fifty words, are reported beside this and not removed: a second, denser set of anchors (every window of
+``PASSAGE`` bytes has one) gives the ``gram`` bytes behind each anchor, and ``n_repeated`` counts the bytes of those that stand in two
+places at least, with all removed ones. Of every repeated string of ``PASSAGE`` bytes it has ``gram`` bytes or more; no byte outside a
+repeated string of ``gram`` bytes is counted. Equality is by 64 bits here.
 """
 
 from __future__ import annotations
@@ -23,13 +28,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelkit.llm.common import SHARD_BYTES, RangeHash, Scratch, long_list, mix, row_keys, shards, text_buffer, tidy_shuffles
 
 WIDTH = 400
 GRAM = 128
+#: Width of the passages that are counted, not removed.
+PASSAGE = 240
 BATCHES = 4
 #: Windows of a run are first compared in blocks of so many neighbours, by the text that all of a block share.
 BLOCK = 32
@@ -72,6 +79,41 @@ def _runs(data: np.ndarray, starts: np.ndarray, width: int, gram: int) -> tuple[
     return hashes[anchor[lo]], whole, lo, hi, anchor[lo]
 
 
+def _places(data: np.ndarray, starts: np.ndarray, width: int, gram: int) -> tuple[np.ndarray, np.ndarray]:
+    """(key, anchor) of all windows inside the concatenated texts that begin at ``starts``, each anchor once."""
+    if len(data) < width:
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    anchor, hashes = _anchors(data, width, gram)
+    edges = np.zeros(len(anchor) + 1, np.int32)
+    fits = np.diff(starts) >= width
+    np.add.at(edges, starts[:-1][fits], 1)
+    np.add.at(edges, starts[1:][fits] - width + 1, -1)
+    own = anchor[np.cumsum(edges[:-1]) > 0]
+    own = own[np.append(True, own[1:] != own[:-1])[: len(own)]]
+    return hashes[own], own
+
+
+def _find_places(width: int, gram: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            data, offsets = text_buffer(batch.column("text"))
+            for i, j in shards(offsets):
+                first, last = int(offsets[i]), int(offsets[j])
+                long = last - first > SHARD_BYTES
+                parts = []
+                for at in range(first, last if long else first + 1, SHARD_BYTES):
+                    end = min(last, at + SHARD_BYTES + width - 1) if long else last
+                    key, place = _places(data[at:end], np.array([0, end - at]) if long else offsets[i : j + 1] - first, width, gram)
+                    parts.append((key, place + at))
+                key, place = (np.concatenate(x) for x in zip(*parts, strict=True))
+                rows = np.searchsorted(place, offsets[i : j + 1])
+                local = place - np.repeat(offsets[i:j], np.diff(rows))
+                lists = [long_list(key.view(np.int64), rows, pa.int64()), long_list(local.astype(np.int32), rows, pa.int32())]
+                yield pa.RecordBatch.from_arrays([batch.column("doc")[i:j], batch.column("rid")[i:j], *lists], names=["doc", "rid", "keys", "ats"])
+
+    return run
+
+
 def _find_runs(width: int, gram: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -191,7 +233,9 @@ def _blocks_batch(parts: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([*map(pa.array, columns), lists], names=["doc", "rid", "key", "core", "start", "hashes"])
 
 
-_DIGEST = "id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans array<struct<lo:int,end:int>>"
+_DIGEST = (
+    "id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, n_repeated long, spans array<struct<lo:int,end:int>>"
+)
 
 
 def _digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -199,10 +243,15 @@ def _digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         data, offsets = text_buffer(batch.column("text"))
         found = batch.column("covers").fill_null([])
         covers, rows = found.flatten().to_numpy(), np.concatenate([[0], np.cumsum(found.value_lengths().to_numpy())])
-        removed, counts, shas, los, ends = [], [], [], [], []
+        marked = batch.column("marks").fill_null([])
+        marks, mark_rows = marked.flatten().to_numpy(), np.concatenate([[0], np.cumsum(marked.value_lengths().to_numpy())])
+        removed, counts, shas, los, ends, repeated = [], [], [], [], [], []
         for row in range(len(batch)):
             text = data[offsets[row] : offsets[row + 1]]
-            lo, end = merge_covers(covers[rows[row] : rows[row + 1]])
+            own = covers[rows[row] : rows[row + 1]]
+            lo, end = merge_covers(own)
+            both = merge_covers(np.append(own, marks[mark_rows[row] : mark_rows[row + 1]]))
+            repeated.append(int((both[1] - both[0]).sum()))
             sha, at = hashlib.sha256(), 0
             for x, y in zip(lo.tolist(), end.tolist(), strict=True):
                 sha.update(text[at:x])
@@ -216,8 +265,16 @@ def _digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pairs = pa.StructArray.from_arrays([pa.array(np.concatenate(x), pa.int32()) for x in (los, ends)], names=["lo", "end"])
         spans = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(counts)]), pa.int32()), pairs)
         yield pa.RecordBatch.from_arrays(
-            [batch.column("id"), pa.array(np.diff(offsets)), pa.array(removed, pa.int64()), pa.array(counts, pa.int64()), pa.array(shas), spans],
-            names=["id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "spans"],
+            [
+                batch.column("id"),
+                pa.array(np.diff(offsets)),
+                pa.array(removed, pa.int64()),
+                pa.array(counts, pa.int64()),
+                pa.array(shas, pa.string()),
+                pa.array(repeated, pa.int64()),
+                spans,
+            ],
+            names=["id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "n_repeated", "spans"],
         )
 
 
@@ -240,11 +297,20 @@ def repeated_spans(
     Ids may be null or repeated: equal rows are copies of each other and get the same pairs. Null and empty texts, and
     texts shorter than ``width``, have none. Other columns are ignored. An empty table gives an empty result.
     """
+    rows = docs.select(*row_keys(id_col, text_col), F.col(text_col).alias("text"))
+    covers = _covers(Scratch(docs.sparkSession, "suffix-dedup"), rows, width, gram, batches)
+    return rows.join(covers, ["doc", "rid"], "left").select("id", "text", "covers")
+
+
+def _cover(lo: str, end: str) -> Column:
+    return (F.shiftleft(F.expr(lo).cast("long"), 32) + F.expr(end)).alias("cover")
+
+
+def _covers(scratch: Scratch, rows: DataFrame, width: int, gram: int, batches: int) -> DataFrame:
+    """A stored table (doc, rid, covers) of the rows with repeated strings of ``width`` bytes."""
     if not 1 <= gram <= width:
         raise ValueError("gram must lie between 1 and width")
-    spark: SparkSession = docs.sparkSession
-    scratch = Scratch(spark, "suffix-dedup")
-    rows = docs.select(*row_keys(id_col, text_col), F.col(text_col).alias("text"))
+    spark: SparkSession = scratch.spark
     with tidy_shuffles(spark):
         runs = scratch.table(rows.mapInArrow(_find_runs(width, gram), _RUNS).filter(F.size("keys") > 0))
         levels = SuffixLevels(scratch)
@@ -273,12 +339,23 @@ def repeated_spans(
             .select("doc", "rid", "key", "hash", (F.col("start") + F.col("i")).alias("start"))
         )
         twice = scratch.table(_in_two_places(windows, "hash"))
-        cover = lambda lo, end: (F.shiftleft(F.expr(lo).cast("long"), 32) + F.expr(end)).alias("cover")
-        whole_covers = judged.filter("full").select("doc", "rid", cover("lo", f"hi + {width}"))
-        window_covers = windows.join(twice, ["key", "hash"]).select("doc", "rid", cover("start", f"start + {width}"))
+        whole_covers = judged.filter("full").select("doc", "rid", _cover("lo", f"hi + {width}"))
+        window_covers = windows.join(twice, ["key", "hash"]).select("doc", "rid", _cover("start", f"start + {width}"))
         covers = whole_covers.unionByName(window_covers).groupBy("doc", "rid").agg(F.collect_set("cover").alias("covers"))
-        covers = scratch.table(covers)
-    return rows.join(covers, ["doc", "rid"], "left").select("id", "text", "covers")
+        return scratch.table(covers)
+
+
+def _marks(scratch: Scratch, rows: DataFrame, width: int, gram: int) -> DataFrame:
+    """A stored table (doc, rid, marks): the anchored strings of ``gram`` bytes that stand in two places at least."""
+    with tidy_shuffles(scratch.spark):
+        schema = "doc long, rid long, keys array<long>, ats array<int>"
+        found = scratch.table(rows.mapInArrow(_find_places(width, gram), schema).filter(F.size("keys") > 0))
+        each = found.select("doc", "rid", F.explode(F.arrays_zip("keys", "ats")).alias("x")).select("doc", "rid", "x.*")
+        each = each.toDF("doc", "rid", "key", "at")
+        place = F.xxhash64("doc", "rid", "at")
+        twice = each.groupBy("key").agg(F.min(place).alias("a"), F.max(place).alias("b")).filter("a < b").select("key")
+        marked = each.join(scratch.table(twice), "key").groupBy("doc", "rid")
+        return scratch.table(marked.agg(F.collect_set(_cover("at", f"at + {gram}")).alias("marks")))
 
 
 def _in_two_places(found: DataFrame, hashed: str) -> DataFrame:
@@ -288,11 +365,28 @@ def _in_two_places(found: DataFrame, hashed: str) -> DataFrame:
     return both.filter("a < b").select("key", hashed)
 
 
-def dedup_digest(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """Per row: id, n_bytes, n_removed, n_spans, kept_sha256 of the remaining bytes, spans (the maximal removed runs)."""
-    return repeated_spans(docs, id_col, text_col, **options).mapInArrow(_digest, _DIGEST).withColumnRenamed("id", id_col)
+def dedup_digest(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    *,
+    width: int = WIDTH,
+    gram: int = GRAM,
+    batches: int = BATCHES,
+    passage: int = PASSAGE,
+) -> DataFrame:
+    """Per row: id, n_bytes, n_removed, n_spans, kept_sha256 of the remaining bytes, n_repeated, spans (the maximal removed runs).
+
+    Rows as in ``repeated_spans``. ``n_repeated`` counts removed bytes and those of shorter repeated passages, which stay.
+    """
+    scratch = Scratch(docs.sparkSession, "suffix-dedup")
+    rows = docs.select(*row_keys(id_col, text_col), F.col(text_col).alias("text"))
+    covers, marks = _covers(scratch, rows, width, gram, batches), _marks(scratch, rows, passage, gram)
+    both = covers.join(marks, ["doc", "rid"], "full")
+    found = rows.join(both, ["doc", "rid"], "left").select("id", "text", "covers", "marks")
+    return found.mapInArrow(_digest, _DIGEST).withColumnRenamed("id", id_col)
 
 
 def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    return dedup_digest(docs).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+    return dedup_digest(docs).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "n_repeated")

@@ -33,7 +33,7 @@ def test_suffix_dedup_is_exact(spark):
     base = ["".join(rng.choice(list("abc def"), 300)) for _ in range(6)]
     texts = [*base, base[0], base[1][:150] + "X" + base[2][100:], "q" * 200, base[3][50:120] * 3, None, "", base[4][:60], base[0][10:]]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in suffix_dedup.dedup_digest(docs, width=60, gram=20, batches=3).collect()}
+    got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in suffix_dedup.dedup_digest(docs, width=60, gram=20, batches=3, passage=40).collect()}
     assert [got[k] for k in range(len(texts))] == plain_repeats(texts, 60)
 
 
@@ -44,6 +44,25 @@ def test_suffix_dedup_on_the_table(spark, documents):
     assert [tuple(got.loc[i, ["n_bytes", "n_removed", "n_spans", "kept_sha256"]]) for i in some.doc_id] == want
 
 
+def test_shorter_passages_are_counted(spark, documents):
+    """Every repeated string of PASSAGE bytes is met; only bytes in repeated strings of GRAM bytes are counted."""
+    rng = np.random.default_rng(6)
+    word = lambda: "".join(rng.choice(list("abcdefgh"), rng.integers(3, 6)))
+    text = lambda n: " ".join(word() for _ in range(n))
+    passages = [text(51) for _ in range(60)]
+    texts = [f"{text(30)} {p} {text(40)}" for p in passages for _ in range(2)] + [text(121) for _ in range(20)] + documents.text.head(60).tolist()
+    texts += [None, "", "z" * 500, passages[0] * 2]
+    got = suffix_dedup.dedup_digest(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    got = {r.doc_id: r for r in got.collect()}
+    assert min(map(len, passages)) >= suffix_dedup.PASSAGE - 50
+    wide, narrow = plain_repeats(texts, suffix_dedup.PASSAGE), plain_repeats(texts, suffix_dedup.GRAM)
+    for k in range(len(texts)):
+        assert got[k].n_removed <= got[k].n_repeated <= narrow[k][1], k
+        assert got[k].n_repeated >= suffix_dedup.GRAM * (wide[k][1] > 0), k
+    assert all(got[k].n_repeated >= suffix_dedup.GRAM for k in range(120) if len(passages[k // 2]) >= suffix_dedup.PASSAGE)
+    assert all(got[k].n_repeated == 0 for k in range(120, 140))
+
+
 def test_long_texts_are_cut_without_loss():
     text = np.frombuffer(np.random.default_rng(1).bytes(700_000), np.uint8)
     whole = chunk_dedup.boundaries(text, np.array([0, len(text)]))
