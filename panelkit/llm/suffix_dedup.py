@@ -312,7 +312,8 @@ def _covers(scratch: Scratch, rows: DataFrame, width: int, gram: int, batches: i
         raise ValueError("gram must lie between 1 and width")
     spark: SparkSession = scratch.spark
     with tidy_shuffles(spark):
-        runs = scratch.table(rows.mapInArrow(_find_runs(width, gram), _RUNS).filter(F.size("keys") > 0))
+        runs_at = scratch.write(rows.mapInArrow(_find_runs(width, gram), _RUNS).filter(F.size("keys") > 0))
+        runs = spark.read.schema(_RUNS).parquet(runs_at)
         levels = SuffixLevels(scratch)
         for b in range(batches):
             part = runs.filter(F.pmod(F.xxhash64("rid"), F.lit(batches)) == b)
@@ -326,6 +327,7 @@ def _covers(scratch: Scratch, rows: DataFrame, width: int, gram: int, batches: i
             .filter("full or mixed")
         )
         levels.drop()
+        scratch.drop(runs_at)
         one = F.min(F.struct("doc", "rid", "lo", "hi", "at")).alias("x")  # equal runs have equal windows: hash those of one
         open_runs = judged.filter("mixed").groupBy("key", "whole").agg(one).select("key", "x.*")
         per_row = scratch.table(open_runs.groupBy("doc", "rid").agg(F.collect_list(F.struct("key", "lo", "hi", "at")).alias("found")))
@@ -349,13 +351,16 @@ def _marks(scratch: Scratch, rows: DataFrame, width: int, gram: int) -> DataFram
     """A stored table (doc, rid, marks): the anchored strings of ``gram`` bytes that stand in two places at least."""
     with tidy_shuffles(scratch.spark):
         schema = "doc long, rid long, keys array<long>, ats array<int>"
-        found = scratch.table(rows.mapInArrow(_find_places(width, gram), schema).filter(F.size("keys") > 0))
+        found_at = scratch.write(rows.mapInArrow(_find_places(width, gram), schema).filter(F.size("keys") > 0))
+        found = scratch.spark.read.schema(schema).parquet(found_at)
         each = found.select("doc", "rid", F.explode(F.arrays_zip("keys", "ats")).alias("x")).select("doc", "rid", "x.*")
         each = each.toDF("doc", "rid", "key", "at")
         place = F.xxhash64("doc", "rid", "at")
         twice = each.groupBy("key").agg(F.min(place).alias("a"), F.max(place).alias("b")).filter("a < b").select("key")
         marked = each.join(scratch.table(twice), "key").groupBy("doc", "rid")
-        return scratch.table(marked.agg(F.collect_set(_cover("at", f"at + {gram}")).alias("marks")))
+        marks = scratch.table(marked.agg(F.collect_set(_cover("at", f"at + {gram}")).alias("marks")))
+        scratch.drop(found_at)
+        return marks
 
 
 def _in_two_places(found: DataFrame, hashed: str) -> DataFrame:
