@@ -7,7 +7,7 @@ plans the plain window; beyond that it cuts groups into blocks of rows and
 
 * repeats the few rows next to a block border (``bounded_frames``),
 * carries block totals forward (``running``, ``number_rows``),
-* or ranks rows and picks the wanted ranks (``exact_quantiles``).
+* or counts values and picks the wanted ranks (``quantiles``).
 
 Both ways give the same values. Keys must not be NULL, and the order columns must order a group totally.
 """
@@ -233,27 +233,51 @@ def join_group_rows(df: DataFrame, stats: DataFrame, layout: Layout) -> DataFram
     return df.withColumn("_salt", salt.cast("int")).join(repeated, [*keys, "_salt"]).drop("_salt")
 
 
-def exact_quantiles(df: DataFrame, layout: Layout, column: str, probs: dict[str, float]) -> DataFrame:
-    """One row per group with exact, linearly interpolated quantiles of the non-NULL values of ``column``.
+def counted_values(df: DataFrame, layout: Layout, columns: Sequence[str]) -> DataFrame:
+    """One row per group, column (``which``, its place in ``columns``) and distinct value ``v``, with two running counts.
 
-    Small groups use the ``percentile`` aggregate, whose buffer holds the values of a group; in larger ones the
-    values are ranked and only the two neighbours of each quantile are read.
+    ``upto`` counts the group's rows up to this value, ``n_values`` all its rows with a value. Equal values are added up
+    before the shuffle, so a group of one value is one row; groups of many values are cut into blocks of values like
+    any ordered group. Counts are whole numbers: every plan gives the same.
     """
     keys = list(layout.keys)
-    rows = df.select(*keys, F.col(column).alias("_v")).where(F.col("_v").isNotNull())
+    each = F.array(*[F.struct(F.lit(i).alias("which"), F.col(c).cast("double").alias("v")) for i, c in enumerate(columns)])
+    long = df.select(*keys, F.explode(each).alias("_x")).select(*keys, "_x.*").where(F.col("v").isNotNull())
+    part = layout.within("which").by("v")
+    counted = long.groupBy(*part.keys, "v").agg(F.count(F.lit(1)).alias("_n"))
+    ranked = running(number_rows(counted, part), part.by(POS), {"upto": ("sum", F.col("_n"))})
+    ranked = with_group_values(ranked, part.by(POS), {"n_values": F.sum("_n")})
+    return ranked.select(*part.keys, "v", "upto", "n_values")
+
+
+def quantiles(df: DataFrame, layout: Layout, wanted: dict[str, dict[str, float]]) -> DataFrame:
+    """Exact, linearly interpolated quantiles of the non-NULL values of several columns in one pass: one row per group.
+
+    ``wanted`` maps a column to {output name: probability}. A group without any value may lack a row; a column without a
+    value in a group gives NULL. Small groups use the ``percentile`` aggregate, whose buffer holds a group's counted values;
+    larger ones the same counts as a table. Ranks and interpolation are the same, so both give the same bits.
+    """
+    keys = list(layout.keys)
+    names = [(c, n, float(p)) for c, probs in wanted.items() for n, p in probs.items()]
     if not layout.hot:
-        every = F.array(*[F.lit(p) for p in probs.values()])
-        found = rows.groupBy(*keys).agg(F.percentile("_v", every).alias("_q"))
-        return found.select(*keys, *[F.col("_q")[i].alias(n) for i, n in enumerate(probs)])
-    ranked = number_rows(rows, layout.by("_v"))
-    picks = []
-    for name, p in probs.items():
-        at = F.col(SIZE).cast("double") - 1
-        at = at * F.lit(p)
-        low, part = F.floor(at), at - F.floor(at)
-        weight = F.when(F.col(POS) == low, 1 - part).when((F.col(POS) == low + 1) & (part > 0), part)
-        picks.append(F.sum(F.when(weight.isNotNull(), F.col("_v") * weight)).alias(name))
-    return ranked.groupBy(*keys).agg(*picks)
+        every = [F.percentile(c, F.array(*[F.lit(float(p)) for p in probs.values()])).alias(f"_q{i}") for i, (c, probs) in enumerate(wanted.items())]
+        at = {n: F.col(f"_q{i}")[k] for i, probs in enumerate(wanted.values()) for k, n in enumerate(probs)}
+        return df.groupBy(*keys).agg(*every).select(*keys, *[at[n].alias(n) for _, n, _ in names])
+    which, picks, out = {c: i for i, c in enumerate(wanted)}, [], []
+    for c, name, p in names:
+        own, at = F.col("which") == which[c], (F.col("n_values") - 1).cast("double") * F.lit(p)
+        for side, rank in (("lo", F.floor(at)), ("hi", F.ceil(at))):
+            picks.append(F.min(F.when(own & (F.col("upto") > rank), F.col("v"))).alias(f"_{side}_{name}"))
+        picks.append(F.max(F.when(own, at)).alias(f"_at_{name}"))
+        lo, hi, at = (F.col(f"`_{part}_{name}`") for part in ("lo", "hi", "at"))
+        out.append(F.when(lo == hi, lo).otherwise((F.ceil(at) - at) * lo + (at - F.floor(at)) * hi).alias(name))
+    return counted_values(df, layout, list(wanted)).groupBy(*keys).agg(*picks).select(*keys, *out)
+
+
+def exact_quantiles(df: DataFrame, layout: Layout, column: str, probs: dict[str, float]) -> DataFrame:
+    """``quantiles`` of one column; groups without a value have no row."""
+    rows = df.select(*layout.keys, F.col(column).alias("_v")).where(F.col("_v").isNotNull())
+    return quantiles(rows, layout, {"_v": probs})
 
 
 def join_all(frames: Sequence[DataFrame], keys: Sequence[str]) -> DataFrame:

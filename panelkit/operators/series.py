@@ -17,9 +17,9 @@ from panelkit.operators.ordered import (
     SIZE,
     Layout,
     bounded_frames,
-    exact_quantiles,
     join_group_rows,
     number_rows,
+    quantiles,
     with_group_values,
 )
 
@@ -73,11 +73,8 @@ def _medians(df: DataFrame, layout: Layout, wanted: dict[str, str]) -> DataFrame
     """Exact medians: columns of the same aggregate for small groups, a separate frame for large ones."""
     if not layout.hot:
         return [S.no_nan(F.median(c)).alias(n) for n, c in wanted.items()]
-    frames = [exact_quantiles(df, layout, c, {n: 0.5}) for n, c in wanted.items()]
-    out = df.select(*layout.keys).distinct()
-    for f in frames:
-        out = out.join(f, list(layout.keys), "left")
-    return out
+    found = quantiles(df, layout, {c: {n: 0.5} for n, c in wanted.items()})
+    return df.select(*layout.keys).distinct().join(found, list(layout.keys), "left")
 
 
 def _aggregate(df: DataFrame, layout: Layout, aggs: Sequence[Column], medians: dict[str, str]) -> DataFrame:
@@ -170,9 +167,7 @@ def bin_statistics(df: DataFrame, layout: Layout, columns: Sequence[str]) -> Dat
     d = add_diffs(df, layout, columns).select(
         *keys, POS, SIZE, *[F.coalesce(f"_d_{c}", F.lit(0.0)).alias(f"_d_{c}") for c in columns]
     )
-    for c in columns:
-        for i, (probs, _) in enumerate(BIN_SETS):
-            d = _with_quantiles(d, layout, f"_d_{c}", probs, f"_e{i}_{c}")
+    d = _with_edges(d, layout, columns)
     rows = []
     for c in columns:
         v = F.col(f"_d_{c}")
@@ -197,13 +192,16 @@ def bin_statistics(df: DataFrame, layout: Layout, columns: Sequence[str]) -> Dat
     return wide.na.fill(0.0, subset=shares)
 
 
-def _with_quantiles(df: DataFrame, layout: Layout, column: str, probs: Sequence[float], name: str) -> DataFrame:
+def _with_edges(d: DataFrame, layout: Layout, columns: Sequence[str]) -> DataFrame:
+    """``_e{i}_{c}``: the quantiles of ``_d_{c}`` for each set of bins, all from one pass."""
+    sets = [(c, i, probs) for c in columns for i, (probs, _) in enumerate(BIN_SETS)]
     if not layout.hot:
-        q = F.percentile(column, F.array(*[F.lit(p) for p in probs]))
-        return with_group_values(df, layout, {name: q})
-    found = exact_quantiles(df, layout, column, {f"_q{i}": p for i, p in enumerate(probs)})
-    found = found.select(*layout.keys, F.array(*[f"_q{i}" for i in range(len(probs))]).alias(name))
-    return join_group_rows(df, found, layout)
+        every = {f"_e{i}_{c}": F.percentile(f"_d_{c}", F.array(*[F.lit(p) for p in probs])) for c, i, probs in sets}
+        return with_group_values(d, layout, every)
+    wanted = {f"_d_{c}": {f"_e{i}_{c}_{k}": p for i, (probs, _) in enumerate(BIN_SETS) for k, p in enumerate(probs)} for c in columns}
+    found = quantiles(d, layout, wanted)
+    edges = [F.array(*[f"`_e{i}_{c}_{k}`" for k in range(len(probs))]).alias(f"_e{i}_{c}") for c, i, probs in sets]
+    return join_group_rows(d, found.select(*layout.keys, *edges), layout)
 
 
 def row_counts(df: DataFrame, universe: DataFrame, key: str = KEY) -> DataFrame:

@@ -68,6 +68,20 @@ def test_quantiles(cut):
     same(O.exact_quantiles(plain, layout, "D", probs), O.exact_quantiles(hot, small, "D", probs), ["file_name"])
 
 
+def test_quantiles_have_the_same_bits(spark, cut):
+    """Counted values and the percentile aggregate agree without tolerance, a group of one value included."""
+    plain, layout, hot, small = cut
+    wanted = {c: {f"{c}_{i}": p for i, p in enumerate((0.0, 0.06, 0.15, 1 / 3, 0.5, 0.66, 0.9, 1.0))} for c in ("D", "Pder", "time")}
+    a, b = (rows(O.quantiles(d, l, wanted), ["file_name"]) for d, l in ((plain, layout), (hot, small)))
+    assert a == b and len(a) > 10
+    one = spark.createDataFrame([("a", 2.5, None)] * 60 + [("b", None, None), ("b", 1.0, None), ("b", 4.0, 3.0)], "file_name string, x double, y double")
+    for block in (1_000_000, 5):
+        found = rows(O.quantiles(one, O.measure(one, "file_name", "x", block), {"x": {"q": 0.25}, "y": {"m": 0.5}}), ["file_name"])
+        assert {k: (r["q"], r["m"]) for k, r in found.items()} == {("a",): (2.5, None), ("b",): (1.75, 3.0)}
+    counted = O.counted_values(one, O.measure(one, "file_name", "x", 5), ["x"])
+    assert counted.where("file_name = 'a'").count() == 1
+
+
 def test_summary_growth_bins(cut):
     plain, layout, hot, small = cut
     same(Q.summary(plain, layout, ["Pder", "D"]), Q.summary(hot, small, ["Pder", "D"]), ["file_name"])
