@@ -196,3 +196,13 @@ def score_multi_regression(df: DataFrame, target: str = "target", y: str = "y",
     """Sentinels cleaned on both sides, then the plain mean over targets; logs clip negatives at 0."""
     rows = df.select(target, clean_sentinel(F.col(y)).alias("y"), clean_sentinel(F.col(p)).alias("pred"))
     return multi_output_scores(rows, target)
+
+
+def score_submission(
+    checked: DataFrame, submission: DataFrame, targets: Sequence[str], flags: Sequence[str], target: str = "target"
+) -> tuple[DataFrame, DataFrame]:
+    """Scores of the checked rows, and the submission with the targets of false flags emptied.
+
+    The scores see all predictions: only the table that is handed on is masked.
+    """
+    return score_multi_regression(checked, target), mask_by_flags(submission, targets, flags)

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -110,14 +111,62 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite", sep: str = ",",
     return path
 
 
+def write_sorted(df: DataFrame, path: str, order: Sequence[str], descending: Sequence[str] = ()) -> str:
+    """Write ``df`` in the total order of its columns: one file per range, each sorted; no task sorts more than its range."""
+    by = [F.col(c).desc() if c in descending else F.col(c).asc() for c in order]
+    df.repartitionByRange(*by).sortWithinPartitions(*by).write.mode("overwrite").parquet(path)
+    return path
+
+
+def read_sorted(spark: SparkSession, path: str, name: str = "row") -> DataFrame:
+    """A table of ``write_sorted`` with each row's place in the whole order, from 0: the rows of earlier files are counted first."""
+    df = spark.read.parquet(path)
+    at = df.select("*", F.col("_metadata.file_name").alias("_file"), F.col("_metadata.row_index").alias("_at"))
+    files = at.groupBy("_file").agg(F.count(F.lit(1)).alias("_n"))
+    before = F.sum("_n").over(Window.orderBy("_file")) - F.col("_n")
+    return at.join(files.select("_file", before.alias("_before")), "_file").select(*df.columns, (F.col("_before") + F.col("_at")).alias(name))
+
+
+def write_bucketed(df: DataFrame, table: str, path: str, keys: Sequence[str], order: Sequence[str] = (), buckets: int = 64) -> DataFrame:
+    """Store ``df`` as an external table in ``buckets`` files by ``keys``, sorted within; windows and joins by ``keys`` on the result
+    need no shuffle."""
+    writer = df.repartition(buckets, *keys).write.mode("overwrite").option("path", path).bucketBy(buckets, *keys)
+    writer.sortBy(*keys, *order).saveAsTable(table)
+    return df.sparkSession.table(table)
+
+
+def _files(spark: SparkSession, path: str):
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()), folder
+
+
+def versions(spark: SparkSession, path: str) -> dict[int, bool]:
+    """The versions of a materialized table and whether each was finished (Spark's own mark of a committed job)."""
+    fs, folder = _files(spark, path)
+    if not fs.exists(folder):
+        return {}
+    names = [re.fullmatch(r"v(\d+)", f.getPath().getName()) for f in fs.listStatus(folder)]
+    made = {int(m[1]): m[0] for m in names if m}
+    return {n: fs.exists(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{name}/_SUCCESS")) for n, name in made.items()}
+
+
 def exists(spark: SparkSession, path: str) -> bool:
-    """Whether a finished table lies at ``path``."""
-    done = spark._jvm.org.apache.hadoop.fs.Path(path, "_SUCCESS")
-    return done.getFileSystem(spark._jsc.hadoopConfiguration()).exists(done)
+    """Whether a finished version of the table lies at ``path``."""
+    return any(versions(spark, path).values())
+
 
+def materialize(spark: SparkSession, path: str, build: Callable[[], DataFrame], remake: bool = False, keep: int = 2) -> DataFrame:
+    """The table at ``path``; built and written first when it is missing or ``remake`` is set.
 
-def materialize(spark: SparkSession, path: str, build: Callable[[], DataFrame], remake: bool = False) -> DataFrame:
-    """The table at ``path``; built and written first when it is missing or ``remake`` is set."""
-    if remake or not exists(spark, path):
-        write_parquet(build(), path)
-    return spark.read.parquet(path)
+    A rebuild writes a version beside the finished ones, and readers take the latest finished one: a rebuild that fails leaves the
+    old table as it is. The ``keep`` latest finished versions stay, for readers that opened one before.
+    """
+    made = versions(spark, path)
+    if remake or not any(made.values()):
+        new = max(made, default=0) + 1
+        write_parquet(build(), f"{path}/v{new}", mode="errorifexists")
+        made = versions(spark, path)
+        fs, _ = _files(spark, path)
+        for old in sorted(n for n, done in made.items() if done)[:-keep]:
+            fs.delete(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/v{old}"), True)
+    return spark.read.parquet(f"{path}/v{max(n for n, done in made.items() if done)}")

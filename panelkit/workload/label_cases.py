@@ -13,7 +13,7 @@ from panelkit.operators.labels import SHORT_FLAGS
 from panelkit.plans import series_pipeline as L
 from panelkit.workload import inputs as I
 from panelkit.workload.inputs import r, tidy, with_inputs
-from panelkit.workload.series_cases import STATS
+from panelkit.workload.series_cases import COLUMNS, PLACES, STATS, matrix_sql
 
 FLAGS = ", ".join(SHORT_FLAGS)
 # All features of the series that have rows.
@@ -80,10 +80,10 @@ def scoring_with_flags(spark, sf):
 
 
 def matrix_with_features(spark, sf):
+    """All general features of all columns beside a feature table; one of its columns is replaced."""
     s, layout = I.series(spark, sf)
-    table = s.groupBy("file_name").agg(F.count(F.lit(1)).alias("Pder_length"), F.max("T").alias("T_last"))
-    out = L.series_feature_matrix(table, s, layout, ["Pder", "D"], features=["length", "mean", "quantile__q_0.1"])
-    return tidy(out)
+    table = s.groupBy("file_name").agg(F.lit(-1).alias("Pder_length"), F.max("T").alias("T_last"))
+    return tidy(L.series_feature_matrix(table, s, layout), coarse=PLACES)
 
 
 def override_join(spark, sf):
@@ -148,6 +148,14 @@ def clean_names(spark, sf):
     return H.rename_columns(li, H.clean_name)
 
 
+def joined_digits(spark, sf):
+    """Names of years and months with and without underscores between digits."""
+    o = I.table(spark, sf, "orders").groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("n"))
+    made = o.select("o_orderstatus", F.col("n").alias("Sum.1996_01(x)"), (F.col("n") + 1).alias("Max_2_3_b"))
+    kept = H.rename_columns(made.drop("Max_2_3_b"), lambda c: H.clean_name(c, join_digits=False))
+    return H.rename_columns(made, H.clean_name).join(kept, "o_orderstatus")
+
+
 def renamed(spark, sf):
     return I.table(spark, sf, "nation").withColumnsRenamed({"n_name": "name_1", "n_nationkey": "key"}).select("key", "name_1")
 
@@ -327,12 +335,9 @@ SELECT file_name, coalesce(COLUMNS(* EXCLUDE (file_name)), 0) FROM ({HAND_FEATUR
     ),
     "matrix_with_features": (
         matrix_with_features,
-        with_inputs(
-            f"""SELECT file_name, {r('max(T)', 'T_last')}, count(Pder) AS "Pder_length", {r('avg(Pder)', 'Pder_mean')},
-{r('quantile_cont(Pder, 0.1)', 'Pder_quantile_q_0_1')}, count(D) AS "D_length", {r('avg(D)', 'D_mean')},
-{r('quantile_cont(D, 0.1)', 'D_quantile_q_0_1')} FROM series GROUP BY file_name""",
-            "series",
-        ),
+        "SELECT m.*, t.T_last FROM ("
+        + matrix_sql(COLUMNS, rename=H.clean_feature_name)
+        + f") m JOIN ({with_inputs('SELECT file_name, ' + r('coalesce(max(T), 0)', 'T_last') + ' FROM series GROUP BY 1', 'series')}) t USING (file_name)",
     ),
     "override_join": (
         override_join,
@@ -370,6 +375,10 @@ CASE WHEN o_orderstatus = 'F' THEN -1 ELSE dense_rank() OVER (PARTITION BY o_ord
         clean_names,
         "SELECT l_returnflag, sum(l_quantity) AS sum_l_quantity, max(l_linenumber) AS max_l_linenumber FROM lineitem GROUP BY 1",
     ),
+    "joined_digits": (
+        joined_digits,
+        """SELECT o_orderstatus, count(*) AS "sum_199601_x", count(*) + 1 AS max_23_b, count(*) AS "sum_1996_01_x" FROM orders GROUP BY 1""",
+    ),
     "renamed": (renamed, "SELECT n_nationkey AS key, n_name AS name_1 FROM nation"),
     "filled": (
         filled,

@@ -88,6 +88,16 @@ def mask_by_flags(spark, sf):
     return tidy(M.mask_by_flags(t, [f"{c}_d" for c in SHORT_FLAGS[1:]], SHORT_FLAGS).drop(*SHORT_FLAGS))
 
 
+def masked_submission(spark, sf):
+    """The masked table that goes with the scores of the same call."""
+    t = I.flag_table(spark, sf)
+    names = [f"{c}_d" for c in SHORT_FLAGS[1:]]
+    t = t.select("file_name", *SHORT_FLAGS, *[F.col("size").cast("double").alias(n) for n in names])
+    scores, masked = M.score_submission(I.multi_predictions(spark, sf), t, names, SHORT_FLAGS)
+    scores = scores.select("rmse", "mae", F.lit(0).alias("_k"))
+    return tidy(masked.drop(*SHORT_FLAGS).withColumn("_k", F.lit(0)).join(scores, "_k").drop("_k"))
+
+
 def join_runs(spark, sf):
     j = E.join_runs(I.run_predictions(spark, sf))
     return tidy(j.withColumn("predict", E.row_mean(["predict_1", "predict_2", "predict_3"])))
@@ -283,12 +293,23 @@ CAST(pred * 150 < 709.78 AND pred > 0 AS INTEGER) AS kept FROM scaled""",
             "flags",
         ),
     ),
+    "masked_submission": (
+        masked_submission,
+        with_inputs(
+            "SELECT file_name, "
+            + ", ".join(f"CASE WHEN {c} <> 0 THEN CAST(size AS DOUBLE) END AS {c}_d" for c in SHORT_FLAGS[1:])
+            + f", s.rmse, s.mae FROM flags, (SELECT {r('sqrt(avg(mse))', 'rmse')}, {r('avg(mae)', 'mae')} FROM per) s",
+            "flags",
+            "multi",
+            extra=MULTI,
+        ),
+    ),
     "join_runs": (
         join_runs,
         with_inputs(
-            f"""SELECT inn_id, week, a.predict AS predict_1, b.predict AS predict_2, c.predict AS predict_3,
-{r('(a.predict + b.predict + c.predict) / 3', 'predict')} FROM (SELECT * FROM runs WHERE run = 1) a
-JOIN (SELECT * FROM runs WHERE run = 2) b USING (inn_id, week) JOIN (SELECT * FROM runs WHERE run = 3) c USING (inn_id, week)""",
+            f"""SELECT inn_id, week, p1 AS predict_1, p2 AS predict_2, p3 AS predict_3, {r('(p1 + p2 + p3) / 3', 'predict')} FROM (
+SELECT inn_id, week, max(CASE WHEN run = 1 THEN predict END) AS p1, max(CASE WHEN run = 2 THEN predict END) AS p2,
+  max(CASE WHEN run = 3 THEN predict END) AS p3 FROM runs GROUP BY inn_id, week HAVING count(*) = 3)""",
             "runs",
         ),
     ),

@@ -15,7 +15,7 @@ from panelkit.workload.inputs import r, tidy, with_inputs
 K = "file_name"
 COLUMNS = ["time", "dP", "Pder", "T", "P", "D"]
 W = "(PARTITION BY file_name ORDER BY pos"
-PLACES = {"variance": 3}
+PLACES = {"variance": 3, "abs_energy": 1}
 
 
 # -------------------------------------------------------------------------------------------- queries
@@ -342,9 +342,11 @@ FROM (SELECT DISTINCT file_name FROM series) u LEFT JOIN bw USING (file_name)"""
     )
 
 
+def _stacked(kinds):
+    return {"lg": " UNION ALL ".join(f"SELECT file_name, pos, '{c}' AS kind, {c} AS v FROM series WHERE {c} IS NOT NULL" for c in kinds)} | STACKED
+
+
 STACKED = {
-    "lg": "SELECT file_name, pos, 'Pder' AS kind, Pder AS v FROM series WHERE Pder IS NOT NULL "
-    "UNION ALL SELECT file_name, pos, 'D', D FROM series WHERE D IS NOT NULL",
     "ln": """SELECT *, row_number() OVER w - 1 AS i, count(*) OVER g AS n, avg(v) OVER g AS mean, stddev_pop(v) OVER g AS sd, """
     + ", ".join(f"lag(v, {i}) OVER w AS b{i}, lead(v, {i}) OVER w AS a{i}" for i in range(1, 6))
     + " FROM lg WINDOW w AS (PARTITION BY file_name, kind ORDER BY pos), g AS (PARTITION BY file_name, kind)",
@@ -408,11 +410,11 @@ STRIKES = {
 }
 
 
-def _features_sql(names):
+def _features_sql(names, kinds=("Pder", "D")):
     exprs = _feature_exprs()
     plain = [exprs[n] for n in names if n in exprs]
     strikes = [n for n in names if n in STRIKES]
-    extra = STACKED | {"fx": "SELECT *, max(v) OVER (PARTITION BY file_name, kind) AS mx, min(v) OVER (PARTITION BY file_name, kind) AS mn FROM ln"}
+    extra = _stacked(kinds) | {"fx": "SELECT *, max(v) OVER (PARTITION BY file_name, kind) AS mx, min(v) OVER (PARTITION BY file_name, kind) AS mn FROM ln"}
     extra |= {f"s_{n}": STRIKES[n] for n in strikes}
     body = "SELECT file_name, kind, " + ",\n".join(plain or ["count(*) AS _n"]) + " FROM fx GROUP BY file_name, kind"
     if strikes:
@@ -524,11 +526,17 @@ WHERE rn = 1""",
 }
 
 
-def _matrix_sql():
+def matrix_sql(kinds=("Pder", "D"), rename=None, more=""):
+    """The features of several columns side by side; ``rename`` also fills what is missing with 0, as feature tables do."""
     names = A.feature_names()
-    inner = _features_sql(names)
-    cols = [f'any_value("{n}") FILTER (kind = \'{k}\') AS "{k}__{n}"' for k in ("Pder", "D") for n in names]
-    return "SELECT file_name, " + ",\n".join(cols) + f" FROM ({inner}) GROUP BY file_name"
+    inner = _features_sql(names, kinds)
+    ctes, inner = inner.split("\nSELECT", 1)
+    cols = []
+    for k in kinds:
+        for n in names:
+            value, name = f'any_value("{n}") FILTER (kind = \'{k}\')', f"{k}__{n}"
+            cols.append(f'{value} AS "{name}"' if rename is None else f'coalesce({value}, 0) AS "{rename(name)}"')
+    return f"{ctes}\nSELECT file_name, {more}" + ",\n".join(cols) + f" FROM (SELECT{inner}) GROUP BY file_name"
 
 
-CASES["feature_matrix"] = (feature_matrix, _matrix_sql())
+CASES["feature_matrix"] = (feature_matrix, matrix_sql())

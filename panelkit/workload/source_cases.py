@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from panelkit.operators import ensemble as E
@@ -80,6 +81,37 @@ def materialized(spark, sf):
     return tidy(R.materialize(spark, path, fail))
 
 
+def rebuilt(spark, sf):
+    """A rebuild that fails half-way leaves the table of the rebuild before it."""
+    path = _folder(spark, "rebuilt")
+    panel = I.panel(spark, sf).select("inn_id", "week", "target")
+    R.materialize(spark, path, lambda: panel.where("week < 100"))
+    R.materialize(spark, path, lambda: panel, remake=True)
+    broken = panel.withColumn("target", F.when(F.col("week") > 50, F.raise_error(F.lit("lost"))).otherwise(F.col("target")))
+    try:
+        R.materialize(spark, path, lambda: broken, remake=True)
+    except Exception as e:
+        if "lost" not in str(e):
+            raise
+    return tidy(R.materialize(spark, path, lambda: broken))
+
+
+def sorted_panel(spark, sf):
+    """Rows in the order of entity, then latest week, with their place in the whole order."""
+    p = I.panel(spark, sf).select("inn_id", F.col("week").cast("bigint").alias("week"), "target")
+    path = R.write_sorted(p, _folder(spark, "sorted"), ["inn_id", "week"], descending=["week"])
+    return tidy(R.read_sorted(spark, path))
+
+
+def bucketed_panel(spark, sf):
+    """A window over a table stored by its key: the previous row of each entity, without a shuffle."""
+    p = I.panel(spark, sf).select("inn_id", F.col("week").cast("bigint").alias("week"), "target")
+    name = f"bucketed_{uuid.uuid4().hex}"
+    stored = R.write_bucketed(p, name, _folder(spark, "bucketed"), ["inn_id"], ["week"], buckets=16)
+    w = Window.partitionBy("inn_id").orderBy("week")
+    return tidy(stored.select("inn_id", "week", "target", F.lag("target").over(w).alias("before")))
+
+
 def run_log(spark, sf):
     """Two appended sets of score rows, then those of the latest run."""
     path = _folder(spark, "log")
@@ -114,6 +146,15 @@ CASES = {
         ),
     ),
     "materialized": (materialized, with_inputs("SELECT inn_id, week, target FROM panel", "panel")),
+    "rebuilt": (rebuilt, with_inputs("SELECT inn_id, week, target FROM panel", "panel")),
+    "sorted_panel": (
+        sorted_panel,
+        with_inputs("SELECT inn_id, week, target, row_number() OVER (ORDER BY inn_id, week DESC) - 1 AS row FROM panel", "panel"),
+    ),
+    "bucketed_panel": (
+        bucketed_panel,
+        with_inputs(f"SELECT inn_id, week, target, {r('lag(target) OVER (PARTITION BY inn_id ORDER BY week)', 'before')} FROM panel", "panel"),
+    ),
     "run_log": (
         run_log,
         with_inputs(

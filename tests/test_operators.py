@@ -4,6 +4,7 @@ import math
 from datetime import date
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from panelkit.functions import scalars as S
@@ -262,6 +263,39 @@ def test_materialize(spark, tmp_path):
     assert D.materialize(spark, path, lambda: spark.range(5), remake=True).count() == 5
 
 
+def test_a_failed_rebuild_leaves_the_table(spark, tmp_path):
+    path = str(tmp_path / "t")
+    D.materialize(spark, path, lambda: spark.range(3))
+    opened = D.materialize(spark, path, lambda: spark.range(4), remake=True)
+    with pytest.raises(Exception, match="lost"):
+        D.materialize(spark, path, lambda: spark.range(9).select(F.raise_error(F.lit("lost")).cast("long").alias("id")), remake=True)
+    assert D.exists(spark, path) and D.materialize(spark, path, lambda: spark.range(9)).count() == 4
+    assert D.materialize(spark, path, lambda: spark.range(6), remake=True).count() == 6
+    assert opened.count() == 4  # a reader keeps the version before
+    assert not D.exists(spark, str(tmp_path / "none"))
+
+
+def test_sorted_and_bucketed_tables(spark, sf, tmp_path):
+    p = I.panel(spark, sf).select("inn_id", "week", "target")
+    got = D.read_sorted(spark, D.write_sorted(p, str(tmp_path / "s"), ["week", "inn_id"], descending=["week"])).toPandas()
+    want = p.toPandas().sort_values(["week", "inn_id"], ascending=[False, True])
+    got = got.sort_values("row")
+    assert got.row.tolist() == list(range(len(want))) and got[["week", "inn_id"]].values.tolist() == want[["week", "inn_id"]].values.tolist()
+    stored = D.write_bucketed(p, "bucketed_test", str(tmp_path / "b"), ["inn_id"], ["week"], buckets=8)
+    framed = stored.withColumn("n", F.lag("target").over(Window.partitionBy("inn_id").orderBy("week")))
+    assert "Exchange" not in framed._jdf.queryExecution().executedPlan().toString()
+    assert framed.count() == len(want)
+    spark.sql("DROP TABLE bucketed_test")
+
+
+def test_only_the_submission_is_masked(spark):
+    checked = spark.createDataFrame([("a", 1.0, 2.0), ("a", 3.0, 3.0), ("b", 5.0, 4.0), ("b", 1.0, 1.0)], "target string, y double, pred double")
+    submission = spark.createDataFrame([(1, 1, 0, 1, 7.0, 8.0)], "id int, f0 int, f1 int, f2 int, a double, b double")
+    scores, masked = M.score_submission(checked, submission, ["a", "b"], ["f0", "f1", "f2"])
+    assert scores.first().mae == pytest.approx(0.5)
+    assert masked.select("a", "b").first() == (None, 8.0)
+
+
 def test_panel_store_and_sample(spark, sf, tmp_path):
     data = L.load_panel(I.days(spark), I.holidays(spark), I.panel(spark, sf), I.profiles(spark, sf), I.template(spark, sf),
                         incoming=True, sample=3, sample_dir=str(tmp_path / "s"))
