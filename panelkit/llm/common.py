@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from pathlib import Path
 
@@ -94,6 +94,20 @@ class Scratch:
         p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def set_aside(docs: DataFrame, text_col: str) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+    """``docs`` as its text and one struct of all other columns, and the way back.
+
+    What an operator adds in between cannot clash with a column of the caller.
+    """
+    others = [F.col(f"`{c}`").alias(f"c{k}") for k, c in enumerate(docs.columns)]
+    kept = F.struct(*[c for c, name in zip(others, docs.columns, strict=True) if name != text_col] or [F.lit(0)])
+
+    def back(df: DataFrame) -> DataFrame:
+        return df.select(*[F.col(f"`{c}`") if c == text_col else F.col(f"__kept.c{k}").alias(c) for k, c in enumerate(docs.columns)])
+
+    return docs.select(F.col(f"`{text_col}`"), kept.alias("__kept")), back
+
+
 def row_keys(id_col: str, text_col: str) -> list[Column]:
     """``id`` as given, and the pair (``doc``, ``rid``) that names a row by content, never null, the same in every rerun.
 

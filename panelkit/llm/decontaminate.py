@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-from panelkit.llm.common import RangeHash, Scratch, mix, shards, ship, text_buffer
+from panelkit.llm.common import RangeHash, Scratch, mix, set_aside, shards, ship, text_buffer
 
 WINDOW = 13
 #: Bytes of benchmark text sent to the tasks at once.
@@ -271,9 +271,9 @@ def find_contamination(
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, text_col: str = "text", **options) -> DataFrame:
-    """The rows of ``docs`` that are not contaminated, with the columns of ``docs``."""
-    found = find_contamination(docs, items, text_col, **options)
-    return found.filter("not contaminated").select(*docs.columns)
+    """The rows of ``docs`` that are not contaminated, with the columns of ``docs`` as they were, whatever their names."""
+    packed, back = set_aside(docs, text_col)
+    return back(find_contamination(packed, items, text_col, **options).filter("not contaminated"))
 
 
 def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:

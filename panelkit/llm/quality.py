@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from panelkit.llm.common import RangeHash, mix, ship, text_buffer
+from panelkit.llm.common import RangeHash, mix, set_aside, ship, text_buffer
 from panelkit.llm.decontaminate import word_hashes
 
 #: Texts at most on which the scorer is trained, drawn by a hash of their content.
@@ -351,5 +351,11 @@ def judge(docs: DataFrame, text_col: str = "text", *, model: QualityModel | None
     return own.mapInArrow(_score(shared, text_col, threshold), T.StructType([*own.schema, *_JUDGED]))
 
 
+def drop_bad(docs: DataFrame, text_col: str = "text", **options) -> DataFrame:
+    """The rows that ``judge`` keeps, with the columns of ``docs`` as they were, whatever their names."""
+    packed, back = set_aside(docs, text_col)
+    return back(judge(packed, text_col, **options).filter("keep"))
+
+
 def op7_quality_em(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")).drop("text")

@@ -126,10 +126,12 @@ def judge_urls(
     # The lengths of rule paths are as many as a url may be long at most, however many rules there are.
     sizes = sorted(r[0] for r in table.select(F.length("path")).distinct().collect())
     beginnings = [F.when(F.length("__path") >= n, F.substring("__path", 1, n)) for n in sizes]
-    judged = pages.select(*own, url_host(F.col(url_col)).alias("__host"), url_path(F.col(url_col)).alias("__path"))
-    judged = judged.withColumn("__starts", F.array_compact(F.array(*beginnings)) if sizes else F.array().cast("array<string>"))
+    # The caller's columns travel in one struct, so that none can clash with those added here.
     plain = [F.col(f"`{f.name}`") for f in pages.schema if f.name in own and isinstance(f.dataType, T.AtomicType)]
-    judged = judged.withColumn("__salt", F.pmod(F.xxhash64("__path", *plain), F.lit(salts)).cast("int"))
+    kept = F.struct(*[F.col(f"`{c}`").alias(f"c{k}") for k, c in enumerate(own)] or [F.lit(0)])
+    url, salt = F.col(f"`{url_col}`"), F.pmod(F.xxhash64(url_path(F.col(f"`{url_col}`")), *plain), F.lit(salts)).cast("int")
+    judged = pages.select(kept.alias("__kept"), url_host(url).alias("__host"), url_path(url).alias("__path"), salt.alias("__salt"))
+    judged = judged.withColumn("__starts", F.array_compact(F.array(*beginnings)) if sizes else F.array().cast("array<string>"))
     # One bit for each salt among a group's rows.
     marked = judged.select(F.col("__host").alias("host"), F.col("__starts").alias("starts"), F.expr("shiftleft(1, __salt)").alias("mask"))
     asked = marked.groupBy("host", "starts").agg(F.bit_or("mask").alias("mask"))
@@ -142,7 +144,8 @@ def judge_urls(
     answers = answers.select(F.col("host").alias("__host"), F.col("starts").alias("__starts"), present, "best.rule", "best.verdict")
     out = judged.join(answers, ["__host", "__starts", "__salt"], "left")
     verdict = F.coalesce("verdict", F.lit(default)).alias("verdict")
-    return out.select(*own, F.col("__host").alias("host"), F.col("__path").alias("path"), "rule", verdict)
+    back = [F.col(f"__kept.c{k}").alias(c) for k, c in enumerate(own)]
+    return out.select(*back, F.col("__host").alias("host"), F.col("__path").alias("path"), "rule", verdict)
 
 
 #: The rules that the registered query applies: host, path, verdict.

@@ -285,6 +285,32 @@ def test_url_answers_reach_a_crowded_host(spark):
     assert found == Counter((i, "com/", "allow") if "a.com" in u else (i, "net/fr/", "block") for i, u, _ in rows)
 
 
+def test_url_tables_may_be_empty_or_clash(spark):
+    rules = spark.createDataFrame(url_rules.RULES, "host string, path string, verdict string")
+    rows = [(1, "http://a.net/es/x", "h", 5, "s", 2), (1, "http://a.net/es/x", "h", 5, "s", 2), (2, None, None, None, None, None)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, __host string, __salt int, __starts string, c0 int")
+    got = sorted(map(tuple, url_rules.judge_urls(pages, rules).collect()))
+    assert got == sorted([(*r, "a.net", "/es/x", "net/es/", "block") for r in rows[:2]] + [(*rows[2], "", "", None, "allow")])
+    assert url_rules.judge_urls(pages.filter("false"), rules).count() == 0
+    free = url_rules.judge_urls(pages, rules.filter("false")).collect()
+    assert len(free) == 3 and {(r.rule, r.verdict) for r in free} == {(None, "allow")}
+
+
+def test_filters_return_the_callers_columns(spark):
+    """A filter's verdict is its own, whatever columns the caller has."""
+    good = "The council met on Tuesday to discuss the new bridge, and most members agreed that it was needed for the town. " * 3
+    rows = [(k, good + str(k), 777, 0.25, False, True, "x") for k in range(8)] + [(8, None, None, None, None, None, None), (9, "a b c d e f g h i j k l m", 1, 2.0, True, False, "y")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, n_words int, score double, keep boolean, contaminated boolean, hits string")
+    items = spark.createDataFrame([(1, "a b c d e f g h i j k l m")], "item_id long, text string")
+    clean = decontaminate.decontaminate(docs, items)
+    assert clean.columns == docs.columns and sorted(map(tuple, clean.collect())) == sorted(rows[:9])
+    model = quality.train(docs, sample_rows=50)
+    want = {r.doc_id for r in quality.judge(docs.select("doc_id", "text"), model=model).collect() if r.keep}
+    kept = quality.drop_bad(docs, model=model)
+    assert kept.columns == docs.columns and sorted(map(tuple, kept.collect())) == sorted(r for r in rows if r[0] in want)
+    assert decontaminate.decontaminate(docs.filter("false"), items).count() == 0 == quality.drop_bad(docs.filter("false"), model=model).count()
+
+
 def test_top_k_is_exact(spark):
     rng = np.random.default_rng(4)
     rows = [(int(i), [float(x) for x in rng.normal(size=8) * (1 if i % 3 else 0.1)]) for i in range(400)]
