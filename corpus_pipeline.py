@@ -1,6 +1,9 @@
 """From raw documents to piece ids: quality, near duplicates, contamination, personal data, encoding.
 
-Each stage takes (spark, docs, sf_dir) and works on all rows of ``docs``; all but the last return the columns of documents.
+Each stage takes (spark, docs, sf_dir) and works on all rows of ``docs``; all but the last return the columns of documents, as the
+caller has them, further ones with any name included. Null texts count as empty: they are judged by their empty statistics, are
+copies of each other only with equal ids, hold no benchmark words, stay null when masked, and have no pieces. Repeated rows are
+judged alike; one of them stays behind near_duplicates. An empty table gives an empty result.
 ``run`` writes every stage's result as Parquet in ``spark.checkpoint.dir`` and reads it back for the next one.
 """
 
@@ -15,7 +18,7 @@ from panelkit.llm.common import Scratch
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier, trained on these documents, does not reject."""
-    return quality.judge(docs).filter("keep").select(*docs.columns)
+    return quality.drop_bad(docs)
 
 
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -29,8 +32,10 @@ def keep_clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mask_personal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, personal data replaced by its kind; n_chars counts the new text."""
+    """All documents, personal data replaced by its kind; n_chars, where there is one, counts the new text."""
     masked = pii.mask_pii(docs)
+    if "n_chars" not in docs.columns:
+        return masked
     n_chars = F.length("text").cast(docs.schema["n_chars"].dataType)
     return masked.withColumn("n_chars", n_chars).select(*docs.columns)
 
