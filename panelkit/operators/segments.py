@@ -26,7 +26,7 @@ from panelkit.operators.ordered import (
 KEY = "file_name"
 DOUBLE_MAX = 1.7976931348623157e308
 
-# Fixed values of the unit-slope search.
+# Fixed values of the unit-slope search. Starts, shifts and candidates are only defaults of its arguments.
 PEAK_POINTS = 3
 MAX_LOG_TIME = 1.2
 UNIT_STARTS = 3
@@ -34,10 +34,12 @@ UNIT_SHIFTS = 25
 UNIT_BAND = (0.8, 1.2)
 UNIT_MIN_LENGTH = 0.13
 UNIT_CANDIDATES = 5
-# Fixed values of the slope search.
+# Fixed values of the slope search. Shifts, last start, thinning and candidates are only defaults of its arguments.
 SLOPES = {"ra_value": 0.0, "li_value": 0.5, "bl_value": 0.25, "sp_value": -0.5}
-SLOPE_SHIFTS = 199
+SLOPE_SHIFTS = (*range(1, 101), *range(102, 200, 2))
 SLOPE_LAST_START = 500
+# (beyond, step): starts beyond the first number are examined where they are multiples of the second.
+SLOPE_THINNING = ((200, 2), (400, 3), (600, 4), (1000, 5))
 SLOPE_TOLERANCE = 0.2
 SLOPE_CLOSE = 0.05
 SLOPE_MIN_LENGTH = 0.5
@@ -56,6 +58,8 @@ FLAT_MIN_TIME = 0.3
 # Fixed values of the tail search.
 TAIL_POINTS = 7
 TAIL_LAST = 30
+# Parts of a large series that are ranked apart.
+TOP_SALTS = 64
 
 
 def _xy(df: DataFrame, key: str, x: str, y: str, *more: str) -> DataFrame:
@@ -146,10 +150,19 @@ def _line_errors(points: DataFrame, found: DataFrame, key: str, slope: float) ->
 
 
 def unit_slope_line(
-    df: DataFrame, layout: Layout, x: str = "time", y: str = "Pder", anchor: str = "first"
+    df: DataFrame,
+    layout: Layout,
+    x: str = "time",
+    y: str = "Pder",
+    anchor: str = "first",
+    *,
+    starts: int = UNIT_STARTS,
+    shifts: int = UNIT_SHIFTS,
+    candidates: int = UNIT_CANDIDATES,
 ) -> DataFrame:
     """Best segment of slope 1 near the start of each series: intercept ``wb_value`` and ``wb_end``.
 
+    The first ``starts`` points are tried with up to ``shifts`` rows each; the ``candidates`` nearest slopes are compared.
     ``anchor`` = "first" places a candidate at (start, start + shift) whatever point pair gave its slope, as earlier
     feature tables do; "pair" places it at that pair. A series without a segment keeps its row, with NULLs.
     """
@@ -168,20 +181,19 @@ def unit_slope_line(
         head = number_rows(head, layout.by("row"))
     else:
         head = head.withColumn("row", F.col(POS))
-    pairs = near_pairs(head, layout, range(1, UNIT_SHIFTS + 1), *UNIT_BAND, slope=1.0)
+    pairs = near_pairs(head, layout, range(1, shifts + 1), *UNIT_BAND, slope=1.0)
     best = F.struct("err", "row", "k", "b", "d")
     per_shift = pairs.groupBy(key, "s").agg(
-        F.first("p").alias("p"), *[F.min(F.when(F.col("row") >= f, best)).alias(f"f{f}") for f in range(UNIT_STARTS)]
+        F.first("p").alias("p"), *[F.min(F.when(F.col("row") >= f, best)).alias(f"f{f}") for f in range(starts)]
     )
-    starts = F.array(*[F.struct(F.lit(f).cast("long").alias("f"), F.col(f"f{f}").alias("c")) for f in range(UNIT_STARTS)])
-    cand = per_shift.select(key, "s", "p", F.explode(starts).alias("_c")).select(key, "s", "p", "_c.f", "_c.c.*")
+    tried = F.array(*[F.struct(F.lit(f).cast("long").alias("f"), F.col(f"f{f}").alias("c")) for f in range(starts)])
+    cand = per_shift.select(key, "s", "p", F.explode(tried).alias("_c")).select(key, "s", "p", "_c.f", "_c.c.*")
     cand = cand.where((F.col("d") >= UNIT_MIN_LENGTH) & F.col("b").isNotNull() & F.col("k").isNotNull())
     if anchor == "pair":
         cand = cand.withColumn("f", F.col("row"))
     cand = cand.withColumn("e", F.col("f") + F.col("s"))
-    rank = F.row_number().over(Window.partitionBy(key).orderBy("err", "f", "e", "k", "b", "d"))
-    top = cand.withColumn("_r", rank).where(F.col("_r") <= UNIT_CANDIDATES)
-    lines = _line_errors(base if anchor == "pair" else base.where(F.col(POS) < UNIT_STARTS + UNIT_SHIFTS), top, key, 1.0)
+    top = _least(cand, layout, ["err", "f", "e", "k", "b", "d"], candidates)
+    lines = _line_errors(base if anchor == "pair" else base.where(F.col(POS) < starts + shifts), top, key, 1.0)
     mean_error = (F.col("mae1") + F.col("mae2")) / 2
     mean_b = (F.col("b1") + F.col("b2")) / 2
     chosen = lines.groupBy(key).agg(
@@ -195,11 +207,16 @@ def unit_slope_line(
     return df.select(key).distinct().join(out, key, "left")
 
 
-def tail_boundary(df: DataFrame, layout: Layout, x: str = "time", y: str = "Pder", points: int = TAIL_POINTS) -> DataFrame:
-    """First point from the end that is not below the ``points`` values before it: ``pc_value`` and ``pc_pos``."""
+def tail_boundary(
+    df: DataFrame, layout: Layout, x: str = "time", y: str = "Pder", points: int = TAIL_POINTS, last: int = TAIL_LAST
+) -> DataFrame:
+    """First point from the end that is not below the ``points`` values before it: ``pc_value`` and ``pc_pos``.
+
+    Only the ``last`` points of a series are looked at.
+    """
     key = layout.keys[0]
     base = _xy(df, key, x, y).withColumn("_r", F.col(SIZE) - 1 - F.col(POS))
-    tail = base.where(F.col("_r") < TAIL_LAST + points)
+    tail = base.where(F.col("_r") < last + points)
     w = Window.partitionBy(key).orderBy("_r")
     ahead, behind = w.rowsBetween(1, points), w.rowsBetween(-points, -1)
     hit = (
@@ -208,7 +225,7 @@ def tail_boundary(df: DataFrame, layout: Layout, x: str = "time", y: str = "Pder
         & (F.col("y") >= F.max("y").over(ahead))
     )
     rows = tail.select("*", hit.alias("_hit")).where(
-        F.col("_hit") & (F.col("_r") > points) & (F.col("_r") < F.least(F.lit(TAIL_LAST), F.col(SIZE) - points))
+        F.col("_hit") & (F.col("_r") > points) & (F.col("_r") < F.least(F.lit(last), F.col(SIZE) - points))
     )
     found = rows.groupBy(key).agg(F.min_by(F.struct("x", POS), "_r").alias("_b"))
     found = found.select(key, F.col("_b.x").alias("pc_value"), F.col(f"_b.{POS}").alias("pc_pos"))
@@ -303,14 +320,22 @@ def flat_part(base: DataFrame, layout: Layout) -> DataFrame:
     return longest_segment(segments, base, layout.keys[0]).where(F.col("d") >= FLAT_MIN_TIME)
 
 
-def _thin_starts(f: Column) -> Column:
-    """Starts examined: all to 200, then ever fewer."""
-    return ~(
-        ((f > 200) & (f % 2 != 0))
-        | ((f > 400) & (f % 3 != 0))
-        | ((f > 600) & (f % 4 != 0))
-        | ((f > 1000) & (f % 5 != 0))
-    )
+def _examined(f: Column, thinning: Sequence[tuple[int, int]]) -> Column:
+    """Starts that no rule of ``thinning`` leaves out."""
+    ok = F.lit(True)
+    for beyond, step in thinning:
+        ok = ok & ((f <= beyond) | (f % step == 0))
+    return ok
+
+
+def _least(cand: DataFrame, layout: Layout, order: Sequence[str], k: int) -> DataFrame:
+    """The first ``k`` rows of each series; a large one is first reduced to ``k`` per salt, so no task ranks all of its rows."""
+    for keys in ([layout.keys[0], "_salt"], [layout.keys[0]]) if layout.hot else ([layout.keys[0]],):
+        if "_salt" in keys:
+            cand = cand.withColumn("_salt", F.pmod(F.xxhash64(*order), F.lit(TOP_SALTS)))
+        rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+        cand = cand.withColumn("_r", rank).where(F.col("_r") <= k).drop("_r", *set(keys[1:]))
+    return cand
 
 
 def _from_start(df: DataFrame, key: str, x: str, y: str, start) -> DataFrame:
@@ -345,9 +370,17 @@ def slope_line(
     y: str = "Pder",
     start: int | str = 1,
     name: str = "value",
+    *,
+    shifts: Sequence[int] = SLOPE_SHIFTS,
+    last_start: int | None = SLOPE_LAST_START,
+    thinning: Sequence[tuple[int, int]] = SLOPE_THINNING,
+    candidates: int = SLOPE_CANDIDATES,
 ) -> DataFrame:
     """Best segment of the given slope after ``start``: intercept ``{name}`` and ``{name}_end`` (counted from start).
 
+    ``shifts``, ``last_start`` and ``thinning`` choose the grid of segments, ``candidates`` how many are compared by their errors.
+    ``last_start=None, thinning=()`` examines every start of a series of any length.
+
     Every start f and shift s takes the nearest slope among all point pairs from f on. The pairs behind the last
     start are reduced to one per shift before any sort, so the sorted part is bounded by the grid of starts.
     """
@@ -355,14 +388,12 @@ def slope_line(
     layout = layout.by(POS)
     base = slope_base(df, layout, x, y, start)
     flat = abs(slope) <= 0.01
-    shifts = [s for s in range(1, SLOPE_SHIFTS + 1) if s <= 100 or s % 2 == 0]
     if flat:
         limits = flat_part(base, layout).select(key, F.col("start").alias("lo"), F.col("end").alias("hi"))
         limited = base.join(limits, key)
     else:
-        limited = base.withColumns(
-            {"lo": F.lit(2).cast("long"), "hi": F.least(F.col(SIZE), F.lit(SLOPE_LAST_START).cast("long"))}
-        )
+        last = F.lit(last_start).cast("long")  # no last start: least() skips NULL
+        limited = base.withColumns({"lo": F.lit(2).cast("long"), "hi": F.least(F.col(SIZE), last)})
     limited = limited.join(calm_series(base, layout), key, "left_semi")
     pairs = near_pairs(limited, layout, shifts, slope - SLOPE_TOLERANCE, slope + SLOPE_TOLERANCE, slope)
     pairs = pairs.where(F.col(POS) >= F.col("lo"))
@@ -370,24 +401,23 @@ def slope_line(
     grid = F.least(F.col(POS), F.col("hi"))
     reduced = pairs.groupBy(key, "s", grid.alias("_g"), "lo", "hi").agg(F.min(best).alias("c"))
     reduced = reduced.withColumnRenamed("_g", POS)
-    per_shift = (layout if flat else Layout(layout.keys, (POS,), 0)).within("s")
+    per_shift = (layout if flat or last_start is None else Layout(layout.keys, (POS,), 0)).within("s")
     nearest = running(reduced, per_shift, {"_c": ("min", F.col("c"))}, reverse=True)
     back = running(nearest.drop("c"), per_shift, {"_prev": ("max", F.col(POS))}, exclusive=True)
     back = back.where(F.col("_c.d") >= SLOPE_MIN_LENGTH)
     first = F.greatest(F.col("_prev") + 1, F.col("lo"))
     last = F.least(F.col(POS), F.col("hi") - 1)
-    cand = back.where(F.coalesce(first, F.col("lo")) <= last).select(
-        key, "s", F.explode(F.sequence(F.coalesce(first, F.col("lo")), last)).alias("f"), "_c.err", "_c.k", "_c.b", "_c.d"
-    )
-    cand = cand.where(_thin_starts(F.col("f")) & F.col("b").isNotNull())
-    cand = _smooth_only(cand, base, layout)
+    back = back.select(key, "s", F.coalesce(first, F.col("lo")).alias("_f1"), last.alias("_f2"), "_c.err", "_c.k", "_c.b", "_c.d")
+    back = back.where((F.col("_f1") <= F.col("_f2")) & F.col("b").isNotNull() & F.col("k").isNotNull())
+    cand = back.select(key, "s", F.explode(F.sequence("_f1", "_f2")).alias("f"), "err", "k", "b", "d")
+    cand = cand.where(_examined(F.col("f"), thinning))
+    cand = _smooth_only(cand, base, layout, max(shifts))
     scan = F.struct("f", "s")
     cand = with_group_values(
         cand, layout, {"_stop": F.min(F.when(F.col("err") <= SLOPE_CLOSE, scan))}
     ).where(F.col("_stop").isNull() | (scan <= F.col("_stop")))
     cand = cand.withColumn("e", F.col("f") + F.col("s"))
-    rank = F.row_number().over(Window.partitionBy(key).orderBy("err", "f", "e", "k", "b", "d"))
-    top = cand.withColumn("_r", rank).where(F.col("_r") <= SLOPE_CANDIDATES)
+    top = _least(cand, layout, ["err", "f", "e", "k", "b", "d"], candidates)
     lines = _line_errors(base, top, key, slope)
     each = lines.select(
         key,
@@ -404,15 +434,15 @@ def slope_line(
     return df.select(key).distinct().join(out, key, "left")
 
 
-def _smooth_only(cand: DataFrame, base: DataFrame, layout: Layout) -> DataFrame:
+def _smooth_only(cand: DataFrame, base: DataFrame, layout: Layout, reach: int) -> DataFrame:
     """Keep (f, s) when no difference in f ... f + s exceeds its mean by 3.5 deviations."""
     key = layout.keys[0]
     framed = bounded_frames(
         base.select(key, POS, SIZE, "diff"),
         layout,
-        lambda w: [F.collect_list("diff").over(w.rowsBetween(0, SLOPE_SHIFTS)).alias("_ds")],
+        lambda w: [F.collect_list("diff").over(w.rowsBetween(0, reach)).alias("_ds")],
         0,
-        SLOPE_SHIFTS,
+        reach,
     )
     starts = cand.groupBy(key, "f").agg(F.max("s").alias("_far"))
     ahead = framed.select(key, F.col(POS).alias("f"), "_ds").join(starts, [key, "f"])

@@ -83,23 +83,23 @@ def flat_limits(pts, diff):
     return (-a, b) if d >= 0.3 else None
 
 
-def slope_search(pts, slope):
+def slope_search(pts, slope, last=500, thinning=((200, 2), (400, 3), (600, 4)), shifts=range(1, 200), kept=7):
     pts = pts[1:]
     n = len(pts)
     diff = [0.0] + [b[1] - a[1] for a, b in zip(pts, pts[1:])]
     head = diff[3:101]
     if len(head) > 1 and sum(abs(d) > sum(head) / len(head) + 3 * stdev(head) for d in head) > 3:
         return None, None
-    limits = (2, min(n, 500))
+    limits = (2, min(n, last))
     if abs(slope) <= 0.01:
         limits = flat_limits(pts, diff)
         if limits is None:
             return None, None
     found, stop = [], False
     for f in range(*limits):
-        if (f > 200 and f % 2) or (f > 400 and f % 3) or (f > 600 and f % 4):
+        if any(f > beyond and f % step for beyond, step in thinning):
             continue
-        for s in range(1, 200):
+        for s in shifts:
             if s > 100 and s % 2:
                 continue
             c = nearest(pts, range(f, n), s, slope, 0.2)
@@ -111,7 +111,7 @@ def slope_search(pts, slope):
                     break
         if stop:
             break
-    found = sorted(found)[:7]
+    found = sorted(found)[:kept]
     scored = [
         (line_error(pts, f, e, slope, b), f, e, b)
         for _, f, e, *_ in found
@@ -183,6 +183,29 @@ def test_slope(series, slope, least):
         assert close(b, got[k][0]) and e == got[k][1], (k, want[k], got[k])
 
 
+@pytest.mark.parametrize("block", [1_000_000, 50])
+def test_slope_limits_are_arguments(spark, block):
+    """Without a last start and thinning every start of a long series counts, in one window or in blocks."""
+    rnd = random.Random(3)
+    made = {}
+    for name, bend in (("late", 700), ("early", 30)):
+        y, pts = 0.0, []
+        for j in range(760):
+            y += (0.5 if bend <= j < bend + 45 else 3.0) * 0.02 + rnd.uniform(-0.001, 0.001)
+            pts.append((0.02 * j, y))
+        made[name] = pts
+    rows = [(k, i, x, y) for k, pts in made.items() for i, (x, y) in enumerate(pts)]
+    df = spark.createDataFrame(rows, "file_name string, i int, time double, Pder double")
+    layout = measure(df, "file_name", "i", block)
+    numbered = number_rows(df, layout)
+    limits = {"last_start": None, "thinning": (), "shifts": range(1, 60), "candidates": 12}
+    got = {r.file_name: (r.v, r.v_end) for r in G.slope_line(numbered, layout.by("pos"), 0.5, name="v", **limits).collect()}
+    want = {k: slope_search(p, 0.5, last=10**9, thinning=(), shifts=range(1, 60), kept=12) for k, p in made.items()}
+    assert all(v[0] is not None for v in want.values())
+    for k, (b, e) in want.items():
+        assert close(b, got[k][0]) and e == got[k][1], (k, want[k], got[k])
+
+
 def test_exact_unit_line(series):
     _, df, layout = series
     row = G.unit_slope_line(df.where("file_name = 'rising'"), layout).first()
