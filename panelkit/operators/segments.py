@@ -1,8 +1,8 @@
 """Straight segments and peaks of series in log-log scale.
 
 Input: a frame numbered by ``ordered.number_rows`` (``pos``, ``n_rows``), key column, ``time`` and ``Pder`` in logs.
-Point pairs at most 25 or 199 rows apart are formed from a bounded frame, so no join inside a series is needed;
-only pairs with a slope near the wanted one leave that step.
+Point pairs at most 25 or 199 rows apart are formed block by block of as many rows; only pairs with a slope near the
+wanted one leave that join.
 """
 
 from __future__ import annotations
@@ -22,6 +22,7 @@ from panelkit.operators.ordered import (
     running,
     with_group_values,
 )
+from panelkit.session import durable
 
 KEY = "file_name"
 DOUBLE_MAX = 1.7976931348623157e308
@@ -94,33 +95,22 @@ def first_peak(df: DataFrame, layout: Layout, y: str = "y", points: int = PEAK_P
 def near_pairs(df: DataFrame, layout: Layout, shifts: Sequence[int], low: float, high: float, slope: float) -> DataFrame:
     """Pairs of points ``s`` rows apart (s in ``shifts``) whose slope lies in [low, high].
 
-    Gives ``s, err = |slope - k|, k, b`` (intercept at the first point) and ``d`` (length in x).
+    Gives ``s, err = |slope - k|, k, b`` (intercept at the first point) and ``d`` (length in x). ``pos`` must number the rows of
+    a series without gaps. Points meet by blocks of as many rows as the longest shift, a block with itself and the next
+    one: no task holds more than that of a series, whatever its size.
     """
-    reach = max(shifts)
-    wanted = set(shifts)
-    thin = None if len(wanted) == reach else sorted(set(range(1, reach + 1)) - wanted)
-
-    def make(w):
-        return [F.collect_list(F.struct("x", "y")).over(w.rowsBetween(1, reach)).alias("_next")]
-
-    framed = bounded_frames(df, layout, make, 0, reach)
-
-    def pair(p, i):
-        k = F.try_divide(p["y"] - F.col("y"), p["x"] - F.col("x"))
-        return F.struct(
-            (i + 1).alias("s"),
-            F.abs(k - slope).alias("err"),
-            k.alias("k"),
-            (F.col("y") - k * F.col("x")).alias("b"),
-            (p["x"] - F.col("x")).alias("d"),
-        )
-
-    def wanted_pair(p):
-        ok = (p["k"] >= low) & (p["k"] <= high)
-        return ok if thin is None else ok & ~p["s"].isin(*thin)
-
-    pairs = F.filter(F.transform("_next", pair), wanted_pair)
-    return framed.withColumn("_pair", F.explode(pairs)).drop("_next").select(*df.columns, "_pair.*")
+    key, reach = layout.keys[0], max(shifts)
+    thin = sorted(set(range(1, reach + 1)) - set(shifts))
+    own = F.floor(F.col(POS) / reach)
+    point = [F.col(POS).alias("_pos"), F.col("x").alias("_x"), F.col("y").alias("_y")]
+    ahead = df.select(key, *point, F.explode(F.array(own - 1, own)).alias("_block"))
+    s = (F.col("_pos") - F.col(POS)).cast("int")
+    d = F.col("_x") - F.col("x")
+    k = F.try_divide(F.col("_y") - F.col("y"), d)
+    near = df.withColumn("_block", own).join(ahead, [key, "_block"]).where(s.between(1, reach) & ~s.isin(*thin) if thin else s.between(1, reach))
+    near = near.where(k.between(low, high))
+    b = F.col("y") - k * F.col("x")
+    return near.select(*df.columns, s.alias("s"), F.abs(k - slope).alias("err"), k.alias("k"), b.alias("b"), d.alias("d"))
 
 
 def _clamp(c: Column) -> Column:
@@ -176,11 +166,7 @@ def unit_slope_line(
     span = S.no_nan(F.col("x") - F.col("_x0"))
     head = marked.where((span < MAX_LOG_TIME) & (F.col("p").isNull() | (F.col(POS) <= F.col("p") + 2)))
     head = head.select(key, POS, SIZE, "x", "y", "p")
-    if layout.hot:
-        head = head.withColumnRenamed(POS, "row").drop(SIZE)
-        head = number_rows(head, layout.by("row"))
-    else:
-        head = head.withColumn("row", F.col(POS))
+    head = number_rows(head.withColumnRenamed(POS, "row").drop(SIZE), layout.by("row"))
     pairs = near_pairs(head, layout, range(1, shifts + 1), *UNIT_BAND, slope=1.0)
     best = F.struct("err", "row", "k", "b", "d")
     per_shift = pairs.groupBy(key, "s").agg(
@@ -386,7 +372,7 @@ def slope_line(
     """
     key = layout.keys[0]
     layout = layout.by(POS)
-    base = slope_base(df, layout, x, y, start)
+    base = durable(slope_base(df, layout, x, y, start))  # five plans read the points
     flat = abs(slope) <= 0.01
     if flat:
         limits = flat_part(base, layout).select(key, F.col("start").alias("lo"), F.col("end").alias("hi"))
@@ -436,17 +422,12 @@ def slope_line(
 
 def _smooth_only(cand: DataFrame, base: DataFrame, layout: Layout, reach: int) -> DataFrame:
     """Keep (f, s) when no difference in f ... f + s exceeds its mean by 3.5 deviations."""
-    key = layout.keys[0]
-    framed = bounded_frames(
-        base.select(key, POS, SIZE, "diff"),
-        layout,
-        lambda w: [F.collect_list("diff").over(w.rowsBetween(0, reach)).alias("_ds")],
-        0,
-        reach,
-    )
-    starts = cand.groupBy(key, "f").agg(F.max("s").alias("_far"))
-    ahead = framed.select(key, F.col(POS).alias("f"), "_ds").join(starts, [key, "f"])
-    ahead = ahead.select(key, "f", F.posexplode(F.slice("_ds", F.lit(1), F.col("_far").cast("int") + 1)).alias("s", "_d"))
+    key, block = layout.keys[0], reach + 1
+    starts = cand.groupBy(key, "f").agg(F.max("s").alias("_far")).withColumn("_block", F.floor(F.col("f") / block))
+    own = F.floor(F.col(POS) / block)
+    points = base.select(key, POS, F.col("diff").alias("_d"), F.explode(F.array(own - 1, own)).alias("_block"))
+    s = F.col(POS) - F.col("f")
+    ahead = starts.join(points, [key, "_block"]).where(s.between(0, F.col("_far"))).select(key, "f", s.cast("int").alias("s"), "_d")
     w = Window.partitionBy(key, "f").orderBy("s").rowsBetween(Window.unboundedPreceding, 0)
     smooth = F.max(F.abs("_d")).over(w) <= F.avg("_d").over(w) + SLOPE_SIGMAS * F.stddev("_d").over(w)
     calm = ahead.select(key, "f", "s", smooth.alias("_ok")).where("_ok")
