@@ -280,7 +280,7 @@ def merge_segments(segments: DataFrame, layout: Layout, gap: int = FLAT_GAP, lon
     is_long = F.col("end") - F.col("start") > long
     chain = layout.within("_chain")
     seg = with_group_values(seg, chain, {"_first": F.min(F.when(is_long, F.col(POS))), "_head": F.min(POS)})
-    joint = F.col(POS) >= F.greatest(F.col("_first") - 1, F.col("_head"))
+    joint = F.col("_first").isNotNull() & (F.col(POS) >= F.greatest(F.col("_first") - 1, F.col("_head")))  # greatest() skips NULL
     part = F.when(F.coalesce(joint, F.lit(False)), F.lit(-1).cast("long")).otherwise(F.col(POS))
     return seg.groupBy(*keys, "_chain", part.alias("_part")).agg(F.min("start").alias("start"), F.max("end").alias("end")).drop(
         "_chain", "_part"

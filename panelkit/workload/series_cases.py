@@ -293,13 +293,13 @@ COARSE = {
     "sn": 'SELECT *, row_number() OVER (PARTITION BY file_name ORDER BY start) AS i FROM sg',
 }
 # The merge of neighbours as it is defined: a walk over the segments from left to right.
-MERGE = """WITH RECURSIVE {ctes},
-walk AS (SELECT file_name, i, start AS s, "end" AS e, 1 AS part FROM sn WHERE i = 1
+WALK = """SELECT file_name, i, start AS s, "end" AS e, 1 AS part FROM sn WHERE i = 1
   UNION ALL
   SELECT n.file_name, n.i, CASE WHEN n.start - w.e <= 5 AND (w.e - w.s > 15 OR n."end" - n.start > 15) THEN w.s ELSE n.start END,
     n."end", CASE WHEN n.start - w.e <= 5 AND (w.e - w.s > 15 OR n."end" - n.start > 15) THEN w.part ELSE w.part + 1 END
-  FROM walk w JOIN sn n ON n.file_name = w.file_name AND n.i = w.i + 1)
-SELECT file_name, min(s) AS start, max(e) AS "end" FROM walk GROUP BY file_name, part"""
+  FROM walk w JOIN sn n ON n.file_name = w.file_name AND n.i = w.i + 1"""
+MERGED_PARTS = 'SELECT file_name, min(s) AS start, max(e) AS "end" FROM walk GROUP BY file_name, part'
+MERGE = "WITH RECURSIVE {ctes},\nwalk AS (" + WALK + ")\n" + MERGED_PARTS
 
 
 def _recursive(body, *names, extra):
@@ -307,21 +307,43 @@ def _recursive(body, *names, extra):
     return body.format(ctes=plain.removeprefix("WITH "))
 
 
+def _flat_parts():
+    """The longest flat part of each series: the steps of COARSE over the points from the second on."""
+    return {
+        "cs": "SELECT file_name, pos, n AS n_rows, x, diff FROM b1",
+        **{name: COARSE[name] for name in ("fl", "sm", "il", "cx")},
+        "sg": f"""SELECT file_name, min(pos) AS start, max(pos) + 1 AS "end" FROM (
+    SELECT *, pos - row_number() OVER {W}) AS grp FROM cx JOIN cs USING (file_name, pos) WHERE smoothed)
+  GROUP BY file_name, grp HAVING max(pos) + 1 < any_value(n_rows)""",
+        "sn": COARSE["sn"],
+        "walk": WALK,
+        "mg": MERGED_PARTS,
+        "lim": """SELECT file_name, start AS lo, "end" AS hi FROM (SELECT mg.*, b.x - a.x AS d,
+    row_number() OVER (PARTITION BY mg.file_name ORDER BY b.x - a.x DESC, start) AS rn FROM mg
+    JOIN b1 a ON a.file_name = mg.file_name AND a.pos = mg.start JOIN b1 b ON b.file_name = mg.file_name AND b.pos = mg."end")
+  WHERE rn = 1 AND d >= 0.3""",
+    }
+
+
 def _slope_sql(c, name):
-    thin = "NOT ((f > 200 AND f % 2 <> 0) OR (f > 400 AND f % 3 <> 0))"
+    flat = c == 0
+    thin = "NOT ((f > 200 AND f % 2 <> 0) OR (f > 400 AND f % 3 <> 0) OR (f > 600 AND f % 4 <> 0) OR (f > 1000 AND f % 5 <> 0))"
+    lim = "SELECT DISTINCT file_name, 2 AS lo, least(n, 500) AS hi FROM b1"
     extra = {
         "b0": f"SELECT file_name, pos - 1 AS pos, n_rows - 1 AS n, time AS x, Pder AS y FROM series WHERE pos >= 1",
         "b1": f"SELECT *, coalesce({_guard(f'(y - lag(y) OVER {W}))')}, 0) AS diff FROM b0",
         "bad": """SELECT file_name FROM (SELECT file_name, diff, avg(diff) OVER g + 3 * stddev_samp(diff) OVER g AS hi
   FROM b1 WHERE pos BETWEEN 3 AND 100 WINDOW g AS (PARTITION BY file_name)) WHERE abs(diff) > hi
   GROUP BY file_name HAVING count(*) > 3""",
+        **(_flat_parts() if flat else {"lim": lim}),
         "pr": f"""SELECT *, abs(k - ({c})) AS err, y - k * x AS b FROM (SELECT a.file_name, a.n, a.pos, a.x, a.y, b.pos - a.pos AS s,
     b.x - a.x AS d, (b.y - a.y) / nullif(b.x - a.x, 0) AS k
   FROM b1 a JOIN b1 b ON a.file_name = b.file_name AND b.pos - a.pos BETWEEN 1 AND 199
   WHERE a.file_name NOT IN (SELECT file_name FROM bad)) WHERE k BETWEEN {c} - 0.2 AND {c} + 0.2 AND (s <= 100 OR s % 2 = 0)""",
         "cd": f"""SELECT file_name, f, s, f + s AS e, c.err AS err, c.k AS k, c.b AS b, c.d AS d FROM (
     SELECT file_name, s, f, min(struct_pack(err := err, pos := pos, k := k, b := b, d := d)) AS c
-    FROM pr JOIN range(2, 500) v(f) ON pos >= f AND f < n WHERE {thin} GROUP BY file_name, s, f) WHERE c.d >= 0.5""",
+    FROM pr JOIN (SELECT file_name, unnest(range(lo, hi)) AS f FROM lim) v USING (file_name)
+    WHERE pos >= f AND {thin} GROUP BY file_name, s, f) WHERE c.d >= 0.5""",
         "ok": """SELECT c.file_name, c.f, c.s FROM cd c JOIN b1 ON b1.file_name = c.file_name AND b1.pos BETWEEN c.f AND c.e
   GROUP BY 1, 2, 3 HAVING max(abs(diff)) <= avg(diff) + 3.5 * stddev_samp(diff)""",
         "ac": "SELECT * FROM cd JOIN ok USING (file_name, f, s)",
@@ -334,12 +356,13 @@ def _slope_sql(c, name):
   JOIN b1 s ON s.file_name = t.file_name AND s.pos BETWEEN t.f AND t.e GROUP BY t.file_name, t.f, t.e, z.pos, z.b""",
         "bw": """SELECT file_name, (min(struct_pack(m := m, f := f, e := e, b := b))).b AS v, max(e) AS last FROM ln GROUP BY 1""",
     }
-    return with_inputs(
+    sql = with_inputs(
         f"""SELECT u.file_name, {r('v', name)}, CAST(last AS BIGINT) AS "{name}_end"
 FROM (SELECT DISTINCT file_name FROM series) u LEFT JOIN bw USING (file_name)""",
         "series",
         extra=extra,
-    )
+    ).strip()
+    return "WITH RECURSIVE " + sql.removeprefix("WITH ") if flat else sql
 
 
 def _stacked(kinds):
@@ -513,7 +536,7 @@ WHERE rn = 1""",
     "slope_line_half": (_slope(0.5, "li_value"), _slope_sql(0.5, "li_value")),
     "slope_line_quarter": (_slope(0.25, "bl_value"), _slope_sql(0.25, "bl_value")),
     "slope_line_falling": (_slope(-0.5, "sp_value"), _slope_sql(-0.5, "sp_value")),
-    "slope_line_flat": (slope_flat, None),
+    "slope_line_flat": (slope_flat, _slope_sql(0, "ra_value")),
     "features_minimal": (_features(A.MINIMAL), _features_sql(A.MINIMAL)),
     "features_order_free": (
         _features([*A.ORDER_FREE, *[n for n in A.feature_names() if n.startswith(("quantile", "ratio"))]]),

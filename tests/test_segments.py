@@ -7,7 +7,7 @@ from itertools import groupby
 import pytest
 
 from panelkit.operators import segments as G
-from panelkit.operators.ordered import measure, number_rows
+from panelkit.operators.ordered import SIZE, measure, number_rows
 
 
 def stdev(v):
@@ -233,3 +233,28 @@ def test_no_cross_joins(series):
     for out in (G.unit_slope_line(df, layout), G.slope_line(df, layout, 0.5), G.slope_line(df, layout, 0.0)):
         plan = out._jdf.queryExecution().optimizedPlan().toString() + out._jdf.queryExecution().executedPlan().toString()
         assert "Cartesian" not in plan and "NestedLoop" not in plan and "Python" not in plan
+
+
+def test_merged_parts_are_those_of_a_walk(spark):
+    """Chains of short parts stay apart, however close; a long part draws in its neighbours."""
+    rng = random.Random(5)
+    rows, want = [], set()
+    for key in range(60):
+        at, parts = 0, []
+        for _ in range(12):
+            start = at + rng.randint(1, 8)
+            at = start + rng.choice([2, 3, 6, 15, 16, 17])
+            parts.append((start, at))
+        rows += [(key, s, e, 1000) for s, e in parts]
+        s, e = parts[0]
+        for s2, e2 in parts[1:]:
+            if s2 - e <= 5 and (e - s > 15 or e2 - s2 > 15):
+                e = e2
+            else:
+                want.add((key, s, e))
+                s, e = s2, e2
+        want.add((key, s, e))
+    df = spark.createDataFrame(rows, f"file_name long, start long, end long, {SIZE} long")
+    for block in (4, 1000):
+        got = G.merge_segments(df, measure(df, "file_name", "start", block=block))
+        assert {tuple(r) for r in got.select("file_name", "start", "end").collect()} == want
