@@ -4,14 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelkit.functions import scalars as S
 from panelkit.operators.joins import join_small
+from panelkit.operators.ordered import global_running
 
 KEY = "file_name"
 BACKOFF = (5, 3, 1)
+# Leading digits of a digest that make the histogram of a sample: 65,536 buckets.
+HASH_DIGITS = 4
 # Names of the eight flags of a series, in their order, long and short.
 FLAGS = (
     "Некачественное ГДИС",
@@ -72,11 +75,31 @@ def label_table(
     return back_off(rows.withColumn("labels", S.flags_label(["hq", *flags])))
 
 
+def first_by_hash(df: DataFrame, n: int, digest: Column, key: str) -> DataFrame:
+    """The ``n`` rows with the least hexadecimal ``digest`` (ties by ``key``), or all, in any order.
+
+    A histogram over the first four digits finds the cut: rows before it stay as they are, and only the rows of the
+    bucket at the cut are ranked, over ranges. No task takes n rows, and the driver takes two numbers.
+    """
+    rows = df.withColumn("_digest", digest)
+    bucket = F.substring("_digest", 1, HASH_DIGITS)
+    counts = rows.groupBy(bucket.alias("_bucket")).agg(F.count(F.lit(1)).alias("_n"))  # at most 16 ** HASH_DIGITS rows
+    upto = counts.select("_bucket", "_n", F.sum("_n").over(Window.orderBy("_bucket")).alias("_upto"))
+    cut = upto.where(F.col("_upto") >= n).orderBy("_bucket").select("_bucket", n - (F.col("_upto") - F.col("_n"))).first()
+    if cut is None:
+        return df
+    last = global_running(rows.where(bucket == cut[0]), ["_digest", key], {"_rank": F.lit(1)})
+    kept = rows.where(bucket < cut[0]).unionByName(last.where(F.col("_rank") < cut[1]).drop("_rank"))
+    return kept.drop("_digest")
+
+
 def sample_rows(df: DataFrame, n: int, key: str, seed: int = 127) -> DataFrame:
-    """Exactly n rows, the same ones for the same seed (an ordered limit: each task keeps n rows only)."""
-    return df.orderBy(F.md5(F.concat(F.col(key).cast("string"), F.lit(f":{seed}"))), key).limit(n)
+    """Exactly n rows, the same ones for the same seed. Of rows with one key any may be taken at the cut; a NULL key counts as ''."""
+    text = F.coalesce(F.col(key).cast("string"), F.lit(""))
+    return first_by_hash(df, n, F.md5(F.concat(text, F.lit(f":{seed}"))), key)
 
 
 def sample_keys(df: DataFrame, n: int, key: str) -> DataFrame:
     """n distinct keys, chosen by their MD5."""
-    return df.select(key).distinct().orderBy(F.md5(F.col(key).cast("string")), key).limit(n)
+    keys = df.select(key).distinct()
+    return first_by_hash(keys, n, F.md5(F.coalesce(F.col(key).cast("string"), F.lit(""))), key)

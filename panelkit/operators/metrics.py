@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from panelkit.functions import scalars as S
-from panelkit.operators.ordered import POS, measure, number_rows, running
+from panelkit.operators.ordered import POS, global_running, measure, number_rows, running
 
 SENTINEL = -33.0
 TOLERANCE = 0.15
@@ -92,17 +92,15 @@ def to_int(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def _auc(counts: DataFrame, by: Sequence[str]) -> DataFrame:
     """Exact AUC from (by, proba, pos_n, neg_n) rows: positives times the negatives below, ties at half."""
-    pool = list(by) or ["_pool"]
-    if not by:
-        counts = counts.withColumn("_pool", F.lit(0))
-    layout = measure(counts, pool, "proba")
-    ranked = running(
-        number_rows(counts, layout), layout.by(POS), {"_below": ("sum", F.col("neg_n"))}, exclusive=True
-    )
+    if by:
+        numbered = number_rows(counts, layout := measure(counts, by, "proba"))
+        ranked = running(numbered, layout.by(POS), {"_below": ("sum", F.col("neg_n"))}, exclusive=True)
+    else:
+        ranked = global_running(counts, ["proba"], {"_below": F.col("neg_n")})
     wins = F.col("pos_n") * (F.coalesce("_below", F.lit(0)) + F.col("neg_n") / 2)
-    sums = ranked.groupBy(*pool).agg(F.sum(wins).alias("w"), F.sum("pos_n").alias("np"), F.sum("neg_n").alias("nn"))
+    sums = ranked.groupBy(*by).agg(F.sum(wins).alias("w"), F.sum("pos_n").alias("np"), F.sum("neg_n").alias("nn"))
     pairs = F.col("np").cast("double") * F.col("nn")
-    return sums.select(*pool, F.try_divide(F.col("w"), pairs).alias("auc"), F.col("np").alias("positives"))
+    return sums.select(*by, F.try_divide(F.col("w"), pairs).alias("auc"), F.col("np").alias("positives"))
 
 
 def label_auc(df: DataFrame, label: str = "target", y: str = "y", proba: str = "proba") -> DataFrame:

@@ -285,21 +285,18 @@ def join_all(frames: Sequence[DataFrame], keys: Sequence[str]) -> DataFrame:
     return reduce(lambda a, b: a.join(b, list(keys), "left"), frames)
 
 
-def global_rank(df: DataFrame, column: str, name: str, block: int = BLOCK_ROWS) -> DataFrame:
-    """Add the 0-based rank by ``column`` over the whole frame.
+def global_running(df: DataFrame, order: Sequence[str], values: dict[str, Column]) -> DataFrame:
+    """Add running sums of ``values`` along ``order`` over the whole frame, current row left out (0 at the first).
 
-    A frame of more than ``block`` rows is sorted into ranges, stored, and numbered from the row counts of the
-    ranges; no task ever sees more than its range.
+    One exchange by ranges; the ranges are stored, their totals added up (a row per range), and each task adds the sum
+    before its range. Rows with equal order values fall into one range: make them distinct, or name more columns.
     """
-    if df.limit(block + 1).count() <= block:
-        return df.select("*", (F.row_number().over(Window.orderBy(column)) - 1).cast("long").alias(name))
     at = F.monotonically_increasing_id()
-    ranged = df.repartitionByRange(column).sortWithinPartitions(column).withColumn("_at", at)
-    stored = durable(ranged).select(
-        *df.columns, F.shiftright("_at", 33).alias("_range"), F.col("_at").bitwiseAND((1 << 33) - 1).alias("_at")
-    )
-    w = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    before = (
-        stored.groupBy("_range").count().select("_range", F.coalesce(F.sum("count").over(w), F.lit(0)).alias("_before"))
-    )
-    return stored.join(before, "_range").select(*df.columns, (F.col("_before") + F.col("_at")).alias(name))
+    ranged = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_at", at)
+    stored = durable(ranged).withColumn("_range", F.shiftright("_at", 33))
+    totals = stored.groupBy("_range").agg(*[F.sum(e).alias(f"_t_{n}") for n, e in values.items()])
+    earlier = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    before = totals.select("_range", *[F.coalesce(F.sum(f"_t_{n}").over(earlier), F.lit(0)).alias(f"_b_{n}") for n in values])
+    own = Window.partitionBy("_range").orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)
+    sums = [(F.col(f"_b_{n}") + F.coalesce(F.sum(e).over(own), F.lit(0))).alias(n) for n, e in values.items()]
+    return stored.join(before, "_range").select(*df.columns, *sums)

@@ -5,14 +5,13 @@ from __future__ import annotations
 import re
 from collections.abc import Iterable, Sequence
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import StringIndexer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from panelkit.operators.joins import join_small
-from panelkit.operators.ordered import global_rank
+from panelkit.operators.ordered import global_running
+from panelkit.session import durable
 
 FLOAT32_MAX = 3.4028234663852886e38
 
@@ -117,17 +116,55 @@ def narrow_types(df: DataFrame, profile: str = "unsigned", use_float: bool = Tru
     return df.select(*[F.col(c).cast(types[c]).alias(c) if c in types else F.col(c) for c in df.columns])
 
 
-def category_codes(df: DataFrame, columns: Sequence[str], suffix: str = "_code") -> DataFrame:
-    """Add the rank of each value among the distinct values of its column, from 0; NULL is -1."""
+def _sort_keys(df: DataFrame, c: str) -> list[Column]:
+    """A value as (whole number, fraction, text), so that columns of all types sort in one table by their own order."""
+    kind = df.schema[c].dataType
+    whole = isinstance(kind, (T.ByteType, T.ShortType, T.IntegerType, T.LongType))
+    real = isinstance(kind, T.NumericType) and not whole
+    value = F.col(c) + F.lit(0.0).cast(kind) if isinstance(kind, (T.FloatType, T.DoubleType)) else F.col(c)  # one zero
+    return [
+        F.col(c).cast("long") if whole else F.lit(None).cast("long"),
+        value.cast("double") if real else F.lit(None).cast("double"),
+        value.cast("string"),
+    ]
+
+
+def category_dictionary(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Distinct values of all ``columns`` as one table (``column, value, code, n``): ``code`` is the rank in the column from 0.
+
+    One pass makes the values distinct before the shuffle, one exchange by ranges ranks them all; a column may have any
+    number of values. ``n`` is the number of values of the column. Numbers, dates and texts sort by their own order.
+    Write the table with ``write_parquet`` to use it on later data. Columns that ``df`` lacks are passed over.
+    """
+    columns = [c for c in columns if c in df.columns]
+    if not columns:
+        return df.sparkSession.createDataFrame([], "column string, value string, code long, n long")
+    names = ("_whole", "_real", "value")
+    each = [F.struct(F.lit(c).alias("column"), *[k.alias(n) for n, k in zip(names, _sort_keys(df, c))]) for c in columns]
+    values = df.select(F.explode(F.array(*each)).alias("_v")).select("_v.*").where(F.col("value").isNotNull()).distinct()
+    placed = global_running(values, ["column", "_whole", "_real", "value"], {"_place": F.lit(1)})
+    sizes = placed.groupBy("column").agg(F.min("_place").alias("_first"), F.count(F.lit(1)).alias("n"))
+    code = (F.col("_place") - F.col("_first")).cast("long").alias("code")
+    return placed.join(F.broadcast(sizes), "column").select("column", "value", code, "n")  # sizes: a row per column
+
+
+def apply_categories(df: DataFrame, dictionary: DataFrame, columns: Sequence[str], suffix: str = "_code", unseen: str = "last") -> DataFrame:
+    """Add the codes of a stored dictionary. NULL and values that it lacks get the next code after the last one, or -1 (``unseen="none"``)."""
+    columns = [c for c in columns if c in df.columns]
+    sizes = {r["column"]: r["n"] for r in dictionary.groupBy("column").agg(F.max("n").alias("n")).collect()}  # a row per column
     for c in columns:
-        if c not in df.columns:
-            continue
-        values = df.select(c).where(F.col(c).isNotNull()).distinct()
-        ranked = global_rank(values, c, c + suffix)
-        df = join_small(df, ranked, c).withColumn(c + suffix, F.coalesce(c + suffix, F.lit(-1).cast("long")))
+        own = dictionary.where(F.col("column") == c).select(F.col("value").alias("_text"), F.col("code").alias(c + suffix))
+        other = F.lit(sizes.get(c, 0) if unseen == "last" else -1).cast("long")
+        keyed = df.withColumn("_text", _sort_keys(df, c)[2])
+        df = join_small(keyed, own, "_text").drop("_text").withColumn(c + suffix, F.coalesce(c + suffix, other))
     return df
 
 
+def category_codes(df: DataFrame, columns: Sequence[str], suffix: str = "_code") -> DataFrame:
+    """Add the rank of each value among the distinct values of its column, from 0; NULL is -1."""
+    return apply_categories(df, durable(category_dictionary(df, columns)), columns, suffix, unseen="none")
+
+
 def split_columns(
     df: DataFrame, numeric: Sequence[str] = (), category: Sequence[str] = (), dropped: Sequence[str] = ()
 ) -> tuple[list[str], list[str]]:
@@ -140,18 +177,8 @@ def split_columns(
     return numeric, category
 
 
-def fit_categories(df: DataFrame, category: Sequence[str], suffix: str = "_code") -> PipelineModel:
-    """Fitted indexers that give alphabetic codes; values not seen at fit time share the last code."""
-    stages = [
-        StringIndexer(inputCol=c, outputCol=c + suffix, stringOrderType="alphabetAsc", handleInvalid="keep")
-        for c in category
-        if c in df.columns
-    ]
-    return Pipeline(stages=stages).fit(df)
-
-
-def fit_transform(df: DataFrame, numeric=(), category=(), dropped=()) -> tuple[PipelineModel, DataFrame]:
-    """Infer the column lists, index the categories, narrow the types."""
+def fit_transform(df: DataFrame, numeric=(), category=(), dropped=()) -> tuple[DataFrame, DataFrame]:
+    """Infer the column lists, index the categories, narrow the types; gives the dictionary and the table."""
     _, category = split_columns(df, numeric, category, dropped)
-    model = fit_categories(df, category)
-    return model, narrow_types(model.transform(df), profile="signed")
+    dictionary = durable(category_dictionary(df, category))
+    return dictionary, narrow_types(apply_categories(df, dictionary, category), profile="signed")

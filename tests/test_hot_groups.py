@@ -128,7 +128,10 @@ def test_panel_features(spark, sf):
         same(a, b, ["inn_id", "week"])
 
 
-def test_global_rank(spark, sf):
-    names = I.table(spark, sf, "customer").select("c_name").distinct()
-    a, b = O.global_rank(names, "c_name", "r"), O.global_rank(names, "c_name", "r", block=10)
-    same(a, b, ["c_name"])
+def test_global_running(spark, sf):
+    names = I.table(spark, sf, "customer").select("c_name", "c_nationkey").dropDuplicates(["c_name"])
+    got = O.global_running(names, ["c_name"], {"place": F.lit(1), "sums": F.col("c_nationkey")}).toPandas().sort_values("c_name")
+    assert got["place"].tolist() == list(range(len(got)))
+    assert got["sums"].tolist() == [0, *got["c_nationkey"].cumsum().tolist()[:-1]]
+    empty = O.global_running(names.where("false"), ["c_name"], {"place": F.lit(1)})
+    assert empty.count() == 0

@@ -310,3 +310,39 @@ def test_numbering_is_one_window(spark):
     layout = measure(df, "k", "v")
     assert layout.largest == 2 and not layout.hot
     assert sorted(map(tuple, number_rows(df, layout).collect())) == [("a", 1, 0, 2), ("a", 2, 1, 2), ("b", 5, 0, 1)]
+
+
+def test_dictionary_reads_new_labels(spark, tmp_path):
+    """A stored dictionary gives later rows the same codes; labels it lacks and NULL share the next one."""
+    df = spark.createDataFrame([("b", 10, 0.0), ("a", 9, -0.0), (None, 100, 2.5), ("b", 9, None)], "s string, n int, x double")
+    table = D.write_parquet(H.category_dictionary(df, ["s", "n", "x", "not_there"]), str(tmp_path / "codes"))
+    codes = spark.read.parquet(table)
+    assert {(r.column, r.value, r.code) for r in codes.collect()} == {
+        ("s", "a", 0), ("s", "b", 1), ("n", "9", 0), ("n", "10", 1), ("n", "100", 2), ("x", "0.0", 0), ("x", "2.5", 1)
+    }
+    later = spark.createDataFrame([("b", 9), ("zz", 7), (None, 100)], "s string, n int")
+    got = H.apply_categories(later, codes, ["s", "n"])
+    assert sorted((str(r.s), r.n, r.s_code, r.n_code) for r in got.collect()) == [("None", 100, 2, 2), ("b", 9, 1, 0), ("zz", 7, 2, 3)]
+    assert {r.s_code for r in H.apply_categories(later, codes, ["s"], unseen="none").collect()} == {1, -1}
+    assert H.category_dictionary(df.where("false"), ["s"]).count() == 0
+
+
+def test_samples_of_any_size(spark):
+    """The histogram's cut takes the rows that a whole sort would take, and repeated keys up to the wanted number."""
+    df = spark.range(5000).select(F.col("id").cast("string").alias("k"), F.lit(1).alias("v"))
+    by = df.orderBy(F.md5(F.concat("k", F.lit(":127"))), "k").select("k")
+    for n in (0, 1, 70, 4999, 5000, 9000):
+        got = {r.k for r in B.sample_rows(df, n, "k").collect()}
+        assert got == {r.k for r in by.limit(n).collect()}
+    same = df.select(F.lit("x").alias("k"), F.col("k").alias("v")).union(spark.createDataFrame([(None, "n")], "k string, v string"))
+    assert B.sample_rows(same, 70, "k").count() == 70
+    assert B.sample_keys(same, 9, "k").count() == 2
+
+
+def test_pooled_auc_reads_ranges(spark):
+    """The micro curve runs over ranges of scores: no window without a partition sees the scores."""
+    rows = [(t, i % 3 == 0, (i * 37 % 101) / 100) for i in range(400) for t in ("a", "b")]
+    df = spark.createDataFrame(rows, "target string, y boolean, proba double").withColumn("y", F.col("y").cast("int"))
+    pos, neg = [p for _, y, p in rows if y], [p for _, y, p in rows if not y]
+    want = sum((p > q) + (p == q) / 2 for p in pos for q in neg) / len(pos) / len(neg)
+    assert abs(M.auc_scores(df).first()["auc_micro"] - want) < 1e-12
