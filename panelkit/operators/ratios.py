@@ -12,6 +12,8 @@ from pyspark.sql.types import ArrayType
 from panelkit.operators.ensemble import row_mean
 
 HOST = "url_host"
+# Log2 of the registers of a user sketch.
+SKETCH_PRECISION = 12
 
 
 def union_parts(parts: Sequence[DataFrame]) -> DataFrame:
@@ -36,6 +38,27 @@ def merge_counts(parts: DataFrame, code: str, prefix: str, host: str = HOST, use
     return out.withColumn(f"{prefix}_user_count", F.coalesce(f"{prefix}_user_count", F.lit(0).cast("long")))
 
 
+def user_sketches(part: DataFrame, code: str, users: str, host: str = HOST, precision: int = SKETCH_PRECISION) -> DataFrame:
+    """A mergeable sketch (HyperLogLog) of the users per host and code of one part, to be stored beside its counts.
+
+    A sketch takes some 2 ** precision bytes at most, whatever the number of users, and is merged before the shuffle.
+    """
+    rows = part.where(F.col(host).isNotNull() & F.col(code).isNotNull())
+    if isinstance(part.schema[users].dataType, ArrayType):
+        rows = rows.select(host, code, F.explode(users).alias(users))
+    rows = rows.where(F.col(users).isNotNull())  # a group without users has no sketch: its estimate is 0 after a left join
+    return rows.groupBy(host, code).agg(F.hll_sketch_agg(F.col(users).cast("string"), F.lit(precision)).alias("sketch"))
+
+
+def merge_sketches(sketches: DataFrame, keys: Sequence[str], prefix: str) -> DataFrame:
+    """Estimated distinct users per ``keys`` from stored sketches of any number of parts; a new part rescans none of the old.
+
+    The standard error is 1.04 / sqrt(2 ** precision), 1.6 % at the default; ``merge_counts`` gives exact numbers.
+    """
+    estimate = F.hll_sketch_estimate(F.hll_union_agg("sketch"))
+    return sketches.groupBy(*keys).agg(estimate.alias(f"{prefix}_user_estimate"))
+
+
 def ratio_groups(
     df: DataFrame,
     code: str,

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from panelkit.functions import scalars as S
@@ -11,6 +13,8 @@ from panelkit.operators import ratios as X
 from panelkit.operators import schema as H
 from panelkit.operators.labels import SHORT_FLAGS
 from panelkit.plans import series_pipeline as L
+from panelkit.session import shared_dir
+from panelkit.sources.tables import write_parquet
 from panelkit.workload import inputs as I
 from panelkit.workload.inputs import r, tidy, with_inputs
 from panelkit.workload.series_cases import COLUMNS, PLACES, STATS, matrix_sql
@@ -194,6 +198,23 @@ def merged_users(spark, sf):
     return X.merge_counts(X.union_parts(I.host_parts(spark, sf)), "code", "rq", users="users")
 
 
+def user_estimates(spark, sf):
+    """Sketches stored per part and merged per host and code, and per host, beside the exact numbers: five standard errors at most."""
+    folder = f"{shared_dir(spark)}/sketches-{uuid.uuid4().hex}"
+    parts = I.host_parts(spark, sf)
+    paths = [write_parquet(X.user_sketches(p, "code", "users"), f"{folder}/{i}") for i, p in enumerate(parts)]
+    stored = spark.read.parquet(*paths)
+    exact = X.merge_counts(X.union_parts(parts), "code", "rq", users="users")
+    by_code = exact.join(X.merge_sketches(stored, ["url_host", "code"], "rq"), ["url_host", "code"], "left")
+    people = X.union_parts(parts).where("url_host IS NOT NULL AND code IS NOT NULL").select("url_host", "users").distinct()
+    hosts = people.groupBy("url_host").agg(F.count("users").alias("rq_user_count"))
+    by_host = hosts.join(X.merge_sketches(stored, ["url_host"], "rq"), "url_host", "left").withColumn("code", F.lit("*"))
+    both = by_code.drop("rq_count").unionByName(by_host)
+    error = F.abs(F.col("rq_user_estimate") - F.col("rq_user_count"))
+    bound = 5 * 1.04 / 2 ** (X.SKETCH_PRECISION / 2)
+    return both.select("url_host", "code", "rq_user_count", (error <= F.col("rq_user_count") * bound).alias("within"))
+
+
 def ratio_groups(spark, sf):
     hosts = I.page_hosts(spark, sf)
     return tidy(X.ratio_groups(hosts, "code", "rq", ["en", "de", "fr"]))
@@ -403,6 +424,14 @@ FROM documents LEFT JOIN labels USING (doc_id)""",
     ),
     "merged_counts": (merged_counts, with_inputs("SELECT url_host, code, count(*) AS rq_count FROM parts GROUP BY 1, 2", "parts")),
     "merged_users": (merged_users, with_inputs(MERGED, "parts")),
+    "user_estimates": (
+        user_estimates,
+        with_inputs(
+            f"""SELECT url_host, code, rq_user_count, true AS within FROM ({MERGED}) UNION ALL
+SELECT url_host, '*', count(DISTINCT doc_id), true FROM parts WHERE url_host IS NOT NULL AND code IS NOT NULL GROUP BY 1""",
+            "parts",
+        ),
+    ),
     "ratio_groups": (ratio_groups, _ratio_sql("page_hosts", ["rq"], ["en", "de", "fr"], ["page_hosts"])),
     "counts_and_ratio": (counts_and_ratio, _ratio_sql("merged", ["rq", "rq_user"], CODES, ["parts"], {"merged": MERGED})),
 }

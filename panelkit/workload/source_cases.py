@@ -12,6 +12,7 @@ from panelkit.operators.labels import SHORT_FLAGS
 from panelkit.operators.ordered import POS, measure, number_rows
 from panelkit.session import shared_dir
 from panelkit.sources import tables as R
+from panelkit.sources.series_files import read_series_files
 from panelkit.workload import inputs as I
 from panelkit.workload.inputs import r, tidy, with_inputs
 
@@ -56,6 +57,20 @@ def series_files(spark, sf):
     return tidy(placed)
 
 
+def series_files_problems(spark, sf):
+    """The same files read with their keys, beside an empty one and one without numbers; small pieces cut files at lines."""
+    folder = _folder(spark, "series")
+    rows = I.raw_series(spark, sf).repartition("file_name").sortWithinPartitions("file_name", "ts", "event_id")
+    rows.select(F.col("file_name").alias("series"), "time", "dP", "Pder").write.partitionBy("series").option("sep", "\t").csv(folder)
+    I.table(spark, sf, "region").where("false").select("r_name").write.text(f"{folder}/series=-1")
+    I.table(spark, sf, "region").where("r_regionkey = 0").select("r_name").coalesce(1).write.text(f"{folder}/series=-2")
+    got = read_series_files(spark, folder, task_bytes=1 << 14)
+    key = F.regexp_extract("file_name", "series=([^/]+)/", 1).cast("long").alias("file_name")
+    got = got.select(key, F.coalesce("start", F.lit(0)).alias("start"), F.coalesce("line", F.lit(0)).alias("line"), "time", "dP", "Pder", "problem")
+    numbered = number_rows(got, measure(got, "file_name", ("start", "line")))
+    return tidy(numbered.select("file_name", F.col(POS).cast("long").alias("place"), "time", "dP", "Pder", "problem"))
+
+
 def fold_files(spark, sf):
     """One file set per run and fold, told apart by name."""
     folder = _folder(spark, "folds")
@@ -132,6 +147,14 @@ CASES = {
     "holidays_csv": (holidays_csv, with_inputs("SELECT date FROM order_days", "order_days")),
     "template_csv": (template_csv, with_inputs("SELECT * FROM template", "template")),
     "panel_parquet": (panel_parquet, with_inputs("SELECT inn_id, week, target FROM panel", "panel")),
+    "series_files_problems": (
+        series_files_problems,
+        with_inputs(
+            f"""SELECT file_name, pos AS place, {r('T', 'time')}, {r('P', 'dP')}, {r('D', 'Pder')}, CAST(NULL AS VARCHAR) AS problem FROM raw_series
+UNION ALL SELECT -1, 0, NULL, NULL, NULL, 'empty' UNION ALL SELECT -2, 0, NULL, NULL, NULL, NULL""",
+            "raw_series",
+        ),
+    ),
     "series_files": (
         series_files,
         with_inputs(

@@ -20,6 +20,7 @@ from panelkit.operators.joins import join_small
 from panelkit.operators.ordered import Layout, measure, number_rows
 from panelkit.plans import panel_pipeline as L
 from panelkit.plans import series_pipeline as T
+from panelkit.sources import series_files as SF
 from panelkit.sources import tables as D
 from panelkit.workload import inputs as I
 
@@ -346,3 +347,43 @@ def test_pooled_auc_reads_ranges(spark):
     pos, neg = [p for _, y, p in rows if y], [p for _, y, p in rows if not y]
     want = sum((p > q) + (p == q) / 2 for p in pos for q in neg) / len(pos) / len(neg)
     assert abs(M.auc_scores(df).first()["auc_micro"] - want) < 1e-12
+
+
+@pytest.mark.parametrize("task_bytes", [7, 64, 1 << 20])
+def test_series_source_cuts_files_at_lines(spark, tmp_path, task_bytes):
+    """Pieces of any size give every line once and in order; bad cells are NULL, empty and unreadable files give their key."""
+    lines = [f"{i}.5\t{i}\t-{i}e-1" for i in range(40)]
+    (tmp_path / "sub").mkdir()
+    (tmp_path / "sub" / "a.txt").write_text("\n".join(lines))
+    (tmp_path / "b.txt").write_bytes(b"1\t2\t3\n\xff\xfe\tx\n\n4\tNaN\t6\t7\n")
+    (tmp_path / "empty.txt").write_bytes(b"")
+    (tmp_path / "_hidden").write_text("1\t2\t3")
+    (tmp_path / "gone.txt").symlink_to(tmp_path / "nowhere")
+    got = SF.read_series_files(spark, str(tmp_path), task_bytes).orderBy("file_name", "start", "line").collect()
+    a = [(r.time, r.dP, r.Pder) for r in got if r.file_name == "sub/a.txt"]
+    assert a == [(i + 0.5, float(i), float(f"-{i}e-1")) for i in range(40)]
+    b = [(r.time, str(r.dP), r.Pder) for r in got if r.file_name == "b.txt"]
+    assert b == [(1.0, "2.0", 3.0), (None, "None", None), (4.0, "nan", 6.0)]
+    assert [(r.problem, r.start, r.time) for r in got if r.file_name == "empty.txt"] == [("empty", None, None)]
+    assert {r.file_name for r in got} <= {"sub/a.txt", "b.txt", "empty.txt", "gone.txt"}
+
+
+def test_an_unreadable_file_gives_its_key(tmp_path):
+    reader = SF.SeriesReader(str(tmp_path), 1 << 20)
+    gone = SF.Files([("gone.txt", str(tmp_path / "gone.txt"), 0, 10), ("none.txt", str(tmp_path / "none.txt"), 0, 0)])
+    rows = [r for batch in reader.read(gone) for r in batch.to_pylist()]
+    assert [(r["file_name"], r["problem"], r["line"]) for r in rows] == [("gone.txt", "FileNotFoundError", None), ("none.txt", "empty", None)]
+
+
+def test_sketches_merge_like_sets(spark):
+    """Sketches of overlapping parts estimate the union, within three standard errors; sets and rows of users give the same."""
+    def part(a, b):
+        return spark.range(a, b).select(F.lit("h").alias("url_host"), F.lit("x").alias("code"), F.col("id").alias("u"))
+
+    stored = X.user_sketches(part(0, 30000), "code", "u").union(X.user_sketches(part(20000, 50000), "code", "u"))
+    n = X.merge_sketches(stored, ["url_host"], "rq").first()["rq_user_estimate"]
+    assert abs(n - 50000) < 50000 * 3 * 1.04 / 64
+    sets = part(0, 300).groupBy("url_host", "code").agg(F.collect_list("u").alias("u"))
+    assert X.merge_sketches(X.user_sketches(sets, "code", "u"), ["code"], "rq").first()["rq_user_estimate"] in range(297, 304)
+    nobody = part(0, 3).withColumn("u", F.lit(None).cast("long"))
+    assert X.user_sketches(nobody, "code", "u").count() == 0
