@@ -12,7 +12,7 @@ from panelkit.operators.labels import SHORT_FLAGS
 from panelkit.operators.ordered import POS, measure, number_rows
 from panelkit.session import shared_dir
 from panelkit.sources import tables as R
-from panelkit.sources.series_files import read_series_files
+from panelkit.sources.series_files import read_series_files, write_series_files
 from panelkit.workload import inputs as I
 from panelkit.workload.inputs import r, tidy, with_inputs
 
@@ -43,15 +43,20 @@ def panel_parquet(spark, sf):
     return tidy(R.read_panel(spark, R.write_parquet(p, _folder(spark, "panel"))))
 
 
-def series_files(spark, sf):
-    """One folder of headerless tab-separated files per series; key and place of each row come from the files."""
-    folder = _folder(spark, "series")
+def _write_series(spark, sf):
+    """One folder of headerless tab-separated files per series."""
     rows = I.raw_series(spark, sf).repartition("file_name").sortWithinPartitions("file_name", "ts", "event_id")
     rows = rows.select(F.col("file_name").alias("series"), "time", "dP", "Pder")
-    rows.write.partitionBy("series").option("sep", "\t").csv(folder)
+    return write_series_files(rows, "series", _folder(spark, "series"))
+
+
+def series_files(spark, sf):
+    """One folder of headerless tab-separated files per series; key and place of each row come from the files."""
+    folder = _write_series(spark, sf)
     got = R.read_series(spark, folder, below=folder)
     key = F.regexp_extract("file_name", "series=([^/]+)/", 1).cast("long").alias("file_name")
     got = got.select(key, "split_start", "row_id", "time", "dP", "Pder")
+    got = spark.read.parquet(R.write_parquet(got, _folder(spark, "series-rows")))  # the files are opened once, their rows read twice
     layout = measure(got, "file_name", ("split_start", "row_id"))
     placed = number_rows(got, layout).select("file_name", F.col(POS).cast("long").alias("place"), "time", "dP", "Pder")
     return tidy(placed)
@@ -59,14 +64,13 @@ def series_files(spark, sf):
 
 def series_files_problems(spark, sf):
     """The same files read with their keys, beside an empty one and one without numbers; small pieces cut files at lines."""
-    folder = _folder(spark, "series")
-    rows = I.raw_series(spark, sf).repartition("file_name").sortWithinPartitions("file_name", "ts", "event_id")
-    rows.select(F.col("file_name").alias("series"), "time", "dP", "Pder").write.partitionBy("series").option("sep", "\t").csv(folder)
+    folder = _write_series(spark, sf)
     I.table(spark, sf, "region").where("false").select("r_name").write.text(f"{folder}/series=-1")
     I.table(spark, sf, "region").where("r_regionkey = 0").select("r_name").coalesce(1).write.text(f"{folder}/series=-2")
     got = read_series_files(spark, folder, task_bytes=1 << 14)
     key = F.regexp_extract("file_name", "series=([^/]+)/", 1).cast("long").alias("file_name")
     got = got.select(key, F.coalesce("start", F.lit(0)).alias("start"), F.coalesce("line", F.lit(0)).alias("line"), "time", "dP", "Pder", "problem")
+    got = spark.read.parquet(R.write_parquet(got, _folder(spark, "series-rows")))  # the files are opened once, their rows read twice
     numbered = number_rows(got, measure(got, "file_name", ("start", "line")))
     return tidy(numbered.select("file_name", F.col(POS).cast("long").alias("place"), "time", "dP", "Pder", "problem"))
 
