@@ -2,7 +2,11 @@
 
 import math
 
+from pyspark.sql import functions as F
+
+from panelkit.operators import panel as P
 from panelkit.sources import series_files as SF
+from panelkit.workload import inputs as I
 
 
 def test_small_files_share_tasks(tmp_path):
@@ -29,3 +33,23 @@ def test_series_writer_round_trip(spark, tmp_path):
     assert sorted((str(r.k), str(r.time), str(r.dP), str(r.Pder)) for r in plain.collect()) == want
     own = SF.read_series_files(spark, folder, 1 << 10).where("file_name like 'k=2/%'").orderBy("start", "line").collect()
     assert [(r.time, r.dP, r.Pder) for r in own] == [t[2:] for t in long]
+
+
+def test_rounding_is_that_of_round(spark):
+    """Halves, whole numbers, large, small and special values: the same doubles as ``round``."""
+    odd = [0.5e-6, -0.5e-6, 2.5e-6, 1.0000005, 1.0000015, -1e-9, -0.0, 1e308, math.inf, -math.inf, math.nan, None, 123456789012.5, 4503599627370497.5]
+    made = spark.range(20000).select(((F.rand(1) - 0.5) * F.pow(F.lit(10.0), F.rand(2) * 24 - 9)).alias("x"))
+    df = made.union(made.select(F.floor("x") / 2e6)).union(spark.createDataFrame([(v,) for v in odd], "x double"))
+    other = df.where(f"NOT (({I.rounded('x', 6)} + 0D) <=> (round(x, 6) + 0D) AND ({I.rounded('x', 3)} + 0D) <=> (round(x, 3) + 0D))")
+    assert other.count() == 0
+
+
+def test_the_panel_sends_its_rows_once(spark, sf):
+    plan = I.panel(spark, sf)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
+
+
+def test_wide_selects_are_compiled(spark, sf):
+    spark.conf.unset("spark.sql.codegen.hugeMethodLimit")
+    P.class_shift_features(I.panel(spark, sf), I.PANEL_LAYOUT)
+    assert spark.conf.get("spark.sql.codegen.hugeMethodLimit") == "8000"
