@@ -183,8 +183,10 @@ class SeriesWriter(DataSourceArrowWriter):
             name, keys = batch.schema.names[0], batch.column(0).to_pylist()
             lines = ["\t".join(map(_cell, x)) for x in zip(*(c.to_pylist() for c in batch.columns[1:]))]
             begins = [i for i, k in enumerate(keys) if (k != keys[i - 1] if i else out is None or k != last)]
-            for a, b in zip([0, *begins], [*begins, len(keys)]):
-                if a in begins:
+            cuts = begins if begins[:1] == [0] else [0, *begins]  # a batch may go on with the key of the one before
+            fresh = {*begins}
+            for a, b in zip(cuts, [*cuts[1:], len(keys)]):
+                if a in fresh:
                     if out is not None:
                         close()
                     below = f"{folder.rstrip('/')}/{name}={NO_KEY if keys[a] is None else keys[a]}"

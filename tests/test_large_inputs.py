@@ -28,6 +28,7 @@ def test_series_writer_round_trip(spark, tmp_path):
     folder = SF.write_series_files(rows, "k", str(tmp_path / "out"))
     assert {p.name for p in (tmp_path / "out").iterdir()} == {"k=1", "k=2", "k=-7", f"k={SF.NO_KEY}"}
     assert all(p.name.startswith("part-") for p in (tmp_path / "out").glob("*/*"))
+    assert [p.stat().st_size for p in (tmp_path / "out").glob("*/*") if not p.stat().st_size] == []
     want = sorted((str(k), str(a), str(b), str(c)) for k, _, a, b, c in odd + long)
     plain = spark.read.schema("time double, dP double, Pder double, k string").option("sep", "\t").csv(folder)
     assert sorted((str(r.k), str(r.time), str(r.dP), str(r.Pder)) for r in plain.collect()) == want
