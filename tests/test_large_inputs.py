@@ -1,11 +1,16 @@
-"""Steps that grew faster than their input: files per series, rounding, the panel's exchanges, wide selects."""
+"""Steps that grew faster than their input: files per series, rounding, the panel's exchanges, wide selects, wide stored tables."""
 
+import datetime
 import math
 
+import pyarrow.parquet as pq
 from pyspark.sql import functions as F
 
 from panelkit.operators import panel as P
+from panelkit.operators import schema as H
+from panelkit.plans import panel_pipeline as L
 from panelkit.sources import series_files as SF
+from panelkit.sources import tables as D
 from panelkit.workload import inputs as I
 
 
@@ -54,3 +59,50 @@ def test_wide_selects_are_compiled(spark, sf):
     spark.conf.unset("spark.sql.codegen.hugeMethodLimit")
     P.class_shift_features(I.panel(spark, sf), I.PANEL_LAYOUT)
     assert spark.conf.get("spark.sql.codegen.hugeMethodLimit") == "8000"
+
+
+def test_stored_ranges_by_groups(spark, tmp_path):
+    """Groups of columns give the ranges of one aggregate; empty columns, NaN, infinities and whole numbers included."""
+    x = F.col("id").cast("double")
+    odd = {"nan": F.when(x == 3, math.nan).otherwise(x), "none": F.lit(None).cast("double"), "inf": F.when(x == 5, math.inf).otherwise(-x)}
+    many = {f"c{i}": F.col("id") * (i - 30) for i in range(60)}
+    made = spark.range(50).select("id", *[e.alias(n) for n, e in (odd | many).items()])
+    df = spark.read.parquet(D.write_parquet(made, str(tmp_path / "t")))
+    whole = H.column_ranges(df, df.columns)
+    assert H.column_ranges(df, df.columns, 7) == whole and whole["nan"] == (0.0, 49.0) and whole["none"] == (None, None)
+    assert H.narrowed_types(df, stored=True) == H.narrowed_types(df)
+
+
+def test_large_dictionaries_are_left_early(spark, tmp_path):
+    """A column with many distinct values is written plainly, one with few keeps its dictionary; the rows stay."""
+    made = spark.range(20000, numPartitions=1).select((F.col("id") % 5000 / 7).alias("many"), (F.col("id") % 10).alias("few"))
+    path = D.write_parquet(made, str(tmp_path / "t"))
+    group = pq.ParquetFile(next((tmp_path / "t").glob("*.parquet"))).metadata.row_group(0)
+    uses = {c.path_in_schema: any("DICT" in e for e in c.encodings) for c in (group.column(0), group.column(1))}
+    assert uses == {"many": False, "few": True}
+    assert spark.read.parquet(path).exceptAll(made).count() == 0 and spark.read.parquet(path).count() == 20000
+
+
+def _panel_data(spark):
+    """Two entities of 30 weeks; the second has no profile, and its last weeks are not in the calendar."""
+    rows = [(e, w, 100.0 * e + w, 10.0 * w, w % 7, w % 3) for e in (1, 2) for w in range(25 + 5 * e)]
+    panel = spark.createDataFrame(rows, "inn_id long, week int, target double, trns_amount_inp double, trns_count_inp long, cnt_inn_inp long")
+    days = spark.range(30 * 7).select(F.expr("date_add(DATE'2021-01-04', cast(id as int))").alias("date"), F.floor(F.col("id") / 7).cast("int").alias("week"))
+    day = datetime.date(2021, 1, 1)
+    schema = "inn_id long, ipul string, id_region string, main_okved_group string, diff_datopen_report_date_flg string, report_date date"
+    profiles = spark.createDataFrame([(1, "ip", "A", None, "2_4y", day)], schema)
+    template = spark.createDataFrame([(1, 29, 0.0), (2, 29, 0.0)], "inn_id long, week int, predict double")
+    holidays = spark.createDataFrame([(day,)], "date date")
+    return L.load_panel(days, holidays, panel, profiles, template, incoming=True)
+
+
+def test_training_rows_are_joined_before_they_are_wide(spark):
+    train, test = L.panel_train_test(_panel_data(spark), P.Layout(("inn_id",), ("week",), 40), narrow=False)
+    plan = train._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join") and plan.index("Window [") < plan.index("Join")
+    got = {(r.inn_id, r.week): r for r in train.collect()}
+    assert sorted(got) == [(1, w) for w in range(24, 30)] + [(2, w) for w in range(24, 35)]
+    assert [got[k].main_okved_group for k in ((1, 24), (2, 24))] == ["-", None] and got[1, 24].diff_datopen_report_date_flg == 48
+    assert (got[2, 29].workdays, got[2, 29].weekends, got[2, 30].workdays) == (7, 0, None)
+    assert math.isclose(got[2, 30].target_shift24, math.log1p(206.0)) and not any("workdays_" in c or "ipul_" in c for c in train.columns)
+    assert train.columns[:3] == ["inn_id", "week", "target"] and train.columns[-4:] == test.columns[-4:]
