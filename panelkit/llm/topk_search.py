@@ -1,9 +1,10 @@
 """Operator 9: exact top-k inner products, by a dual-tree search over cover trees.
 
 Vectors become integers, floor(scale * x). Rows are dealt into blocks of bounded size; each block is built into a cover
-tree, one for data and one for queries, and stored as one row. Every pair of a query block and a data block is searched by
-both trees at once: a pair of nodes is dropped if the largest inner product that their covering radii allow is below the
-worst kth score of the query node's group so far. Each pair gives its k best rows per query; a ranking of these is exact.
+tree, one for data and one for queries, and stored as one row. A task takes a cell: some query trees, whose k best rows so
+far it keeps, and a stream of data trees. Nodes of both trees are compared by groups: a pair is dropped if the largest inner
+product that their covering radii allow is below the worst kth score of the query node so far. What is left is multiplied
+at once, and a row is looked at only where a score reaches its query's kth. A ranking of the cells' best rows is exact.
 
 A cover tree node here has a centre (one of its points) and a radius that covers its points; its children halve the scale.
 """
@@ -20,13 +21,19 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from panelkit.llm.common import Scratch
+from panelkit.operators.joins import join_small
 
 SCALE = 256
-#: Rows of a block at most about; a pair of blocks is one task's unit of work.
+#: Rows of a block at most about; a task holds one data block at a time.
 DATA_BLOCK, QUERY_BLOCK = 4096, 1024
 LEAF = 48
-#: Components up to this size are multiplied in doubles without any rounding.
-_EXACT = 2**53
+#: Points of the nodes that are compared first.
+QUERY_NODE, DATA_NODE = 64, 256
+#: Components of a cell's queries, which a task holds at once; products of a cell; products made at once; partitions at most.
+QUERY_VALUES, CELL_PRODUCTS, PRODUCTS, MOST_PARTITIONS = 1 << 23, 1 << 35, 1 << 21, 4096
+#: Whole numbers below these are multiplied and added without any rounding.
+_EXACT32, _EXACT = 2**24, 2**53
+_NONE = np.iinfo(np.int64).min
 
 
 @dataclass
@@ -84,9 +91,23 @@ class CoverTree:
         start, end, first, last = (np.array(c, np.int64) for c in zip(*nodes, strict=True))
         return cls(ids[order], points[order], place[centres], np.array(radii), start, end, first, last)
 
+    def nodes(self, most: int) -> np.ndarray:
+        """The topmost nodes of at most ``most`` points, or leaves, by their start: each point is in one of them."""
+        small = (self.end - self.start <= most) | (self.first == self.last)
+        above = np.zeros(len(small), np.int64)
+        inner = np.flatnonzero(self.first < self.last)
+        kids = self.last[inner] - self.first[inner]
+        above[_ranges(self.first[inner], self.last[inner])] = np.repeat(inner, kids)
+        top = small & ~small[above]
+        top[0] = small[0]
+        found = np.flatnonzero(top)
+        return found[np.argsort(self.start[found])]
+
     def dump(self) -> bytes:
         out = io.BytesIO()
-        np.savez(out, **{k: getattr(self, k) for k in self.__dataclass_fields__})
+        ends = self.points.min(initial=0), self.points.max(initial=0)
+        kind = np.result_type(*(np.min_scalar_type(min(int(x), -1 - int(x))) for x in ends))  # the smallest signed type
+        np.savez(out, **{k: getattr(self, k) for k in self.__dataclass_fields__} | {"points": self.points.astype(kind)})
         return out.getvalue()
 
     @classmethod
@@ -95,57 +116,115 @@ class CoverTree:
             return cls(**{k: z[k] for k in z.files})
 
 
+def _ranges(start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """The numbers of all ranges, one range after the other."""
+    sizes = end - start
+    return np.arange(sizes.sum()) + np.repeat(start - np.cumsum(sizes) + sizes, sizes)
+
+
+class Side:
+    """A tree as the search needs it: its points in the types that were asked for, the sizes of centres, its nodes."""
+
+    def __init__(self, tree: CoverTree, node: int) -> None:
+        self.tree = tree
+        self.size = float(np.sqrt((tree.points.astype(float) ** 2).sum(axis=1)).max(initial=1.0)) * (1 + 1e-9)
+        self.middle = tree.points[tree.centre].astype(float)
+        self.length = np.sqrt((self.middle**2).sum(axis=1))
+        self.nodes, self.leaves = tree.nodes(node), tree.nodes(0)
+        self.copies = int(np.unique(tree.ids, return_counts=True)[1].max(initial=1))  # rows that share an id
+        self._values: dict = {}
+
+    def values(self, kind: type) -> np.ndarray:
+        if kind not in self._values:
+            self._values[kind] = self.tree.points.astype(kind)
+        return self._values[kind]
+
+    def below(self, nodes: np.ndarray) -> np.ndarray:
+        """The leaves of ``nodes``."""
+        t, starts = self.tree, self.tree.start[self.leaves]
+        return self.leaves[_ranges(np.searchsorted(starts, t.start[nodes]), np.searchsorted(starts, t.end[nodes]))]
+
+
+class Best:
+    """The ``k`` best (score, id) of some queries; unused places hold the least long as their score."""
+
+    def __init__(self, queries: int, k: int) -> None:
+        self.k = k
+        self.scores, self.ids = np.full((queries, k), _NONE), np.zeros((queries, k), np.int64)
+
+    def add(self, at: np.ndarray, scores: np.ndarray, ids: np.ndarray) -> None:
+        """Candidates of the queries ``at``; the same score of the same id counts once."""
+        rows = np.unique(at)
+        have = self.scores[rows] > _NONE
+        at = np.concatenate([at, np.repeat(rows, have.sum(axis=1))])
+        scores = np.concatenate([scores, self.scores[rows][have]])
+        ids = np.concatenate([ids, self.ids[rows][have]])
+        order = np.lexsort((ids, ~scores, at))  # ~x falls as x grows, without overflow
+        at, scores, ids = at[order], scores[order], ids[order]
+        new = np.ones(len(at), bool)
+        new[1:] = (at[1:] != at[:-1]) | (scores[1:] != scores[:-1]) | (ids[1:] != ids[:-1])
+        at, scores, ids = at[new], scores[new], ids[new]
+        place = np.arange(len(at)) - np.searchsorted(at, at)
+        kept = place < self.k
+        self.scores[rows] = _NONE
+        self.scores[at[kept], place[kept]] = scores[kept]
+        self.ids[at[kept], place[kept]] = ids[kept]
+
+
 def _products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Exact integer inner products of all rows, as long; sums beyond a long are held at its ends."""
-    most = max(float(np.abs(a).max(initial=0)), 1.0) * max(float(np.abs(b).max(initial=0)), 1.0) * max(a.shape[1], 1)
-    if most < _EXACT:
-        return (a.astype(float) @ b.astype(float).T).astype(np.int64)
+    """Exact inner products of all rows; those of Python's numbers as long, held at its ends."""
+    if a.dtype != object:
+        return a @ b.T
     ends = np.iinfo(np.int64)
-    exact = a.astype(object) @ b.astype(object).T if a.shape[1] else np.zeros((len(a), len(b)), object)
+    exact = a @ b.T if a.shape[1] else np.zeros((len(a), len(b)), object)
     return np.clip(exact, ends.min + 1, ends.max).astype(np.int64)  # the least long marks an unused place
 
 
-def dual_search(queries: CoverTree, data: CoverTree, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """For each query (in tree order) its k best (score, id); unused places hold the least long as their score."""
-    n = len(queries.ids)
-    none = np.iinfo(np.int64).min
-    scores = np.full((n, k), none)
-    ids = np.zeros((n, k), np.int64)
-    q, d = queries.points.astype(float), data.points.astype(float)
-    q_size = np.sqrt((q[queries.centre] ** 2).sum(axis=1))
-    d_size = np.sqrt((d[data.centre] ** 2).sum(axis=1))
-    between = q[queries.centre] @ d[data.centre].T
+def _bounds(queries: Side, i: np.ndarray, data: Side, j: np.ndarray) -> np.ndarray:
+    """The largest inner product that points of the nodes ``i`` and ``j`` can have."""
     # |<q', d'>| <= <q, d> + |q| r_d + |d| r_q + r_q r_d; the slack covers rounding.
-    bound = between + np.outer(q_size, data.radius) + np.outer(queries.radius, d_size) + np.outer(queries.radius, data.radius)
-    bound += 1e-6 * np.abs(bound) + 1
-
-    def worst(i: int) -> int:
-        return int(scores[queries.start[i] : queries.end[i], -1].min())
-
-    todo = [(0, 0)]
-    while todo:
-        i, j = todo.pop()
-        if bound[i, j] < worst(i):
-            continue
-        q_leaf, d_leaf = queries.first[i] == queries.last[i], data.first[j] == data.last[j]
-        if q_leaf and d_leaf:
-            a, b, c, e = queries.start[i], queries.end[i], data.start[j], data.end[j]
-            new = _products(queries.points[a:b], data.points[c:e])
-            names = np.broadcast_to(data.ids[c:e], new.shape)
-            own = names == queries.ids[a:b, None]
-            new = np.where(own, none, new)
-            all_scores = np.concatenate([scores[a:b], new], axis=1)
-            all_ids = np.concatenate([ids[a:b], names], axis=1)
-            order = np.lexsort((all_ids, ~all_scores), axis=1)[:, :k]  # ~x falls as x grows, without overflow
-            scores[a:b] = np.take_along_axis(all_scores, order, axis=1)
-            ids[a:b] = np.take_along_axis(all_ids, order, axis=1)
+    q, d, q_r, d_r = queries.length[i], data.length[j], queries.tree.radius[i], data.tree.radius[j]
+    most = queries.middle[i] @ data.middle[j].T + np.outer(q, d_r) + np.outer(q_r, d) + np.outer(q_r, d_r)
+    return most + 1e-6 * np.abs(most) + 1e-9 * np.outer(q + q_r, d + d_r) + 1
+
+
+def _offer(queries: Side, first: int, last: int, data: Side, columns: slice | np.ndarray, best: Best) -> None:
+    """Multiply a range of queries with the points ``columns`` and keep what reaches a query's kth score."""
+    # No sum of components' products, in whatever order, passes the product of the largest sizes.
+    most = queries.size * data.size
+    kind = np.float32 if most < _EXACT32 else np.float64 if most < _EXACT else object
+    points, names = data.values(kind)[columns], data.tree.ids[columns]
+    step = max(1, PRODUCTS // len(names))
+    for a in range(first, last, step):
+        b = min(a + step, last)
+        scores, worst = _products(queries.values(kind)[a:b], points), best.scores[a:b, -1]
+        hit = np.flatnonzero(scores.max(axis=1).astype(np.int64) >= worst)
+        if not len(hit):
             continue
-        if d_leaf or (not q_leaf and queries.radius[i] >= data.radius[j]):
-            todo += [(x, j) for x in range(queries.first[i], queries.last[i])]
-        else:
-            kids = np.arange(data.first[j], data.last[j])
-            todo += [(i, int(x)) for x in kids[np.argsort(bound[i, kids])]]  # the most promising is popped first
-    return scores, ids
+        scores, level = scores[hit], worst[hit]
+        enough = (best.k + 1) * data.copies  # so many hold k other ids than the query's at least
+        if enough < len(names):
+            level = np.maximum(level, np.partition(scores, -enough, axis=1)[:, -enough].astype(np.int64))
+        at, column = np.nonzero(scores >= level.astype(scores.dtype)[:, None])
+        rows = a + hit[at]
+        other = names[column] != queries.tree.ids[rows]
+        best.add(rows[other], scores[at, column][other].astype(np.int64), names[column][other])
+
+
+def dual_search(queries: Side, data: Side, best: Best) -> None:
+    """Bring the k best rows of each query (in tree order) up to date with the points of ``data``."""
+    q, d, groups, nodes = queries.tree, data.tree, queries.nodes, data.nodes
+    worst = np.minimum.reduceat(best.scores[:, -1], q.start[groups])
+    near = _bounds(queries, groups, data, nodes) >= worst[:, None]
+    left = (q.end - q.start)[groups] @ near @ (d.end - d.start)[nodes]
+    if 2 * left > len(q.ids) * len(d.ids):  # the bounds hardly separate these trees: one product is cheaper than many
+        _offer(queries, 0, len(q.ids), data, slice(None), best)
+        return
+    for g in np.flatnonzero(near.any(axis=1)):
+        leaves = data.below(nodes[near[g]])
+        leaves = leaves[_bounds(queries, groups[g : g + 1], data, leaves)[0] >= worst[g]]
+        if len(leaves):
+            _offer(queries, q.start[groups[g]], q.end[groups[g]], data, _ranges(d.start[leaves], d.end[leaves]), best)
 
 
 def _build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -159,14 +238,29 @@ def _build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _search(k: int):
+    """Rows come by cell, a cell's query trees before its data trees."""
+
+    def found(asked: list[tuple[Side, Best]]) -> Iterator[pa.RecordBatch]:
+        for queries, best in asked:
+            full = best.scores > _NONE
+            names = np.repeat(queries.tree.ids, full.sum(axis=1))
+            yield pa.RecordBatch.from_arrays([pa.array(names), pa.array(best.ids[full]), pa.array(best.scores[full])], names=["query_id", "vec_id", "score"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, asked = None, []
         for batch in batches:
-            for q, d in zip(batch.column("query_tree"), batch.column("tree"), strict=True):
-                queries, data = CoverTree.load(q.as_py()), CoverTree.load(d.as_py())
-                scores, ids = dual_search(queries, data, k)
-                found = scores > np.iinfo(np.int64).min
-                names = np.repeat(queries.ids, found.sum(axis=1))
-                yield pa.RecordBatch.from_arrays([pa.array(names), pa.array(ids[found]), pa.array(scores[found])], names=["query_id", "vec_id", "score"])
+            cells = zip(*(batch.column(c).to_pylist() for c in ("n", "cell")), strict=True)
+            for cell, asks, tree in zip(cells, batch.column("asks").to_pylist(), batch.column("tree"), strict=True):
+                if cell != now:
+                    yield from found(asked)
+                    now, asked = cell, []
+                side = Side(CoverTree.load(tree.as_py()), QUERY_NODE if asks else DATA_NODE)
+                if asks:
+                    asked.append((side, Best(len(side.tree.ids), k)))
+                    continue
+                for queries, best in asked:
+                    dual_search(queries, side, best)
+        yield from found(asked)
 
     return run
 
@@ -178,18 +272,29 @@ def whole_numbers(vector: Column, scale: int = SCALE) -> Column:
     return F.when(~F.coalesce(odd, F.lit(True)), F.transform(as_double, lambda x: F.floor(x * F.lit(float(scale))).cast("long")))
 
 
-def _blocks(rows: DataFrame, size: int) -> DataFrame:
-    """(n, block, tree): rows of one dimension n in blocks of about ``size``, by a hash of the id."""
-    dims = rows.groupBy("n").count().collect()  # as many as there are dimensions
-    count = F.lit(1)
-    for r in dims:
-        count = F.when(F.col("n") == r["n"], F.lit(-(-r["count"] // size))).otherwise(count)
-    block = F.pmod(F.xxhash64("id", "v"), count).cast("int").alias("block")
-    grouped = rows.select("n", block, "id", "v").groupBy("n", "block").agg(F.collect_list(F.struct("id", "v")).alias("rows"))
+def _blocks(rows: DataFrame, count: str) -> DataFrame:
+    """(n, block, tree): rows of one dimension n in ``count`` blocks, by a hash of id and vector; equal rows become one."""
+    block = F.pmod(F.xxhash64("id", "v"), F.col(count)).cast("int").alias("block")
+    grouped = rows.select("n", block, "id", "v").groupBy("n", "block").agg(F.collect_set(F.struct("id", "v")).alias("rows"))
     flat = grouped.select("n", "block", F.expr("transform(rows, r -> r.id)").alias("ids"), F.expr("flatten(transform(rows, r -> r.v))").alias("flat"))
     return flat.mapInArrow(_build, "n int, block int, tree binary")
 
 
+def _grid(rows: DataFrame, data_block: int, query_block: int) -> DataFrame:
+    """A row per dimension with queries: its blocks, and a grid of ``across`` parts of the queries by ``along`` parts of the data.
+
+    A part of the queries is what a task can hold; there are some four cells per core, more where their products are many.
+    """
+    sizes = rows.groupBy("n").agg(F.count(F.lit(1)).alias("_all"), F.count_if("asks").alias("_asks")).where("_asks > 0")
+    held = F.greatest(F.floor(F.lit(QUERY_VALUES) / F.greatest("n", F.lit(1))), F.lit(query_block))
+    tasks = 4 * rows.sparkSession.sparkContext.defaultParallelism
+    across, blocks = F.ceil(F.col("_asks") / held), F.ceil(F.col("_all") / data_block)
+    many = F.ceil(F.least(held, F.col("_asks")).cast("double") * F.col("_all") / CELL_PRODUCTS)
+    along = F.least(blocks, F.greatest(F.ceil(F.lit(tasks) / across), many))
+    found = {"data_blocks": blocks, "query_blocks": F.ceil(F.col("_asks") / query_block), "across": across, "along": along}
+    return sizes.select("n", *[c.cast("int").alias(name) for name, c in found.items()])
+
+
 def top_k(
     vectors: DataFrame,
     is_query: Column,
@@ -208,20 +313,25 @@ def top_k(
     distinct vector is a candidate, and none of them for the query of that id. Empty tables give no rows. Other columns
     are ignored. Scores beyond a long are held at its ends.
     """
-    spark = vectors.sparkSession
-    scratch = Scratch(spark, "top-k")
+    scratch = Scratch(vectors.sparkSession, "top-k")
     rows = vectors.filter(F.col(id_col).isNotNull()).select(
         F.col(id_col).cast("long").alias("id"), whole_numbers(F.col(vector_col), scale).alias("v"), is_query.alias("asks")
     )
-    rows = rows.filter("v is not null").withColumn("n", F.size("v")).distinct()
-    data = scratch.table(_blocks(rows, data_block))
-    queries = scratch.table(_blocks(rows.filter("asks"), query_block))
-    asked = queries.select(F.col("n").alias("m"), F.col("block").alias("query_block"), F.col("tree").alias("query_tree"))
-    # A stated query set against all rows, block by block: each query block goes to the numbers of its dimension's blocks.
-    last = data.groupBy("n").agg(F.max("block").alias("last"))
-    fanned = asked.join(last, asked["m"] == last["n"]).select("m", "query_tree", F.explode(F.sequence(F.lit(0), "last")).alias("b"))
-    pairs = fanned.join(data, (fanned["m"] == data["n"]) & (fanned["b"] == data["block"])).select("query_tree", "tree")
-    found = pairs.mapInArrow(_search(k), "query_id long, vec_id long, score long").distinct()
+    rows = rows.filter("v is not null").withColumn("n", F.size("v"))
+    grid = scratch.table(_grid(rows, data_block, query_block))
+    cells = grid.agg(F.sum(F.col("across").cast("long") * F.col("along"))).first()[0] or 1
+    placed = join_small(rows, grid, "n", "inner")
+    data = join_small(scratch.table(_blocks(placed, "data_blocks")), grid, "n", "inner")
+    queries = join_small(scratch.table(_blocks(placed.filter("asks"), "query_blocks")), grid, "n", "inner")
+    # Each query tree goes to all parts of the data, each data tree to all parts of the queries; a cell is one of each.
+    part, along = F.explode(F.sequence(F.lit(0), F.col("across") - 1)), F.explode(F.sequence(F.lit(0), F.col("along") - 1))
+    sent = data.select("*", part.alias("_part")).select("n", F.expr("_part * along + block % along").alias("cell"), F.lit(False).alias("asks"), "tree")
+    asked = queries.select("*", along.alias("_part")).select("n", F.expr("block % across * along + _part").alias("cell"), F.lit(True).alias("asks"), "tree")
+    parts = min(cells, MOST_PARTITIONS)
+    dealt = asked.unionByName(sent).repartitionById(parts, F.pmod(F.col("n") + F.col("cell"), F.lit(parts)).cast("int"))
+    ordered = dealt.sortWithinPartitions("n", "cell", F.desc("asks"))
+    # Dealt by query once, for both steps behind.
+    found = ordered.mapInArrow(_search(k), "query_id long, vec_id long, score long").repartition("query_id").distinct()
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
