@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from panelkit.operators import panel as P
 from panelkit.operators import schema as H
 from panelkit.plans import panel_pipeline as L
+from panelkit.session import WIDE_RESULTS
 from panelkit.sources import series_files as SF
 from panelkit.sources import tables as D
 from panelkit.workload import inputs as I
@@ -106,3 +107,41 @@ def test_training_rows_are_joined_before_they_are_wide(spark):
     assert (got[2, 29].workdays, got[2, 29].weekends, got[2, 30].workdays) == (7, 0, None)
     assert math.isclose(got[2, 30].target_shift24, math.log1p(206.0)) and not any("workdays_" in c or "ipul_" in c for c in train.columns)
     assert train.columns[:3] == ["inn_id", "week", "target"] and train.columns[-4:] == test.columns[-4:]
+
+
+def test_wide_results_are_packed(spark, sf, tmp_path):
+    """The session's files of wide results are written with zstd and small dictionaries, unless the session says otherwise."""
+    panel = I.panel(spark, sf)
+    before = {k: spark.conf.get(k, None) for k in WIDE_RESULTS if k in spark.conf.getAll}
+    try:
+        for k in WIDE_RESULTS:
+            spark.conf.unset(k)
+        panel.write.parquet(str(tmp_path / "plain"))
+        spark.conf.set("parquet.dictionary.page.size", "4096")
+        P.panel_features(panel, I.PANEL_LAYOUT)
+        assert spark.conf.get("parquet.dictionary.page.size") == "4096"
+        panel.write.parquet(str(tmp_path / "packed"))
+        used = {n: {pq.ParquetFile(f).metadata.row_group(0).column(2).compression for f in (tmp_path / n).glob("*.parquet")} for n in ("plain", "packed")}
+        assert used == {"plain": {"SNAPPY"}, "packed": {"ZSTD"}}
+    finally:
+        for k in WIDE_RESULTS:
+            spark.conf.set(k, before[k]) if k in before else spark.conf.unset(k)
+
+
+def test_panel_sends_short_rows(spark, tmp_path):
+    """Missing and other flags, missing prices and discounts: the sums of the rows as they are; no text is sent."""
+    day = datetime.date(1995, 1, 2)
+    rows = [(1, 5, "A", "F", 10.0, 0.05), (1, 5, "N", "O", 20.5, 0.1), (1, 6, None, None, 1.0, None), (1, None, "X", "F", None, 0.1), (2, 7, "R", "O", 3.33, 0.07)]
+    schema = "l_suppkey long, l_partkey long, l_returnflag string, l_linestatus string, l_extendedprice double, l_discount double, l_shipdate date"
+    spark.createDataFrame([(*r, day) for r in rows] + [(1, 5, "A", "F", 1.0, 0.0, day + datetime.timedelta(7))], schema).write.parquet(f"{tmp_path}/lineitem.parquet")
+    panel = I.panel(spark, str(tmp_path))
+    got = {(r.inn_id, r.week): tuple(r)[2:] for r in panel.collect()}
+    assert panel.columns[2:] == ["target", "trns_amount_inp", "trns_count_inp", "cnt_inn_inp", "trn_ce_A", "trn_ce_N", "trn_ce_R", "tvect_F", "tvect_O"]
+    assert got == {
+        (1, 0): (3150.0, 950.0 + 1845.0, 4, 2, 1000.0, 2050.0, 0.0, 2, 1),
+        (1, 1): (100.0, 100.0, 1, 1, 100.0, 0.0, 0.0, 1, 0),
+        (2, 0): (333.0, 310.0, 1, 1, 0.0, 0.0, 333.0, 0, 1),
+    }
+    plan = panel._jdf.queryExecution().executedPlan().toString()
+    sent = plan[plan.index("Exchange hashpartitioning") :].splitlines()[1]
+    assert "l_returnflag" not in sent.split("[")[1].split(" AS ")[0] and "_flags" in sent
