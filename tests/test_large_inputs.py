@@ -4,6 +4,7 @@ import datetime
 import math
 
 import pyarrow.parquet as pq
+import pytest
 from pyspark.sql import functions as F
 
 from panelkit.operators import panel as P
@@ -145,3 +146,25 @@ def test_panel_sends_short_rows(spark, tmp_path):
     plan = panel._jdf.queryExecution().executedPlan().toString()
     sent = plan[plan.index("Exchange hashpartitioning") :].splitlines()[1]
     assert "l_returnflag" not in sent.split("[")[1].split(" AS ")[0] and "_flags" in sent
+
+
+@pytest.mark.parametrize("opts", [{}, {"leak_safe": True, "shift_start": 3, "shift_total": 8, "w_size": 5}])
+def test_stored_training_table_holds_a_value_once(spark, tmp_path, opts):
+    """The stored table has a value's window as one array; all columns that are laid out of it are those of the plan."""
+    data, layout, folder = _panel_data(spark), P.Layout(("inn_id",), ("week",), 40), str(tmp_path / "store")
+    plain, plain_test = L.panel_train_test(data, layout, narrow=False, **opts)
+    train, test = L.panel_train_test(data, layout, narrow=False, store=folder, **opts)
+    assert train.schema.simpleString() == plain.schema.simpleString() and test.dtypes == plain_test.dtypes
+    assert plain.count() == train.count() > 0 and plain.exceptAll(train).count() == 0 == test.exceptAll(plain_test).count()
+    kept = spark.read.parquet(f"{folder}/train/v1")
+    assert len(kept.columns) < 50 < len(train.columns) and dict(kept.dtypes)["_lags_target"] == "array<double>"
+    assert H.narrowed_types(train, stored=True) == H.narrowed_types(plain)
+
+
+def test_stored_training_table_is_small(spark, tmp_path):
+    """Rows that follow one another share nearly all of their windows; the file holds a value about once."""
+    x = F.xxhash64("inn_id", "week").cast("double") / 7
+    made = spark.range(6000, numPartitions=1).select((F.col("id") / 300).cast("long").alias("inn_id"), (F.col("id") % 300).cast("int").alias("week"))
+    frames = P.panel_frames(made.withColumn("target", x), P.Layout(("inn_id",), ("week",), 300), full="target")
+    sizes = [sum(p.stat().st_size for p in (tmp_path / n).glob("*.parquet")) for n, df in (("wide", frames.features()), ("packed", frames.packed())) if D.write_parquet(df, str(tmp_path / n))]
+    assert 3 * sizes[1] < sizes[0]
